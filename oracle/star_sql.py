@@ -92,13 +92,13 @@ SQL = {
     "referential_violations": query(
         """
         select * from stg_orders o where not exists (select 1 from stg_customers c
-            where c.customer_id % 10 <> 0 and c.customer_id = o.customer_id)
+            where c.segment <> 'MACHINERY' and c.customer_id = o.customer_id)
         """
     ),
     "orders_ref_violations": query(
         """
         select count(*) as orders_ref_violations from stg_orders
-        where customer_id not in (select customer_id from stg_customers where customer_id % 10 <> 0)
+        where customer_id not in (select customer_id from stg_customers where segment <> 'MACHINERY')
         """
     ),
     "dim_customer": query("select * from cust_hist"),
