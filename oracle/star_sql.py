@@ -1,6 +1,7 @@
 """SQL of conformance and star schema queries."""
 
-from oracle.staging import VIEWS, query
+from oracle.staging import query
+from oracle.xxhash import hash_of
 
 NET = "quantity * unit_price * (100 - discount_pct) * cast(0.01 as decimal(3,2))"
 
@@ -101,8 +102,16 @@ SQL = {
         where customer_id not in (select customer_id from stg_customers where segment <> 'MACHINERY')
         """
     ),
-    "dim_customer": query("select * from cust_hist"),
-    "dim_product": query("select * from stg_products"),
+    "dim_customer": query(
+        "select * exclude (micros) from ("
+        + hash_of(
+            "select *, epoch_us(valid_from) as micros from cust_hist",
+            ["customer_id", "micros"],
+            "customer_sk",
+        )
+        + ")"
+    ),
+    "dim_product": query(hash_of("select * from stg_products", ["product_id"], "product_sk")),
     "dim_date": query(DATES),
     "fact_sales": query(READABLE, **STAR),
     "fact_sales_fallback": query(READABLE, **LATE),
