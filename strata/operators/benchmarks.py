@@ -8,13 +8,18 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from strata.functions.schemas import columns
 from strata.operators.runs import AppendLog
 
-BENCHMARK_SCHEMA = T.StructType.fromDDL(
-    "bench_id string, ts timestamp, category string, name string, config map<string,string>, "
-    "metrics map<string,string>, duration_ms bigint"
+BENCHMARK_SCHEMA = columns(
+    bench_id="string",
+    ts="timestamp",
+    category="string",
+    name="string",
+    config="texts",
+    metrics="texts",
+    duration_ms="bigint",
 )
 # Values of a median are located in blocks of this many milliseconds.
 BLOCK_MS = 4096
@@ -112,7 +117,7 @@ def warm_median(runs: DataFrame, name: str = "name", order: str = "ts", tie: str
 
 def as_json_lines(rows: DataFrame) -> DataFrame:
     """Rows ordered by category, name and time, each as one JSON text."""
-    columns = ["ts", "category", "name", "config", "metrics", "duration_ms"]
+    shown = ["ts", "category", "name", "config", "metrics", "duration_ms"]
     return rows.orderBy("category", "name", "ts").select(
-        F.to_json(F.struct(*columns)).alias("benchmark")
+        F.to_json(F.struct(*shown)).alias("benchmark")
     )

@@ -7,16 +7,22 @@ from collections.abc import Mapping
 from datetime import UTC, date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import trailing_days
+from strata.functions.schemas import columns
 from strata.functions.windows import first_by
 
-RUN_SCHEMA = T.StructType.fromDDL(
-    "run_id string, task string, status string, started_at timestamp, finished_at timestamp, "
-    "metrics map<string,string>, message string"
+RUN_SCHEMA = columns(
+    run_id="string",
+    task="string",
+    status="string",
+    started_at="timestamp",
+    finished_at="timestamp",
+    metrics="texts",
+    message="string",
 )
 NEVER = 999
 
@@ -74,7 +80,7 @@ def log_run(
     return run_id
 
 
-def _hours(since: str, as_of: datetime) -> F.Column:
+def _hours(since: str, as_of: datetime) -> Column:
     return F.timestamp_diff("HOUR", F.col(since), F.lit(as_of).cast("timestamp_ntz"))
 
 

@@ -22,12 +22,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import hash_slot
+from strata.functions.schemas import columns
 from strata.operators.history import close_versions, open_versions, scd2_changes
 from strata.operators.merge import change_feed, unseen_versions, upsert_changes, with_changes
 
-COMMIT_SCHEMA = T.StructType.fromDDL(
-    "version bigint, committed_at timestamp, operation string, inserted bigint, "
-    "updated bigint, deleted bigint, layout string, row_schema string, note string"
+COMMIT_SCHEMA = columns(
+    version="bigint",
+    committed_at="timestamp",
+    operation="string",
+    inserted="bigint",
+    updated="bigint",
+    deleted="bigint",
+    layout="string",
+    row_schema="string",
+    note="string",
 )
 VERSION, BUCKET = "snap_v", "snap_b"
 Layout = dict[int, list[int]]
@@ -98,7 +106,7 @@ class SnapshotTable:
         schema = T.StructType.fromJson(json.loads(commit["row_schema"]))
         if not layout:
             return self.spark.createDataFrame([], schema)
-        columns = schema.names
+        names = schema.names
         physical = T.StructType(schema.fields).add(VERSION, T.LongType()).add(BUCKET, T.IntegerType())
         rows = (
             self.spark.read.schema(physical)
@@ -111,7 +119,7 @@ class SnapshotTable:
             if len(buckets) < self.buckets:
                 part = part & F.col(BUCKET).isin(buckets)
             wanted = wanted | part
-        return rows.where(wanted).select(*columns)
+        return rows.where(wanted).select(*names)
 
     # -- writing ---------------------------------------------------------
 
@@ -202,6 +210,7 @@ class SnapshotTable:
         changes: DataFrame,
         next_rows: Callable[[DataFrame, DataFrame], DataFrame],
         operation: str,
+        note: str | None,
         at: datetime | None,
     ) -> dict[str, int]:
         """Rewrite the buckets that hold a change; no change, no version.
@@ -221,7 +230,7 @@ class SnapshotTable:
                 part = {v: [b for b in bs if b in hit] for v, bs in _layout(commit).items()}
                 current = self._rows(commit, {v: bs for v, bs in part.items() if bs})
                 staged = self.stage(next_rows(current, changes))
-                self.publish(staged, operation, hit, counts, at=at)
+                self.publish(staged, operation, hit, counts, note, at)
             return counts
         finally:
             changes.unpersist()
@@ -235,46 +244,60 @@ class SnapshotTable:
         part = {v: [b for b in bs if b in hit] for v, bs in _layout(commit).items()}
         return self._rows(commit, {v: bs for v, bs in part.items() if bs})
 
-    def upsert(self, updates: DataFrame, at: datetime | None = None) -> int:
+    def upsert(
+        self, updates: DataFrame, note: str | None = None, at: datetime | None = None
+    ) -> int:
         """Keyed upsert; returns rows inserted or updated, 0 on a replay."""
         if not self.exists():
-            self.overwrite(updates, at=at)
-            return self.read().count()
+            return self._first_load(updates, note, at)
         changes = upsert_changes(self.touched_buckets(updates), updates, self.key)
         counts = self._settle(
-            changes, lambda rows, chg: with_changes(rows, chg, self.key), "upsert", at
+            changes, lambda rows, chg: with_changes(rows, chg, self.key), "upsert", note, at
         )
         return sum(counts.values())
 
+    def _first_load(self, rows: DataFrame, note: str | None, at: datetime | None) -> int:
+        staged = self.stage(rows)
+        size = self.staged_rows(staged).count()
+        self.publish(staged, "load", counts={"insert": size}, note=note, at=at)
+        return size
+
     def insert_versions(
-        self, increment: DataFrame, extra_key: str, at: datetime | None = None
-    ) -> int:
-        """Append unseen (key, ``extra_key``) combinations; returns how many."""
+        self, increment: DataFrame, moment: str, at: datetime | None = None
+    ) -> tuple[int, datetime | None]:
+        """Append unseen (key, ``moment``) combinations.
+
+        Returns how many there were and their latest moment. Both come from the
+        written rows, so a mark set from them never runs ahead of the table,
+        even if the source gave different rows to a repeated task.
+        """
         if not self.exists():
             self.overwrite(increment.limit(0), at=at)
-        fresh = unseen_versions(
-            self.touched_buckets(increment), increment, [self.key, extra_key]
-        ).persist()
-        try:
-            inserted = fresh.count()
-            if inserted:
-                staged = self.stage(fresh.select(*self.read().columns))
-                self.publish(staged, "insert", [], {"insert": inserted}, at=at)
-            return inserted
-        finally:
-            fresh.unpersist()
+        names = self.read().columns
+        known = self.touched_buckets(increment)
+        staged = self.stage(unseen_versions(known, increment, [self.key, moment]).select(*names))
+        rows = self.staged_rows(staged)
+        size, latest = rows.agg(F.count(F.lit(1)), F.max(moment)).first()
+        if size:
+            self.publish(staged, "insert", [], {"insert": size}, at=at)
+        return size, latest
+
+    def rows_after(self, version: int) -> DataFrame:
+        """Rows of parts written after a version; for tables that only append."""
+        commit = self._required(None)
+        return self._rows(commit, {v: b for v, b in _layout(commit).items() if v > version})
 
     def scd2(
         self,
         updates: DataFrame,
         tracked: list[str],
         effective: str = "modified_at",
+        note: str | None = None,
         at: datetime | None = None,
     ) -> int:
         """Close changed versions and open new ones in one commit; returns new versions."""
         if not self.exists():
-            self.overwrite(open_versions(updates, effective), at=at)
-            return self.read().count()
+            return self._first_load(open_versions(updates, effective), note, at)
         changes = scd2_changes(
             self.touched_buckets(updates), updates, self.key, tracked, effective
         )
@@ -283,7 +306,7 @@ class SnapshotTable:
             opened = open_versions(chg.drop("_op"), effective).select(*rows.columns)
             return close_versions(rows, chg, self.key, effective).unionByName(opened)
 
-        return sum(self._settle(changes, after, "scd2", at).values())
+        return sum(self._settle(changes, after, "scd2", note, at).values())
 
     # -- versions --------------------------------------------------------
 

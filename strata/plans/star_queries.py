@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import conform, star
+from strata.plans.lake import SHIPMENTS
 from strata.plans.registry import query
 from strata.plans.staging import Staging
 
@@ -72,25 +73,7 @@ def apply_casts(s: Staging) -> DataFrame:
         F.lit("{}").alias("_rescued_data"),
         F.concat(F.lit("drop-"), F.col("warehouse")).alias("_source_file"),
     )
-    return conform.declare(text, SHIPMENT_TYPES)
-
-
-SHIPMENT_TYPES = {
-    "shipment_id": "bigint",
-    "order_id": "int",
-    "distributor": "string",
-    "ship_date": "date",
-    "qty_cases": "int",
-    "warehouse": "string",
-}
-RETURN_TYPES = {
-    "return_id": "bigint",
-    "order_id": "int",
-    "product_sku": "string",
-    "return_date": "date",
-    "quantity": "int",
-    "reason": "string",
-}
+    return conform.declare(text, SHIPMENTS.types)
 
 
 def known_customers(s: Staging) -> DataFrame:

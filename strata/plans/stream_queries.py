@@ -7,15 +7,13 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.plans.lake import RETURNS, SHIPMENTS
 from strata.plans.registry import query
 from strata.plans.staging import Staging
-from strata.plans.star_queries import RETURN_TYPES, SHIPMENT_TYPES
 from strata.session import work_folder
 from strata.sources.generate import write_drop
 from strata.streaming.drops import Feed, exposed, land, landed, typed
 
-SHIPMENTS = Feed("shipments", "csv", SHIPMENT_TYPES)
-RETURNS = Feed("returns", "json", RETURN_TYPES)
 CUTS = (date(1997, 1, 1), date(1999, 6, 1))
 
 
@@ -62,7 +60,8 @@ def stream_evolved_columns(s: Staging) -> DataFrame:
     """Later drops bring a new column, in front of reordered old ones."""
     first, *later = in_three(s.shipments, "ship_date")
     columns = [c for c in reversed(s.shipments.columns)]
-    grown = [d.withColumn("priority", F.col("qty_cases") % 3).select("priority", *columns) for d in later]
+    priority = (F.col("qty_cases") % 3).alias("priority")
+    grown = [d.select(priority, *columns) for d in later]
     rows = landed_in_steps(s, SHIPMENTS, [first, *grown])
     return typed_with(exposed(rows, "priority"), "priority", "int")
 

@@ -9,7 +9,7 @@ files may have their columns in any order and may bring new ones:
 * records that cannot be bound keep their raw text in ``_rescued_data``.
 
 Text stays as delivered (``007`` is not a number here); types are applied when
-the landed rows are conformed. A batch writes the folder ``batch=<id>`` and a
+the landed rows are conformed. A batch writes the folder ``_batch=<id>`` and a
 repeated batch replaces it, so a restart neither loses nor doubles rows.
 """
 
@@ -103,15 +103,15 @@ def _batch_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()
         rows = bind(batch, feed).observe(seen, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{target}/_batch={batch_id}")
         written.append(seen.get["rows"])
 
     return write
 
 
 def landed(spark: SparkSession, feed: Feed, target: str) -> DataFrame:
-    """Rows landed so far; none before the first batch."""
-    schema = feed.landed_schema()
+    """Rows landed so far with their ``_batch``; none before the first batch."""
+    schema = feed.landed_schema().add("_batch", T.LongType())
     try:
         rows = spark.read.schema(schema).option("basePath", target).parquet(target)
     except AnalysisException as error:
@@ -167,7 +167,7 @@ def file_headers(batch: DataFrame) -> dict[tuple[str, ...], list[str]]:
     )
     groups: dict[tuple[str, ...], list[str]] = {}
     for row in heads:
-        names = tuple(name.strip() for name in next(csv.reader([row["_header"].lstrip("﻿")])))
+        names = tuple(name.strip() for name in next(csv.reader([row["_header"].lstrip("\ufeff")])))
         groups.setdefault(names, []).append(unquote(row["_source_file"]))
     return groups
 
