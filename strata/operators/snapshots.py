@@ -50,11 +50,15 @@ class Staged:
 
 
 class SnapshotTable:
+    """One table. An object sees the state of its first look plus its own commits;
+    a new object looks again."""
+
     def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 1):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
         self.buckets = buckets
+        self._head: Row | None = None
 
     # -- commits ---------------------------------------------------------
 
@@ -72,11 +76,11 @@ class SnapshotTable:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
 
     def _commit(self, version: int | None = None) -> Row | None:
-        found = self.commits()
         if version is not None:
-            found = found.where(F.col("version") == version)
-        rows = found.orderBy(F.col("version").desc()).limit(1).collect()
-        return rows[0] if rows else None
+            return self.commits().where(F.col("version") == version).first()
+        if self._head is None:
+            self._head = self.commits().orderBy(F.col("version").desc()).first()
+        return self._head
 
     def version(self) -> int | None:
         latest = self._commit()
@@ -189,6 +193,7 @@ class SnapshotTable:
             *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in COMMIT_SCHEMA]
         )
         row.write.mode("errorifexists").parquet(f"{self.path}/commits/{version:012d}")
+        self._head = Row(**values)
         return version
 
     def overwrite(

@@ -17,6 +17,7 @@ def spark():
     session = local_session(4)
     session.sparkContext.setLogLevel("ERROR")
     session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.maxMetadataStringLength", "2000")
     return session
 
 
