@@ -179,7 +179,7 @@ SQL = {
         n="""select (select count(*) from stg_returns where reason = 'O') as u,
                     (select count(*) from v1) - (select count(*) from v2) as d""",
     ),
-    "retention_candidates_report": """
+    "retention_candidates": """
         select cast(version as bigint) as version, operation, replaced_at
         from (values (0, 'overwrite', timestamp '2024-01-02'),
                      (1, 'update', timestamp '2024-01-03')) as t(version, operation, replaced_at)

@@ -30,6 +30,19 @@ def hot_keys(
     return sizes.where(F.col("_size") > limit).select(*keys)
 
 
+def found_hot_keys(
+    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, floor: int = HOT_FLOOR
+) -> DataFrame | None:
+    """Hot keys looked up now, None if there are none.
+
+    One job over the key columns. It pays off by keeping the plan that follows
+    free of a hot path nobody needs; the list has at most ``1/share`` rows.
+    """
+    hot = hot_keys(df, keys, share, floor)
+    rows = hot.collect()
+    return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+
+
 def flag_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add boolean ``_hot``; the hot side is broadcast because its size is bounded."""
     marked = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_mark"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.columns import differs, is_metadata
-from strata.functions.skew import hot_keys, neighbour
+from strata.functions.skew import found_hot_keys, neighbour
 from strata.functions.windows import first_by
 
 
@@ -101,11 +101,14 @@ def full_history(
     """The history that version-by-version batches would build, in one pass.
 
     Several versions of a key at one instant count as the one that is last by
-    ``tie_break``. Rows that change no tracked column start no version. Keys
-    in ``hot`` (found here unless given) are processed in daily pieces.
+    ``tie_break``. Rows that change no tracked column start no version.
+
+    Without hot keys everything happens in one shuffle by key. Keys in ``hot``
+    (looked up here unless given) are processed in daily pieces.
     """
-    hot = hot_keys(versions, [key]) if hot is None else hot
-    points = first_by(versions, [key, at], [F.col(c).desc() for c in tie_break or tracked])
+    hot = found_hot_keys(versions, [key]) if hot is None else hot
+    placed = versions if hot is not None else versions.repartition(key)
+    points = first_by(placed, [key, at], [F.col(c).desc() for c in tie_break or tracked])
     points = points.select(key, at, *tracked)
     state = F.struct(*tracked)
     seen = neighbour(points, key, at, state, "_before", ahead=False, hot=hot)

@@ -58,12 +58,10 @@ def versions_by_day(orders: DataFrame, dimension: DataFrame) -> DataFrame:
     day, which bounds the window below however many orders or versions a single
     customer has, and no line is ever compared with a list of versions.
     """
-    days = orders.groupBy("customer_id", F.col("order_date").alias("_day")).agg(
-        F.lit(None).cast("boolean").alias("_none")
-    )
+    days = orders.select("customer_id", F.col("order_date").alias("_day")).distinct()
     marks = earliest_and_daily(dimension, "customer_id", ["customer_sk"])
     rows = marks.withColumn("_asks", F.lit(False)).unionByName(
-        days.drop("_none").withColumn("_asks", F.lit(True)), allowMissingColumns=True
+        days.withColumn("_asks", F.lit(True)), allowMissingColumns=True
     )
     # Versions that begin on a day are visible to the orders of that day.
     so_far = (

@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators import conform, history, merge, star
-from strata.operators.snapshots import SnapshotTable, retention_candidates
+from strata.operators import conform, history, merge, snapshots, star
+from strata.operators.snapshots import SnapshotTable
 from strata.plans.registry import query
 from strata.plans.staging import Staging
 from strata.plans.star_queries import row_counts
@@ -283,7 +283,7 @@ def version_history(s: Staging) -> DataFrame:
 
 
 @query
-def retention_candidates_report(s: Staging) -> DataFrame:
+def retention_candidates(s: Staging) -> DataFrame:
     table = edited_table(s)
-    found = retention_candidates(table.commits(), datetime(2024, 1, 10, 12), 168)
+    found = snapshots.retention_candidates(table.commits(), datetime(2024, 1, 10, 12), 168)
     return found.withColumn("replaced_at", F.col("replaced_at").cast("timestamp_ntz"))
