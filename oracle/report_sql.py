@@ -222,6 +222,17 @@ SQL = {
     "bench_layout": best("'click', 'view'", "query", "variant"),
     "bench_cluster": best("'purchase'", "workload", "variant"),
     "bench_rewrites": best("'error', 'signup'", "rewrite_case", "phase"),
+    "benchmarks_json": r"""
+        select '{"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || '","category":"' || category
+               || '","name":"' || event_type || '","config":{"' || a || '":"' || event_type
+               || '","' || b || '":"v' || (user_id % 7) || '"},"metrics":{"props":"'
+               || replace(props, '"', '\"') || '"},"duration_ms":'
+               || cast(cast(value as decimal(12,2)) * 1000 as bigint) || '}' as benchmark
+        from events join (values ('click', 'layout', 'query', 'variant'),
+            ('view', 'layout', 'query', 'variant'), ('purchase', 'cluster', 'workload', 'variant'),
+            ('error', 'query', 'case', 'phase'), ('signup', 'query', 'case', 'phase'))
+            t(kind, category, a, b) on kind = event_type
+    """,
     "bench_warm_median": query(
         """select name, cast(floor(quantile_cont(duration_ms, 0.5)) as bigint) as warm_median_ms
            from (select *, row_number() over (partition by name order by ts, event_id) as rn

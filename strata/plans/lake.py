@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from strata.operators import conform, gates, star
 from strata.operators.merge import NEVER_READ, touched_rows
 from strata.operators.runs import RUN_SCHEMA, AppendLog, log_run
-from strata.operators.snapshots import SnapshotTable
+from strata.operators.snapshots import SnapshotTable, Staged
+from strata.session import settled
 from strata.sources.increments import MODIFIED, stamp_load
 from strata.streaming.drops import Feed, land, landed, typed
 
@@ -114,7 +115,8 @@ class Lake:
 def take_in_table(lake: Lake, source: Source, name: str) -> dict[str, str]:
     """Extract one table since its mark, keep unseen versions, move the mark."""
     before = lake.mark(name)
-    rows = stamp_load(source.read_increment(lake.spark, name, before), name)
+    extract = stamp_load(source.read_increment(lake.spark, name, before), name)
+    rows = settled(extract, f"extract-{name}")
     inserted, latest = lake.bronze(name).insert_versions(rows, MODIFIED)
     if latest is not None:
         lake.set_mark(name, latest)
@@ -214,7 +216,7 @@ def refresh_gold(lake: Lake) -> dict[str, str]:
     if lake.gold("fact_sales").note() == note:
         return {"skipped": "silver unchanged"}
     silver = {n: lake.silver(n).read() for n in silver_versions(lake)}
-    staged: dict[str, tuple[SnapshotTable, object]] = {}
+    staged: dict[str, tuple[SnapshotTable, Staged]] = {}
 
     def build(name: str, rows: DataFrame) -> DataFrame:
         """Write a table unpublished and go on with its written rows."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str | int = "*", app: str = "strata") -> SparkSession:
@@ -40,3 +40,15 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="strata-")
     return f"{shared.rstrip('/')}/strata/{purpose}-{uuid.uuid4().hex}"
+
+
+def settled(rows: DataFrame, purpose: str) -> DataFrame:
+    """Rows written once to the shared folder and read from there.
+
+    For input that several steps use and that need not give the same rows twice,
+    such as a database: every later step, also a repeated one, sees what was
+    written, and a lost executor costs no second extract.
+    """
+    path = work_folder(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

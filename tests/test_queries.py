@@ -7,7 +7,7 @@ from tests.compare import connect, difference
 from tests.conftest import SMALL
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
-ROWS_ONLY = {"benchmarks_json", "layout_file_stats", "layout_skippable_files"}
+ROWS_ONLY = {"layout_file_stats", "layout_skippable_files"}
 
 
 @pytest.fixture(scope="module")
