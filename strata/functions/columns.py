@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import calendar
 from collections.abc import Iterable, Sequence
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def is_metadata(name: str) -> bool:
@@ -55,6 +56,13 @@ def within_month(column: str, year: int, month: int) -> Column:
     return F.col(column).between(F.lit(date(year, month, 1)), F.lit(date(year, month, last)))
 
 
+def moment(value: datetime, kind: T.DataType) -> Column:
+    """A time literal of the given type; zone-free types take the digits as they are."""
+    if isinstance(kind, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(kind)
+    return F.lit(value).cast(kind)
+
+
 def trailing_days(column: str, as_of: date, days: int) -> Column:
     return F.col(column) >= F.date_sub(F.lit(as_of), days)
 

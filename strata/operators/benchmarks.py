@@ -121,3 +121,8 @@ def as_json_lines(rows: DataFrame) -> DataFrame:
     return rows.orderBy("category", "name", "ts").select(
         F.to_json(F.struct(*shown)).alias("benchmark")
     )
+
+
+def export_json(rows: DataFrame, path: str) -> None:
+    """Write the ordered JSON lines; part files continue one another."""
+    as_json_lines(rows).write.mode("overwrite").text(path)

@@ -120,6 +120,21 @@ def write_partitioned(
     placed.write.mode("overwrite").partitionBy(column).parquet(path)
 
 
+def write_variants(
+    rows: DataFrame, base: str, keys: Sequence[str], day: str, small_files: int = 1600
+) -> dict[str, str]:
+    """The same rows under five layouts, each rebuilt from scratch; name -> path."""
+    paths = {
+        n: f"{base}/{n}" for n in ("smallfiles", "compacted", "zorder", "clustered", "partitioned")
+    }
+    write_small_files(rows, paths["smallfiles"], small_files)
+    compact(rows.sparkSession, paths["smallfiles"], paths["compacted"])
+    write_zorder(rows, paths["zorder"], keys)
+    write_clustered(rows, paths["clustered"], keys)
+    write_partitioned(rows, paths["partitioned"], day)
+    return paths
+
+
 def file_sizes(table: DataFrame) -> DataFrame:
     """Rows and bytes of every data file of a table."""
     return table.groupBy(

@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import differs
+from strata.functions.columns import differs, moment
 from strata.functions.windows import first_by
 from strata.operators.history import business_columns
 
@@ -103,7 +103,7 @@ def marks_for(sources: DataFrame, marks: DataFrame) -> DataFrame:
     kind = marks.schema["watermark"].dataType
     known = marks.groupBy("source").agg(F.max("watermark").alias("watermark"))
     return sources.join(known, "source", "left").withColumn(
-        "watermark", F.coalesce("watermark", F.lit(NEVER_READ).cast(kind))
+        "watermark", F.coalesce("watermark", moment(NEVER_READ, kind))
     )
 
 

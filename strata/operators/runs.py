@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import trailing_days
+from strata.functions.columns import moment, trailing_days
 from strata.functions.schemas import columns
 from strata.functions.windows import first_by
 
@@ -81,7 +81,7 @@ def log_run(
 
 
 def _hours(since: str, as_of: datetime) -> Column:
-    return F.timestamp_diff("HOUR", F.col(since), F.lit(as_of).cast("timestamp_ntz"))
+    return F.timestamp_diff("HOUR", F.col(since), moment(as_of, T.TimestampNTZType()))
 
 
 def layer_freshness(layers: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:

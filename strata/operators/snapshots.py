@@ -93,11 +93,16 @@ class SnapshotTable:
         latest = self._commit()
         return latest["note"] if latest else None
 
+    def _layout(self, commit: Row) -> Layout:
+        """Buckets each live version provides; a version with all of them names none."""
+        every = list(range(self.buckets))
+        return {int(v): every if b is None else b for v, b in json.loads(commit["layout"]).items()}
+
     # -- reading ---------------------------------------------------------
 
     def read(self, version: int | None = None) -> DataFrame:
         commit = self._required(version)
-        return self._rows(commit, _layout(commit))
+        return self._rows(commit, self._layout(commit))
 
     def _required(self, version: int | None) -> Row:
         commit = self._commit(version)
@@ -160,7 +165,7 @@ class SnapshotTable:
         gone = set(every if replaced is None else replaced)
         previous = self._commit()
         layout: Layout = {}
-        for v, buckets in (_layout(previous) if previous else {}).items():
+        for v, buckets in (self._layout(previous) if previous else {}).items():
             left = [b for b in buckets if b not in gone]
             if left:
                 layout[v] = left
@@ -185,7 +190,9 @@ class SnapshotTable:
             "inserted": counts.get("insert", 0),
             "updated": counts.get("update", 0),
             "deleted": counts.get("delete", 0),
-            "layout": json.dumps({str(v): b for v, b in layout.items()}),
+            "layout": json.dumps(
+                {str(v): b if len(b) < self.buckets else None for v, b in layout.items()}
+            ),
             "row_schema": schema.json(),
             "note": note,
         }
@@ -232,7 +239,7 @@ class SnapshotTable:
             if counts:
                 hit = {row[BUCKET] for row in per_bucket}
                 commit = self._required(None)
-                part = {v: [b for b in bs if b in hit] for v, bs in _layout(commit).items()}
+                part = {v: [b for b in bs if b in hit] for v, bs in self._layout(commit).items()}
                 current = self._rows(commit, {v: bs for v, bs in part.items() if bs})
                 staged = self.stage(next_rows(current, changes))
                 self.publish(staged, operation, hit, counts, note, at)
@@ -244,9 +251,9 @@ class SnapshotTable:
         """Current rows of the buckets that updates can reach."""
         commit = self._required(None)
         if self.buckets == 1:
-            return self._rows(commit, _layout(commit))
+            return self._rows(commit, self._layout(commit))
         hit = {r[BUCKET] for r in self._bucketed(updates).select(BUCKET).distinct().collect()}
-        part = {v: [b for b in bs if b in hit] for v, bs in _layout(commit).items()}
+        part = {v: [b for b in bs if b in hit] for v, bs in self._layout(commit).items()}
         return self._rows(commit, {v: bs for v, bs in part.items() if bs})
 
     def upsert(
@@ -290,7 +297,7 @@ class SnapshotTable:
     def rows_after(self, version: int) -> DataFrame:
         """Rows of parts written after a version; for tables that only append."""
         commit = self._required(None)
-        return self._rows(commit, {v: b for v, b in _layout(commit).items() if v > version})
+        return self._rows(commit, {v: b for v, b in self._layout(commit).items() if v > version})
 
     def scd2(
         self,
@@ -325,10 +332,10 @@ class SnapshotTable:
         """Rewrite the buckets holding rows that satisfy the condition; returns those rows."""
         hit = F.coalesce(F.expr(condition), F.lit(False))
         commit = self._required(None)
-        found = self._bucketed(self._rows(commit, _layout(commit)).where(hit))
+        found = self._bucketed(self._rows(commit, self._layout(commit)).where(hit))
         sizes = {r[BUCKET]: r["count"] for r in found.groupBy(BUCKET).count().collect()}
         if sizes:
-            part = {v: [b for b in bs if b in sizes] for v, bs in _layout(commit).items()}
+            part = {v: [b for b in bs if b in sizes] for v, bs in self._layout(commit).items()}
             current = self._rows(commit, {v: bs for v, bs in part.items() if bs})
             counts = {operation: sum(sizes.values())}
             self.publish(self.stage(next_rows(current, hit)), operation, sizes, counts, at=at)
@@ -363,13 +370,13 @@ class SnapshotTable:
         latest = self._required(None)["version"]
         schema = T.StructType.fromJson(json.loads(old["row_schema"]))
         return self._record(
-            latest + 1, _layout(old), schema, "restore", None, f"restored {version}", at
+            latest + 1, self._layout(old), schema, "restore", None, f"restored {version}", at
         )
 
     def changes_between(self, older: int, newer: int) -> DataFrame:
         """Change feed of two versions; parts both versions share are not read."""
         a, b = self._required(older), self._required(newer)
-        left, right = _layout(a), _layout(b)
+        left, right = self._layout(a), self._layout(b)
         before = self._rows(a, _minus(left, right))
         after = self._rows(b, _minus(right, left))
         return change_feed(before, after, self.key).withColumn(
@@ -377,10 +384,6 @@ class SnapshotTable:
         )
 
 
-def _layout(commit: Row) -> Layout:
-    return {int(v): buckets for v, buckets in json.loads(commit["layout"]).items()}
-
-
 def _minus(left: Layout, right: Layout) -> Layout:
     rest = {v: [b for b in bs if b not in right.get(v, [])] for v, bs in left.items()}
     return {v: bs for v, bs in rest.items() if bs}

@@ -302,14 +302,9 @@ def layout_partitioned(s: Staging) -> DataFrame:
 
 def variants(s: Staging) -> dict[str, DataFrame]:
     """The same rows under every layout."""
-    rows, base = layout_rows(s), work_folder(s.spark, "variants")
-    small(s, f"{base}/smallfiles")
-    layout.compact(s.spark, f"{base}/smallfiles", f"{base}/compacted")
-    layout.write_zorder(rows, f"{base}/zorder", KEYS)
-    layout.write_clustered(rows, f"{base}/clustered", KEYS)
-    layout.write_partitioned(rows, f"{base}/partitioned", "ship_date")
-    names = ("smallfiles", "compacted", "zorder", "clustered", "partitioned")
-    return {n: s.spark.read.parquet(f"{base}/{n}") for n in names}
+    base = work_folder(s.spark, "variants")
+    paths = layout.write_variants(layout_rows(s), base, KEYS, "ship_date", 32)
+    return {name: s.spark.read.parquet(path) for name, path in paths.items()}
 
 
 def _labelled(reports: dict[str, DataFrame]) -> DataFrame:

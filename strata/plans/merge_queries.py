@@ -6,7 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from strata.functions.columns import moment
 from strata.operators import conform, history, merge, snapshots, star
 from strata.operators.snapshots import SnapshotTable
 from strata.plans.registry import query
@@ -150,7 +152,7 @@ def first_marks(s: Staging) -> DataFrame:
     return (
         seen.groupBy("source")
         .agg(F.max("modified_at").alias("watermark"))
-        .withColumn("updated_at", F.lit(AT[0]).cast("timestamp_ntz"))
+        .withColumn("updated_at", moment(AT[0], T.TimestampNTZType()))
     )
 
 
@@ -165,7 +167,7 @@ def watermark_advance(s: Staging) -> DataFrame:
     fresh = channel_feeds(s).where(
         f"modified_at >= {FIRST_LOAD} and source <> 'direct'"
     )
-    return merge.advanced_marks(first_marks(s), fresh, F.lit(AT[1]))
+    return merge.advanced_marks(first_marks(s), fresh, moment(AT[1], T.TimestampNTZType()))
 
 
 @query

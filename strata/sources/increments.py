@@ -9,6 +9,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.columns import moment
+
 MODIFIED = "modified_at"
 
 
@@ -18,7 +20,7 @@ def since(df: DataFrame, column: str, mark: datetime) -> DataFrame:
     Rows exactly on the mark come again, because a commit with an equal time
     can arrive later; merging them twice changes nothing.
     """
-    return df.where(F.col(column) >= F.lit(mark).cast(df.schema[column].dataType))
+    return df.where(F.col(column) >= moment(mark, df.schema[column].dataType))
 
 
 def stamp_load(df: DataFrame, table: str, system: str = "database") -> DataFrame:

@@ -90,3 +90,5 @@ def test_benchmark_rows(spark, folder):
     assert log.read().where("duration_ms = 12").first()["metrics"] == {"rows_out": "50"}
     text = [r["benchmark"] for r in benchmarks.as_json_lines(log.read()).collect()]
     assert len(text) == 3 and '"category":"layout"' in text[0]
+    benchmarks.export_json(log.read(), f"{folder}/json")
+    assert [r["value"] for r in spark.read.text(f"{folder}/json").collect()] == text
