@@ -53,9 +53,13 @@ def upsert_changes(target: DataFrame, updates: DataFrame, key: str) -> DataFrame
     )
 
 
+def unchanged_rows(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    return target.join(changes.select(key), key, "left_anti")
+
+
 def with_changes(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Target with changed rows replaced and new ones added."""
-    kept = target.join(changes.select(key), key, "left_anti")
+    kept = unchanged_rows(target, changes, key)
     return kept.unionByName(changes.select(*target.columns))
 
 

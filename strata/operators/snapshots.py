@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from strata.functions.columns import hash_slot
 from strata.functions.schemas import columns
 from strata.operators.history import close_versions, open_versions, scd2_changes
-from strata.operators.merge import change_feed, unseen_versions, upsert_changes, with_changes
+from strata.operators.merge import change_feed, unchanged_rows, unseen_versions, upsert_changes
 
 COMMIT_SCHEMA = columns(
     version="bigint",
@@ -39,6 +39,8 @@ COMMIT_SCHEMA = columns(
 )
 VERSION, BUCKET = "snap_v", "snap_b"
 Layout = dict[int, list[int]]
+# Change sets up to this many rows are broadcast in a rewrite; they are counted first.
+SMALL_MERGE = 100_000
 
 
 @dataclass(frozen=True)
@@ -132,13 +134,20 @@ class SnapshotTable:
 
     # -- writing ---------------------------------------------------------
 
-    def stage(self, rows: DataFrame) -> Staged:
-        """Write rows for the next version without publishing them."""
+    def stage(self, rows: DataFrame, in_place: DataFrame | None = None) -> Staged:
+        """Write rows for the next version without publishing them.
+
+        ``rows`` are brought together per bucket. Rows in ``in_place`` come from
+        this table's files and still lie bucket by bucket, so they are written
+        where they are read, without a shuffle.
+        """
         last = self.version()
         version = 0 if last is None else last + 1
-        placed = rows.withColumn(BUCKET, hash_slot([self.key], self.buckets).cast("int"))
+        placed = self._bucketed(rows)
         # Adaptive execution sizes the files and splits a bucket that is too large.
         placed = placed.hint("rebalance", BUCKET) if self.buckets > 1 else placed
+        if in_place is not None:
+            placed = self._bucketed(in_place).unionByName(placed)
         placed.write.mode("overwrite").partitionBy(BUCKET).parquet(
             f"{self.path}/rows/{VERSION}={version}"
         )
@@ -220,15 +229,17 @@ class SnapshotTable:
     def _settle(
         self,
         changes: DataFrame,
-        next_rows: Callable[[DataFrame, DataFrame], DataFrame],
+        next_rows: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
         operation: str,
         note: str | None,
         at: datetime | None,
     ) -> dict[str, int]:
         """Rewrite the buckets that hold a change; no change, no version.
 
-        The change set is computed once: its counts per bucket decide what to
-        rewrite, its rows go into the rewrite.
+        ``next_rows`` turns current rows and changes into the rows that stay and
+        the rows that come. The change set is computed once: its counts decide
+        which buckets to rewrite, and whether it is small enough to broadcast. If
+        so the rows that stay are streamed through without a shuffle.
         """
         changes = changes.persist()
         try:
@@ -239,22 +250,31 @@ class SnapshotTable:
             if counts:
                 hit = {row[BUCKET] for row in per_bucket}
                 commit = self._required(None)
-                part = {v: [b for b in bs if b in hit] for v, bs in self._layout(commit).items()}
-                current = self._rows(commit, {v: bs for v, bs in part.items() if bs})
-                staged = self.stage(next_rows(current, changes))
+                current = self._rows(commit, self._only(commit, hit))
+                stay, come = next_rows(current, changes)
+                if sum(counts.values()) <= SMALL_MERGE:
+                    stay = next_rows(current, F.broadcast(changes))[0]
+                    staged = self.stage(come, in_place=stay)
+                else:
+                    staged = self.stage(stay.unionByName(come))
                 self.publish(staged, operation, hit, counts, note, at)
             return counts
         finally:
             changes.unpersist()
 
+    def _only(self, commit: Row, hit: Iterable[int]) -> Layout:
+        """The part of a commit's layout that lies in the given buckets."""
+        wanted = set(hit)
+        part = {v: [b for b in bs if b in wanted] for v, bs in self._layout(commit).items()}
+        return {v: bs for v, bs in part.items() if bs}
+
     def touched_buckets(self, updates: DataFrame) -> DataFrame:
         """Current rows of the buckets that updates can reach."""
         commit = self._required(None)
         if self.buckets == 1:
             return self._rows(commit, self._layout(commit))
         hit = {r[BUCKET] for r in self._bucketed(updates).select(BUCKET).distinct().collect()}
-        part = {v: [b for b in bs if b in hit] for v, bs in self._layout(commit).items()}
-        return self._rows(commit, {v: bs for v, bs in part.items() if bs})
+        return self._rows(commit, self._only(commit, hit))
 
     def upsert(
         self, updates: DataFrame, note: str | None = None, at: datetime | None = None
@@ -263,10 +283,11 @@ class SnapshotTable:
         if not self.exists():
             return self._first_load(updates, note, at)
         changes = upsert_changes(self.touched_buckets(updates), updates, self.key)
-        counts = self._settle(
-            changes, lambda rows, chg: with_changes(rows, chg, self.key), "upsert", note, at
-        )
-        return sum(counts.values())
+
+        def after(rows: DataFrame, chg: DataFrame) -> tuple[DataFrame, DataFrame]:
+            return unchanged_rows(rows, chg, self.key), chg.select(*rows.columns)
+
+        return sum(self._settle(changes, after, "upsert", note, at).values())
 
     def _first_load(self, rows: DataFrame, note: str | None, at: datetime | None) -> int:
         staged = self.stage(rows)
@@ -314,9 +335,9 @@ class SnapshotTable:
             self.touched_buckets(updates), updates, self.key, tracked, effective
         )
 
-        def after(rows: DataFrame, chg: DataFrame) -> DataFrame:
+        def after(rows: DataFrame, chg: DataFrame) -> tuple[DataFrame, DataFrame]:
             opened = open_versions(chg.drop("_op"), effective).select(*rows.columns)
-            return close_versions(rows, chg, self.key, effective).unionByName(opened)
+            return close_versions(rows, chg, self.key, effective), opened
 
         return sum(self._settle(changes, after, "scd2", note, at).values())
 
@@ -335,10 +356,10 @@ class SnapshotTable:
         found = self._bucketed(self._rows(commit, self._layout(commit)).where(hit))
         sizes = {r[BUCKET]: r["count"] for r in found.groupBy(BUCKET).count().collect()}
         if sizes:
-            part = {v: [b for b in bs if b in sizes] for v, bs in self._layout(commit).items()}
-            current = self._rows(commit, {v: bs for v, bs in part.items() if bs})
+            current = self._rows(commit, self._only(commit, sizes))
             counts = {operation: sum(sizes.values())}
-            self.publish(self.stage(next_rows(current, hit)), operation, sizes, counts, at=at)
+            staged = self.stage(current.limit(0), in_place=next_rows(current, hit))
+            self.publish(staged, operation, sizes, counts, at=at)
         return sum(sizes.values())
 
     def update_where(

@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.errors import AnalysisException
 
+from strata.operators import snapshots
 from strata.operators.snapshots import SnapshotTable, retention_candidates
 from tests.conftest import at, sets
 
@@ -24,7 +25,14 @@ def test_empty_table(table):
         table.read()
 
 
-def test_upsert_rewrites_only_changed_buckets(spark, table):
+@pytest.fixture(params=["broadcast", "shuffle"])
+def both_ways(request, monkeypatch):
+    """Merges with a change set below and above the broadcast limit."""
+    if request.param == "shuffle":
+        monkeypatch.setattr(snapshots, "SMALL_MERGE", 0)
+
+
+def test_upsert_rewrites_only_changed_buckets(spark, table, both_ways):
     first = rows(spark, *[(i, "a", at(1)) for i in range(40)])
     assert table.upsert(first) == 40
     assert table.upsert(first) == 0 and table.version() == 0
@@ -42,7 +50,7 @@ def test_upsert_rewrites_only_changed_buckets(spark, table):
     }
 
 
-def test_scd2_is_one_commit_and_replay_changes_nothing(spark, table):
+def test_scd2_is_one_commit_and_replay_changes_nothing(spark, table, both_ways):
     table.scd2(rows(spark, (1, "a", at(1)), (2, "a", at(1))), ["name"])
     batch = rows(spark, (1, "b", at(2)), (3, "c", at(2)))
     assert table.scd2(batch, ["name"]) == 2
