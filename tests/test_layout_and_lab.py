@@ -77,6 +77,10 @@ def test_rewrites_return_the_same_rows(spark, sales):
     promos = generate.all_promotions(spark)
     span = date(2024, 3, 1), date(2024, 3, 31)
     assert same(lab.promoted(sales, promos, *span), lab.promoted_distinct(sales, promos, *span))
+    twice = generate.all_customers(spark).drop("region")
+    twice = twice.unionByName(twice.where("customer_id = 42"))
+    args = (twice, "customer_id", ["segment"])
+    assert same(lab.segment_join(sales, *args), lab.segment_join_shuffled(sales, *args))
     assert same(lab.month_by_range(sales, 2024, 2), lab.month_by_functions(sales, 2024, 2))
 
 
