@@ -97,7 +97,7 @@ LINES = query("select * exclude (rn) from stg_lines")
 
 SQL = {
     "lab_selective_window": query(
-        f"""select sale_date, {REVENUE} from sales where supplier_id = 11
+        f"""select sale_date, {REVENUE} from sales where supplier_id = 3
             and sale_date between date '1998-03-01' and date '1998-03-30' group by sale_date""",
         **SALES,
     ),
@@ -132,7 +132,7 @@ SQL = {
         **SALES,
     ),
     "lab_selective_open": query(
-        f"""select sale_date, {REVENUE} from sales where supplier_id = 11
+        f"""select sale_date, {REVENUE} from sales where supplier_id = 3
             and sale_date >= date '1998-01-01' group by sale_date""",
         **SALES,
     ),

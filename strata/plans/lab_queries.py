@@ -15,7 +15,7 @@ from strata.session import work_folder
 from strata.sources import generate
 
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-COLD_SUPPLIER = 11
+COLD_SUPPLIER = 3
 WINDOW = date(1998, 3, 1), date(1998, 3, 30)
 MONTH = date(1998, 3, 1), date(1998, 3, 31)
 HALF_YEAR = date(1998, 1, 1), date(1998, 6, 30)
