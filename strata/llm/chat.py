@@ -29,7 +29,7 @@ def _turn_hash(seed: int) -> Column:
 
 
 def turns_with_prefixes(conversations: DataFrame) -> DataFrame:
-    """Each turn with block, p1, p2, n: hashes and length of the prefix that it ends.
+    """Each turn with block, p1, p2, n, whole: hashes and length of the prefix that it ends, turns in all.
 
     Turns with the same number, or without one, belong to the same prefix.
     """
@@ -47,6 +47,7 @@ def turns_with_prefixes(conversations: DataFrame) -> DataFrame:
             F.coalesce(F.sum("s1").over(before), zero).alias("b1"),
             F.coalesce(F.sum("s2").over(before), zero).alias("b2"),
             F.coalesce(F.sum("c").over(before), F.lit(0)).alias("bn"),
+            F.sum("c").over(Window.partitionBy("conv_id")).alias("whole"),
         )
     )
     here = Window.partitionBy("conv_id", "block").orderBy("turn").rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -60,6 +61,7 @@ def turns_with_prefixes(conversations: DataFrame) -> DataFrame:
         (F.col("b1") + F.col("r1")).cast("decimal(38,0)").alias("p1"),
         (F.col("b2") + F.col("r2")).cast("decimal(38,0)").alias("p2"),
         (F.col("bn") + F.col("rn")).alias("n"),
+        "whole",
     )
 
 
@@ -70,16 +72,10 @@ def maximal(turns: DataFrame) -> DataFrame:
     conversation id are one conversation, whose id is null.
     """
     key = ["p1", "p2", "n"]
-    last = turns.groupBy("conv_id").agg(F.max(F.struct("n", "p1", "p2")).alias("last"))
-    distinct = last.groupBy("last.p1", "last.p2", "last.n").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("copies"))
+    last = turns.filter(F.col("n") == F.col("whole")).select("conv_id", *key).distinct()
+    distinct = last.groupBy(*key).agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("copies"))
     # Every prefix of which at least one conversation has more.
-    longer = (
-        turns.groupBy("conv_id", *key).agg(F.count(F.lit(1)).alias("_c"))
-        .join(last.select(F.col("conv_id").alias("_conv"), F.col("last.n").alias("_whole")), F.col("conv_id").eqNullSafe(F.col("_conv")))
-        .filter(F.col("n") < F.col("_whole"))
-        .select(*key)
-        .distinct()
-    )
+    longer = turns.filter(F.col("n") < F.col("whole")).select(*key).distinct()
     return distinct.join(longer, key, "left_anti").select("conv_id", F.col("n").alias("n_turns"), "copies")
 
 

@@ -18,6 +18,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import settled
+
 #: Segments whose counts a worker remembers, the first that it meets.
 REMEMBERED = 1_000_000
 #: Texts encoded together.
@@ -129,6 +131,7 @@ def token_counts(docs: DataFrame, folder: str, model: bytes, text_col: str = "te
     """
     made = {"digest", "n_bytes", "n_tokens", "over_limit"}
     kept = [name for name in docs.columns if name != text_col and name.lower() not in made]
-    cache = extend_cache(docs, folder, model, text_col)
+    # Written as a plain table, so that Spark can cut the join where many rows share a content.
+    cache = settled(extend_cache(docs, folder, model, text_col), "token-counts")
     keyed = docs.select(*kept, F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), content_digest(F.col(text_col)).alias("digest"))
     return keyed.join(cache, "digest", "left").select(*kept, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
