@@ -7,8 +7,8 @@ common buckets (a pair at 0.85 is in none with a chance of 1e-13, at 0.8 of
 filtered by signature and confirmed on full sets, and components formed by
 alternating large-star and small-star. Buckets that then still hold several
 components are finished: every class outside the bucket's largest component is
-held against all others, in blocks, pairs that share a component excepted. So
-no link between two components is lost, and none within one is needed. A bucket
+held against all others, in blocks, pairs that share a component excepted, until
+it has one link to each component that it has any to. So no link between two components is lost, and none within one is needed. A bucket
 with a third of all rows is cut into blocks of classes, and a leader's rows
 into blocks of partners.
 """
@@ -153,23 +153,24 @@ def _agreeing(needed: int):
     return apply
 
 
-def _blocks(needed: int):
-    """Pairs of a probe and a member, from rows sorted by (bucket, block, role).
+def _candidates(needed: int):
+    """Per probe and block of a component the members to confirm, from rows sorted by (bucket, block, role).
 
     Probes come first (role 0) and are held; members are compared as they come.
     A pair of one component is left out, as is one that an earlier bucket of
-    both has: its band is the first in which the bands agree.
+    both has: its band is the first in which the bands agree. Of two probes the
+    one with the smaller id is held against the other.
     """
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, probes = None, []
         for batch in batches:
-            columns = [batch.column(n) for n in ("bucket", "block", "role", "id", "comp", "sketch", "bands")]
-            keys = list(zip(columns[0].to_pylist(), columns[1].to_pylist(), columns[2].to_pylist(), strict=True))
-            ids, comps = columns[3].to_numpy(), columns[4].to_numpy()
-            marks = np.frombuffer(b"".join(columns[5].to_pylist()), np.uint8).reshape(-1, MINIMA)
-            bands = columns[6].flatten().to_numpy().reshape(-1, BANDS)
-            left, right, start = [], [], 0
+            keys = list(zip(*(batch.column(n).to_pylist() for n in ("bucket", "block", "role")), strict=True))
+            ids, comps, parts, probing = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("id", "comp", "part", "probing"))
+            marks = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, MINIMA)
+            bands = batch.column("bands").flatten().to_numpy().reshape(-1, BANDS)
+            found: dict[tuple[int, int, int], list[int]] = {}
+            start = 0
             while start < len(keys):
                 end = start + 1
                 while end < len(keys) and keys[end] == keys[start]:
@@ -181,17 +182,42 @@ def _blocks(needed: int):
                 else:
                     for p_ids, p_comps, p_marks, p_bands in probes:
                         for m in range(start, end):
-                            rows = np.flatnonzero((p_marks == marks[m]).sum(1) >= needed)
-                            rows = rows[(p_comps[rows] != comps[m])]
+                            rows = np.flatnonzero((p_comps != comps[m]) & ((p_ids < ids[m]) | ~probing[m]))
+                            rows = rows[(p_marks[rows] == marks[m]).sum(1) >= needed]
                             if len(rows):
-                                first = (p_bands[rows] == bands[m]).argmax(1)
-                                rows = rows[p_bands[rows, first] == at[0]]
-                            left.append(p_ids[rows])
-                            right.append(np.full(len(rows), ids[m]))
+                                rows = rows[p_bands[rows, (p_bands[rows] == bands[m]).argmax(1)] == at[0]]
+                            for probe in p_ids[rows]:
+                                found.setdefault((int(probe), int(comps[m]), int(parts[m])), []).append(int(ids[m]))
                 start = end
-            if left:
-                a, b = np.concatenate(left), np.concatenate(right)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            if found:
+                probe, comp, part = (pa.array(c, pa.int64()) for c in zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays([probe, comp, part, pa.array(found.values(), pa.list_(pa.int64()))], names=["probe", "comp", "part", "members"])
+
+    return apply
+
+
+def _connected(size: int, percent: int):
+    """A link of each probe to a component that it has one to.
+
+    Rows are sorted by (comp, part, role): some members of a component first
+    (role 0), which are held, then the probes with the members to look at.
+    """
+
+    def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, {}
+        for batch in batches:
+            a, b = [], []
+            names = ("comp", "part", "role", "id", "members", "text")
+            for comp, part, role, own, members, text in zip(*(batch.column(n) for n in names), strict=True):
+                if (comp.as_py(), part.as_py()) != at:
+                    at, held = (comp.as_py(), part.as_py()), {}
+                found = shingle_set(text.as_py(), size)
+                if role.as_py() == 0:
+                    held[own.as_py()] = found
+                elif (link := next((m for m in members.as_py() if similar(held[m], found, percent)), None)) is not None:
+                    a.append(own.as_py())
+                    b.append(link)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return apply
 
@@ -242,7 +268,7 @@ class NearDuplicates:
     def _links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that hold on full sets."""
         pairs = settled(pairs.distinct(), "candidates")
-        parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+        parts = settled(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "leaders")
         placed = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
         wanted = placed.select(F.col("a").alias("id"), F.col("a").alias("lead"), "part", F.lit(0).alias("role")).distinct()
         wanted = wanted.union(placed.select(F.col("b").alias("id"), F.col("a").alias("lead"), "part", F.lit(1).alias("role")))
@@ -253,7 +279,8 @@ class NearDuplicates:
         """(bucket, n, l1, l2, id) for buckets of two classes or more; l1 and l2 lead them."""
         banded = self.classes.select("id", F.explode("bands").alias("bucket"))
         buckets = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("l1"), F.min(F.struct(F.xxhash64("id"), "id")).alias("l2"))
-        buckets = buckets.filter("n > 1").select("bucket", "n", "l1", F.col("l2.id").alias("l2"))
+        # Written first, so that the join below has a plain side and Spark can cut a hot bucket.
+        buckets = settled(buckets.filter("n > 1").select("bucket", "n", "l1", F.col("l2.id").alias("l2")), "bucket-leaders")
         return settled(banded.join(buckets, "bucket"), "buckets")
 
     def links(self) -> DataFrame:
@@ -264,18 +291,33 @@ class NearDuplicates:
         sketch = self.classes.select("id", "sketch")
         led = led.join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
         links = self._links(led.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_agreeing(needed), "a long, b long"))
-
-        comps = components(links)
-        held = members.join(comps, F.col("id") == F.col("node"), "left").select("bucket", "n", "id", F.coalesce("comp", "id").alias("comp"))
+        return links.union(self._missing_links(members, components(links), needed))
+
+    def _missing_links(self, members: DataFrame, comps: DataFrame, needed: int) -> DataFrame:
+        """Links between components that share a bucket, from each probe to each such component."""
+        nodes = self.classes.select("id").join(comps, F.col("id") == F.col("node"), "left").select("id", F.coalesce("comp", "id").alias("comp"))
+        sizes = settled(nodes.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("parts")), "component-sizes")
+        nodes = settled(nodes.join(sizes, "comp").select("id", "comp", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part")), "nodes")
+        held = settled(members.select("bucket", "n", "id").join(nodes, "id"), "bucket-components")
         shares = held.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
         largest = shares.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-        mixed = held.join(largest.select("bucket", F.col("top.comp").alias("top")), "bucket")
-        mixed = mixed.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-        probes = mixed.filter("comp != top").select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("role"), "id", "comp")
-        rest = mixed.select("bucket", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("role"), "id", "comp")
-        rows = probes.union(rest).join(self.classes.select("id", "sketch", "bands"), "id")
+        largest = settled(largest.select("bucket", F.col("top.comp").alias("top")), "mixed-buckets")
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        mixed = held.join(largest, "bucket").select("bucket", blocks.alias("blocks"), "id", "comp", "part", (F.col("comp") != F.col("top")).alias("probing"))
+        probes = mixed.filter("probing").withColumns({"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "role": F.lit(0)})
+        rest = mixed.withColumns({"block": F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), "role": F.lit(1)})
+        rows = probes.unionByName(rest).join(self.classes.select("id", "sketch", "bands"), "id")
         rows = rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "role")
-        return links.union(self._links(rows.mapInArrow(_blocks(needed), "a long, b long")))
+        found = rows.mapInArrow(_candidates(needed), "probe long, comp long, part long, members array<long>")
+        found = settled(found.groupBy("probe", "comp", "part").agg(F.flatten(F.collect_list("members")).alias("members")), "probes")
+
+        none = F.lit(None).cast("array<long>")
+        parts = settled(found.select("comp", "part").distinct(), "probed-parts")
+        wanted = nodes.join(parts, ["comp", "part"]).select("id", "comp", "part", F.lit(0).alias("role"), none.alias("members"))
+        wanted = wanted.union(found.select("probe", "comp", "part", F.lit(1), "members"))
+        ordered = self._texts_of(wanted).repartition("comp", "part").sortWithinPartitions("comp", "part", "role")
+        ordered = ordered.select("comp", "part", "role", "id", "members", "text")
+        return settled(ordered.mapInArrow(_connected(self.size, self.percent), "a long, b long"), "links")
 
     def groups(self) -> DataFrame:
         """(doc_id, doc, n_shingles, component_id, component, kept) for each document.
@@ -288,7 +330,7 @@ class NearDuplicates:
         of_class = self.classes.select("id", "digest").join(comps, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("comp", "id").alias("component"))
         rows = self.rows.select("doc_id", "doc", "n_shingles", "digest").join(of_class, "digest", "left")
         rows = settled(rows.drop("digest"), "grouped")
-        least = rows.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("least"))
+        least = settled(rows.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("least")), "smallest-ids")
         rows = rows.join(least, "component", "left").withColumn("component_id", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")))
         return rows.select("doc_id", "doc", "n_shingles", "component_id", "component", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
@@ -307,9 +349,10 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(edges.select("v", "v").distinct())
         before = state
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = settled(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "smallest")
         large = both.filter("v > u").join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = settled(large, "large-star")
+        down = settled(large.groupBy("u").agg(F.min("v").alias("m")), "smallest")
         small = large.join(down, "u").select(F.explode(F.array_distinct(F.array("u", "v"))).alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         edges = settled(small, "edges")
 
