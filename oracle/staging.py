@@ -61,8 +61,9 @@ VIEWS: dict[str, str] = {
         as seq from orders
     """,
     "stg_usage": """
-        select order_line_id as usage_id, l_returnflag as sku_name, ship_date as usage_date,
-        quantity as usage_quantity, supplier_id as variant, order_id as job_run_id from stg_lines
+        select order_line_id as usage_id, case when order_line_id % 89 <> 0 then l_returnflag end as sku_name,
+        ship_date as usage_date, case when order_line_id % 97 <> 0 then ship_date end as usage_end,
+        cast(quantity * 0.25 as decimal(12,2)) as usage_quantity, supplier_id as variant, order_id as job_run_id from stg_lines
     """,
     "stg_prices": """
         select l_returnflag as sku_name, yr as price_year, min(ship_date) as price_start,

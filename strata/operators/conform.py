@@ -53,7 +53,7 @@ def misfits(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Rows of ``child`` whose key no row of ``parent`` has (NULL keys included)."""
-    return child.join(parent.select(key).distinct(), key, "left_anti")
+    return child.join(parent.select(key), key, "left_anti")
 
 
 def orphan_count(child: DataFrame, parent: DataFrame, key: str, name: str) -> DataFrame:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from strata.functions.columns import money, within_month
 from strata.functions.skew import hot_keys, salted_join
 
-BROADCAST_ROWS = 100_000
 
 
 def _revenue() -> Column:
@@ -96,16 +95,9 @@ def brand_by_shuffle(sales: DataFrame, products: DataFrame, key: str) -> DataFra
     return joined.groupBy("brand").agg(_revenue())
 
 
-def fits_broadcast(dimension: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the dimension has at most ``rows`` rows; reads no more than that."""
-    return dimension.limit(rows + 1).count() <= rows
-
-
 def brand_by_broadcast(sales: DataFrame, products: DataFrame, key: str) -> DataFrame:
-    """The dimension is broadcast if it proves small, else the planner decides."""
-    small = products.select(key, "brand")
-    side = F.broadcast(small) if fits_broadcast(small) else small
-    return sales.join(side, key).groupBy("brand").agg(_revenue())
+    """The dimension is cut to what is asked; the planner broadcasts it while its bytes allow."""
+    return sales.join(products.select(key, "brand"), key).groupBy("brand").agg(_revenue())
 
 
 def segment_join_shuffled(sales: DataFrame, dimension: DataFrame, key: str, by: list[str]):

@@ -94,48 +94,33 @@ def top_customers(fact: DataFrame, customers: DataFrame, limit: int = 10) -> Dat
 # -- cost ----------------------------------------------------------------
 
 
-def unit_costs(
-    usage: DataFrame, prices: DataFrame, keys: Sequence[str], moment: str
-) -> DataFrame:
-    """Price of every (product, moment) that occurs in the usage.
-
-    Each pair is priced once, whatever number of usage rows shares it, and the
-    usage is then joined by equality only. ``copies`` counts the matching
-    prices: overlapping price rows multiply a usage row, a missing one costs 0.
-    """
-    asked = usage.select(*keys, moment).distinct()
-    p = prices.select(*keys, "price_start", "price_end", "price")
-    within = valid_at(F.col(moment), F.col("_p.price_start"), F.col("_p.price_end"))
-    same = F.lit(True)
-    for k in keys:
-        same = same & (F.col(f"_u.{k}") == F.col(f"_p.{k}"))
-    return (
-        asked.alias("_u")
-        .join(p.alias("_p"), same & within, "left")
-        .groupBy(*[F.col(f"_u.{k}").alias(k) for k in keys], moment)
-        .agg(
-            F.sum(F.coalesce("price", F.lit(0))).alias("unit_cost"),
-            F.count(F.lit(1)).alias("copies"),
-        )
-    )
-
-
 def usage_cost(
     usage: DataFrame,
     prices: DataFrame,
     by: Sequence[str],
     keys: Sequence[str] = ("sku_name",),
     moment: str = "usage_end",
-    extra: Sequence[Column] = (),
+    earliest: str | None = None,
 ) -> DataFrame:
-    """Quantity (``dbus``) and cost (``usd``) per group."""
-    costs = unit_costs(usage, prices, keys, moment)
-    joined = usage.join(costs, [*keys, moment])
-    return joined.groupBy(*by).agg(
-        F.sum(F.col("usage_quantity") * F.col("copies")).cast("bigint").alias("dbus"),
-        money(F.sum(F.col("usage_quantity") * F.col("unit_cost"))).alias("usd"),
-        *extra,
-    )
+    """Quantity (``dbus``) and cost (``usd``) per group, and ``started`` if asked.
+
+    Usage is summed per group, product and moment before it meets the prices, so
+    it is read once and no raw row moves. Usage without a product, a moment or a
+    price costs 0; overlapping prices count it once each. Quantities keep their
+    type, and money is rounded at the end only.
+    """
+    parts = list(dict.fromkeys([*by, *keys, moment]))
+    first = F.min(earliest if earliest else F.lit(None).cast("timestamp"))
+    sums = usage.groupBy(*parts).agg(F.sum("usage_quantity").alias("_quantity"), first.alias("started"))
+    p = prices.select(*[F.col(k).alias(f"_p{i}") for i, k in enumerate(keys)], "price_start", "price_end", "price")
+    match = valid_at(F.col(moment), F.col("price_start"), F.col("price_end"))
+    for i, k in enumerate(keys):
+        match = match & (F.col(k) == F.col(f"_p{i}"))
+    cost = F.col("_quantity") * F.coalesce("price", F.lit(0))
+    figures = [F.sum("_quantity").alias("dbus"), money(F.sum(cost)).alias("usd")]
+    if earliest:
+        figures.append(F.min("started").alias("started"))
+    return sums.join(p, match, "left").groupBy(*by).agg(*figures)
 
 
 def cost_daily_by_sku(
@@ -164,7 +149,7 @@ def cost_per_run(
         runs.where("job_id is not null"),
         prices,
         ["job_id", "run_id"],
-        extra=[F.min("usage_start").alias("started")],
+        earliest="usage_start",
         **options,
     )
     return cost.orderBy(F.col("started").desc(), "job_id", "run_id").limit(limit)

@@ -76,13 +76,27 @@ def count_ops(changes: DataFrame) -> DataFrame:
     )
 
 
-def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
-    """Row changes between two states of a table, with images before and after."""
-    old = before.select(F.col(key), F.struct(*before.columns).alias("_pre"))
-    new = after.select(F.col(key), F.struct(*before.columns).alias("_post"))
+def change_feed(before: DataFrame, after: DataFrame, identity: str | Sequence[str]) -> DataFrame:
+    """Row changes between two states of a table, with images before and after.
 
-    def image(kind: str, row: str) -> Column:
-        return F.struct(F.lit(kind).alias("_change_type"), F.col(row).alias("_row"))
+    ``identity`` names the columns that tell rows apart, nulls included. Columns
+    that only one state has are null in the images of the other.
+    """
+    keys = [identity] if isinstance(identity, str) else list(identity)
+    kinds = {f.name: f.dataType for f in (*before.schema, *after.schema)}
+    names = [*before.columns, *[c for c in after.columns if c not in before.columns]]
+
+    def row(state: DataFrame, alias: str) -> DataFrame:
+        cells = [(F.col(c) if c in state.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in names]
+        return state.select(*[F.col(k).alias(f"{alias}_{i}") for i, k in enumerate(keys)], F.struct(*cells).alias(alias))
+
+    old, new = row(before, "_pre"), row(after, "_post")
+    same = F.lit(True)
+    for i in range(len(keys)):
+        same = same & F.col(f"_pre_{i}").eqNullSafe(F.col(f"_post_{i}"))
+
+    def image(kind: str, side: str) -> Column:
+        return F.struct(F.lit(kind).alias("_change_type"), F.col(side).alias("_row"))
 
     images = (
         F.when(F.col("_pre").isNull(), F.array(image("insert", "_post")))
@@ -90,7 +104,7 @@ def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
         .otherwise(F.array(image("update_preimage", "_pre"), image("update_postimage", "_post")))
     )
     return (
-        old.join(new, key, "full")
+        old.join(new, same, "full")
         .where(~F.col("_pre").eqNullSafe(F.col("_post")))
         .select(F.explode(images).alias("_change"))
         .select("_change._change_type", "_change._row.*")

@@ -1,18 +1,20 @@
 """Versioned tables on plain parquet.
 
-A table is a folder with ``rows/snap_v=N/snap_b=K`` (rows written by version N
-for hash bucket K of the key) and ``commits`` (one small row per version, added
-after the data is complete). A commit names for every live version the buckets
-it still provides, so a merge rewrites only the buckets it changes, an append
-rewrites nothing, and older versions stay readable. A failed write leaves a
-folder no commit names, and the next attempt overwrites it. One writer per
-table; a second writer of the same version fails on its commit.
+A table is a folder with ``rows/snap_v=P/snap_b=K`` (rows of the part P, written
+by one attempt at a version, for hash bucket K of the key) and ``commits`` (one
+small row per version, added after the data is complete). A commit names for
+every live part the buckets it still provides, so a merge rewrites only the
+buckets it changes, an append rewrites nothing, and older versions stay
+readable. Every attempt writes a part of its own, so a failed or a late writer
+leaves files that no commit names and never touches those of another one. An
+object that does not know the newest version is refused before it writes.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable, Mapping
+import uuid
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime, timedelta
 
@@ -38,9 +40,7 @@ COMMIT_SCHEMA = columns(
     note="string",
 )
 VERSION, BUCKET = "snap_v", "snap_b"
-Layout = dict[int, list[int]]
-# Change sets up to this many rows are broadcast in a rewrite; they are counted first.
-SMALL_MERGE = 100_000
+Layout = dict[str, list[int]]
 
 
 @dataclass(frozen=True)
@@ -48,6 +48,7 @@ class Staged:
     """Rows written for a version that is not committed yet."""
 
     version: int
+    part: str
     schema: T.StructType
 
 
@@ -55,11 +56,14 @@ class SnapshotTable:
     """One table. An object sees the state of its first look plus its own commits;
     a new object looks again."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 1):
+    def __init__(
+        self, spark: SparkSession, path: str, key: str, buckets: int = 1, identity: Sequence[str] | None = None
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
         self.buckets = buckets
+        self.identity = list(identity or [key])
         self._head: Row | None = None
 
     # -- commits ---------------------------------------------------------
@@ -96,9 +100,9 @@ class SnapshotTable:
         return latest["note"] if latest else None
 
     def _layout(self, commit: Row) -> Layout:
-        """Buckets each live version provides; a version with all of them names none."""
+        """Buckets each live part provides; a part with all of them names none."""
         every = list(range(self.buckets))
-        return {int(v): every if b is None else b for v, b in json.loads(commit["layout"]).items()}
+        return {v: every if b is None else b for v, b in json.loads(commit["layout"]).items()}
 
     # -- reading ---------------------------------------------------------
 
@@ -118,7 +122,7 @@ class SnapshotTable:
         if not layout:
             return self.spark.createDataFrame([], schema)
         names = schema.names
-        physical = T.StructType(schema.fields).add(VERSION, T.LongType()).add(BUCKET, T.IntegerType())
+        physical = T.StructType(schema.fields).add(VERSION, T.StringType()).add(BUCKET, T.IntegerType())
         rows = (
             self.spark.read.schema(physical)
             .option("basePath", f"{self.path}/rows")
@@ -141,22 +145,23 @@ class SnapshotTable:
         this table's files and still lie bucket by bucket, so they are written
         where they are read, without a shuffle.
         """
-        last = self.version()
-        version = 0 if last is None else last + 1
+        newest = self.commits().agg(F.max("version")).first()[0]
+        if newest != self.version():
+            raise RuntimeError(f"{self.path} is at version {newest}, this object knows {self.version()}")
+        version = 0 if newest is None else newest + 1
+        part = f"{version}-{uuid.uuid4().hex}"
         placed = self._bucketed(rows)
         # Adaptive execution sizes the files and splits a bucket that is too large.
         placed = placed.hint("rebalance", BUCKET) if self.buckets > 1 else placed
         if in_place is not None:
             placed = self._bucketed(in_place).unionByName(placed)
-        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(
-            f"{self.path}/rows/{VERSION}={version}"
-        )
-        return Staged(version, rows.schema)
+        placed.write.partitionBy(BUCKET).parquet(f"{self.path}/rows/{VERSION}={part}")
+        return Staged(version, part, rows.schema)
 
     def staged_rows(self, staged: Staged) -> DataFrame:
         return (
             self.spark.read.schema(staged.schema)
-            .parquet(f"{self.path}/rows/{VERSION}={staged.version}")
+            .parquet(f"{self.path}/rows/{VERSION}={staged.part}")
             .select(*staged.schema.names)
         )
 
@@ -178,7 +183,7 @@ class SnapshotTable:
             left = [b for b in buckets if b not in gone]
             if left:
                 layout[v] = left
-        layout[staged.version] = sorted(gone) if gone else list(every)
+        layout[staged.part] = sorted(gone) if gone else list(every)
         return self._record(staged.version, layout, staged.schema, operation, counts, note, at)
 
     def _record(
@@ -199,11 +204,9 @@ class SnapshotTable:
             "inserted": counts.get("insert", 0),
             "updated": counts.get("update", 0),
             "deleted": counts.get("delete", 0),
-            "layout": json.dumps(
-                {str(v): b if len(b) < self.buckets else None for v, b in layout.items()}
-            ),
+            "layout": json.dumps({v: b if len(b) < self.buckets else None for v, b in layout.items()}),
             "row_schema": schema.json(),
-            "note": note,
+            "note": self.note() if note is None else note,
         }
         row = self.spark.range(1).select(
             *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in COMMIT_SCHEMA]
@@ -215,7 +218,11 @@ class SnapshotTable:
     def overwrite(
         self, rows: DataFrame, note: str | None = None, at: datetime | None = None
     ) -> int:
-        """Replace content and schema. The new rows may be computed from the old."""
+        """Replace content and schema. The new rows may be computed from the old.
+
+        A note says how far the table's input was taken in; a commit without one
+        carries the last one on.
+        """
         return self.publish(self.stage(rows), "overwrite", note=note, at=at)
 
     def append(self, rows: DataFrame, at: datetime | None = None) -> int:
@@ -238,8 +245,7 @@ class SnapshotTable:
 
         ``next_rows`` turns current rows and changes into the rows that stay and
         the rows that come. The change set is computed once: its counts decide
-        which buckets to rewrite, and whether it is small enough to broadcast. If
-        so the rows that stay are streamed through without a shuffle.
+        which buckets to rewrite. How it meets them is the planner's choice.
         """
         changes = changes.persist()
         try:
@@ -252,12 +258,7 @@ class SnapshotTable:
                 commit = self._required(None)
                 current = self._rows(commit, self._only(commit, hit))
                 stay, come = next_rows(current, changes)
-                if sum(counts.values()) <= SMALL_MERGE:
-                    stay = next_rows(current, F.broadcast(changes))[0]
-                    staged = self.stage(come, in_place=stay)
-                else:
-                    staged = self.stage(stay.unionByName(come))
-                self.publish(staged, operation, hit, counts, note, at)
+                self.publish(self.stage(stay.unionByName(come)), operation, hit, counts, note, at)
             return counts
         finally:
             changes.unpersist()
@@ -279,7 +280,14 @@ class SnapshotTable:
     def upsert(
         self, updates: DataFrame, note: str | None = None, at: datetime | None = None
     ) -> int:
-        """Keyed upsert; returns rows inserted or updated, 0 on a replay."""
+        """Keyed upsert; returns rows inserted or updated, 0 on a replay.
+
+        Updates must hold a key once; which of several rows counts is the caller's
+        choice (``conform.newest_version``).
+        """
+        repeated = updates.groupBy(self.key).count().where("count > 1").first()
+        if repeated is not None:
+            raise ValueError(f"several updates of {self.key} {repeated[0]}")
         if not self.exists():
             return self._first_load(updates, note, at)
         changes = upsert_changes(self.touched_buckets(updates), updates, self.key)
@@ -318,7 +326,7 @@ class SnapshotTable:
     def rows_after(self, version: int) -> DataFrame:
         """Rows of parts written after a version; for tables that only append."""
         commit = self._required(None)
-        return self._rows(commit, {v: b for v, b in self._layout(commit).items() if v > version})
+        return self._rows(commit, {p: b for p, b in self._layout(commit).items() if written_by(p) > version})
 
     def scd2(
         self,
@@ -365,7 +373,9 @@ class SnapshotTable:
     def update_where(
         self, condition: str, assignments: Mapping[str, str], at: datetime | None = None
     ) -> int:
-        """Assign expressions in rows that satisfy the condition."""
+        """Assign expressions in rows that satisfy the condition; the key stays as it is."""
+        if self.key.lower() in {c.lower() for c in assignments}:
+            raise ValueError(f"{self.key} decides where a row lies and can't be assigned")
 
         def assigned(rows: DataFrame, hit: Column) -> DataFrame:
             return rows.withColumns(
@@ -390,34 +400,41 @@ class SnapshotTable:
         old = self._required(version)
         latest = self._required(None)["version"]
         schema = T.StructType.fromJson(json.loads(old["row_schema"]))
-        return self._record(
-            latest + 1, self._layout(old), schema, "restore", None, f"restored {version}", at
-        )
+        return self._record(latest + 1, self._layout(old), schema, "restore", None, None, at)
 
     def changes_between(self, older: int, newer: int) -> DataFrame:
-        """Change feed of two versions; parts both versions share are not read."""
+        """Change feed of two versions; parts both versions share are not read.
+
+        Rows are matched by the table's identity, the key unless it was given.
+        """
         a, b = self._required(older), self._required(newer)
         left, right = self._layout(a), self._layout(b)
         before = self._rows(a, _minus(left, right))
         after = self._rows(b, _minus(right, left))
-        return change_feed(before, after, self.key).withColumn(
+        return change_feed(before, after, self.identity).withColumn(
             "_commit_version", F.lit(newer).cast("bigint")
         )
 
 
+def written_by(part: str) -> int:
+    """Version a part was written for."""
+    return int(part.partition("-")[0])
+
+
 def _minus(left: Layout, right: Layout) -> Layout:
     rest = {v: [b for b in bs if b not in right.get(v, [])] for v, bs in left.items()}
     return {v: bs for v, bs in rest.items() if bs}
 
 
 def retention_candidates(commits: DataFrame, as_of: datetime, keep_hours: int = 168) -> DataFrame:
-    """Versions replaced more than ``keep_hours`` ago (a dry run: nothing is removed)."""
+    """Versions replaced more than ``keep_hours`` ago whose rows no kept version uses (a dry run)."""
     following = commits.select(
         (F.col("version") - 1).alias("version"), F.col("committed_at").alias("replaced_at")
     )
-    limit = as_of - timedelta(hours=keep_hours)
-    return (
-        commits.join(following, "version")
-        .where(F.col("replaced_at") < F.lit(limit))
-        .select("version", "operation", "replaced_at")
-    )
+    limit = F.lit(as_of - timedelta(hours=keep_hours))
+    dated = commits.join(following, "version", "left")
+    kept = dated.where(F.col("replaced_at").isNull() | (F.col("replaced_at") >= limit))
+    parts = kept.select(F.explode(F.json_object_keys("layout")).alias("part"))
+    used = parts.select(F.substring_index("part", "-", 1).cast("bigint").alias("version")).distinct()
+    old = dated.where(F.col("replaced_at") < limit).join(used, "version", "left_anti")
+    return old.select("version", "operation", "replaced_at")

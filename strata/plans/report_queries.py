@@ -182,7 +182,7 @@ def tagged_usage(s: Staging) -> DataFrame:
         "sku_name",
         "usage_date",
         F.col("usage_date").alias("usage_start"),
-        F.col("usage_date").alias("usage_end"),
+        "usage_end",
         "usage_quantity",
         F.when(on_job, F.create_map(F.lit("lab"), F.col("variant"))).alias("custom_tags"),
         F.struct(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -200,9 +201,11 @@ class Staging:
     def usage(self) -> DataFrame:
         return self.lines.select(
             F.col("order_line_id").alias("usage_id"),
-            F.col("l_returnflag").alias("sku_name"),
+            # Some usage has no product, some has not ended, and quantities are fractions.
+            F.when(F.col("order_line_id") % 89 != 0, F.col("l_returnflag")).alias("sku_name"),
             F.col("ship_date").alias("usage_date"),
-            F.col("quantity").alias("usage_quantity"),
+            F.when(F.col("order_line_id") % 97 != 0, F.col("ship_date")).alias("usage_end"),
+            (F.col("quantity") * F.lit(Decimal("0.25"))).cast("decimal(12,2)").alias("usage_quantity"),
             F.col("supplier_id").alias("variant"),
             F.col("order_id").alias("job_run_id"),
         )

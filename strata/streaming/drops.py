@@ -16,6 +16,7 @@ repeated batch replaces it, so a restart neither loses nor doubles rows.
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -168,21 +169,33 @@ def file_headers(batch: DataFrame) -> dict[tuple[str, ...], list[str]]:
     groups: dict[tuple[str, ...], list[str]] = {}
     for row in heads:
         names = tuple(name.strip() for name in next(csv.reader([row["_header"].lstrip("\ufeff")])))
-        groups.setdefault(names, []).append(unquote(row["_source_file"]))
+        groups.setdefault(names, []).append(row["_source_file"])
     return groups
 
 
+def literal(path: str) -> str:
+    """The path with the signs of a file pattern taken literally."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def csv_records(batch: DataFrame, feed: Feed) -> DataFrame:
     """Bind CSV rows through the header of their own file."""
     spark = batch.sparkSession
     bound = None
     for names, files in sorted(file_headers(batch).items()):
+        if len({name.lower() for name in names}) < len(names):
+            # Which of two equal names a cell belongs to can't be told: the lines are rescued as they are.
+            empty = F.create_map().cast("map<string,string>")
+            lines = batch.where(F.col("_source_file").isin(files) & (F.trim("value") != ""))
+            part = _shape(lines, feed, lambda _: F.lit(None).cast("string"), empty, F.col("value"))
+            bound = part if bound is None else bound.unionByName(part)
+            continue
         schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, CORRUPT)])
         rows = (
             spark.read.schema(schema)
             .option("header", "true")
             .option("columnNameOfCorruptRecord", CORRUPT)
-            .csv(files)
+            .csv([literal(unquote(file)) for file in files])
             .withColumn("_source_file", F.col("_metadata.file_path"))
         )
         others = [c for c in names if c not in feed.types]
@@ -223,8 +236,10 @@ def typed(rows: DataFrame, feed: Feed) -> DataFrame:
         for c, kind in feed.types.items()
         if kind != "string"
     ]
+    declared = F.lit(list(feed.types))
     present = F.map_filter(
-        F.coalesce("_extra", F.create_map().cast("map<string,string>")), lambda _, v: v.isNotNull()
+        F.coalesce("_extra", F.create_map().cast("map<string,string>")),
+        lambda k, v: v.isNotNull() & ~F.array_contains(declared, k),
     )
     lost = F.map_concat(*misfit, present) if misfit else present
     rescued = F.coalesce("_rescued_data", F.when(F.size(lost) > 0, F.to_json(lost)))

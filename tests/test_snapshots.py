@@ -3,7 +3,6 @@ from datetime import datetime
 import pytest
 from pyspark.errors import AnalysisException
 
-from strata.operators import snapshots
 from strata.operators.snapshots import SnapshotTable, retention_candidates
 from tests.conftest import at, sets
 
@@ -25,21 +24,14 @@ def test_empty_table(table):
         table.read()
 
 
-@pytest.fixture(params=["broadcast", "shuffle"])
-def both_ways(request, monkeypatch):
-    """Merges with a change set below and above the broadcast limit."""
-    if request.param == "shuffle":
-        monkeypatch.setattr(snapshots, "SMALL_MERGE", 0)
-
-
-def test_upsert_rewrites_only_changed_buckets(spark, table, both_ways):
+def test_upsert_rewrites_only_changed_buckets(spark, table):
     first = rows(spark, *[(i, "a", at(1)) for i in range(40)])
     assert table.upsert(first) == 40
     assert table.upsert(first) == 0 and table.version() == 0
     assert table.upsert(rows(spark, (7, "b", at(2)), (100, "n", at(2)))) == 2
     commit = table.commits().where("version = 1").first()
     assert (commit["inserted"], commit["updated"]) == (1, 1)
-    assert '"0": [' in commit["layout"], "untouched buckets stay with the first version"
+    assert '"0-' in commit["layout"] and "[" in commit["layout"], "untouched buckets stay with the first version"
     assert table.read().count() == 41
     assert table.read(0).count() == 40
     feed = table.changes_between(0, 1)
@@ -50,7 +42,7 @@ def test_upsert_rewrites_only_changed_buckets(spark, table, both_ways):
     }
 
 
-def test_scd2_is_one_commit_and_replay_changes_nothing(spark, table, both_ways):
+def test_scd2_is_one_commit_and_replay_changes_nothing(spark, table):
     table.scd2(rows(spark, (1, "a", at(1)), (2, "a", at(1))), ["name"])
     batch = rows(spark, (1, "b", at(2)), (3, "c", at(2)))
     assert table.scd2(batch, ["name"]) == 2
@@ -106,3 +98,66 @@ def test_retention_names_replaced_versions(spark, table):
     due = retention_candidates(table.commits(), datetime(2026, 1, 21))
     assert sets(due, "version") == {(0,)}
     assert retention_candidates(table.commits(), datetime(2026, 1, 21), 0).count() == 2
+
+
+def test_a_stale_object_is_refused_and_harms_nothing(spark, table):
+    table.overwrite(rows(spark, (1, "a", at(1))))
+    stale = SnapshotTable(spark, table.path, "id", buckets=4)
+    assert stale.version() == 0
+    table.upsert(rows(spark, *[(i, "b", at(2)) for i in range(50)]))
+    with pytest.raises(RuntimeError, match="version 1"):
+        stale.overwrite(rows(spark, (9, "z", at(3))))
+    assert table.read().count() == 50 and SnapshotTable(spark, table.path, "id", buckets=4).read().count() == 50
+
+
+def test_an_unfinished_attempt_leaves_no_trace(spark, table):
+    table.overwrite(rows(spark, *[(i, "a", at(1)) for i in range(20)]))
+    table.stage(rows(spark, (99, "lost", at(2))))
+    assert table.upsert(rows(spark, (3, "b", at(2)))) == 1
+    assert table.read().count() == 20 and table.read().where("id = 99").count() == 0
+
+
+def test_the_key_can_not_be_assigned(spark, table):
+    table.overwrite(rows(spark, *[(i, "a", at(1)) for i in range(10)]))
+    with pytest.raises(ValueError, match="id"):
+        table.update_where("id < 5", {"ID": "id + 100"})
+    assert table.read().count() == 10
+
+
+def test_progress_is_carried_over_by_every_commit(spark, table):
+    table.upsert(rows(spark, (1, "a", at(1)), (2, "a", at(1))), note="7")
+    table.update_where("id = 1", {"name": "'x'"})
+    table.delete_where("id = 2")
+    table.compact()
+    table.restore(0)
+    assert table.note() == "7" and SnapshotTable(spark, table.path, "id", buckets=4).note() == "7"
+
+
+def test_repeated_update_keys_are_refused(spark, table):
+    with pytest.raises(ValueError, match="several updates"):
+        table.upsert(rows(spark, (1, "a", at(1)), (1, "b", at(1))))
+    table.upsert(rows(spark, (1, "a", at(1))))
+    with pytest.raises(ValueError, match="several updates"):
+        table.upsert(rows(spark, (1, "b", at(2)), (1, "c", at(2))))
+
+
+def test_feed_by_row_identity_and_over_schema_changes(spark, folder):
+    table = SnapshotTable(spark, f"{folder}/h", "id", buckets=2, identity=["id", "valid_from"])
+    table.scd2(rows(spark, (1, "a", at(1)), (2, "a", at(1))), ["name"])
+    table.scd2(rows(spark, (1, "b", at(2))), ["name"])
+    table.scd2(rows(spark, (1, "c", at(3))), ["name"])
+    feed = [r["_change_type"] for r in table.changes_between(1, 2).collect()]
+    assert sorted(feed) == ["insert", "update_postimage", "update_preimage"]
+    wide = SnapshotTable(spark, f"{folder}/w", "id")
+    wide.overwrite(rows(spark, (1, "a", at(1)), (2, "b", at(1))))
+    wide.overwrite(spark.createDataFrame([(1, at(1), 5), (2, at(1), None)], "id bigint, modified_at timestamp, extra int"))
+    images = {(r["_change_type"], r["id"], r["name"], r["extra"]) for r in wide.changes_between(0, 1).collect()}
+    assert ("update_postimage", 1, None, 5) in images and ("update_preimage", 1, "a", None) in images and len(images) == 4
+
+
+def test_retention_spares_what_is_still_read(spark, table):
+    table.overwrite(rows(spark, *[(i, "a", at(1)) for i in range(40)]), at=at(1))
+    table.upsert(rows(spark, (1, "b", at(2))), at=at(2))
+    assert retention_candidates(table.commits(), at(20), 24).count() == 0, "the newest version reads rows of the first"
+    table.compact(at=at(3))
+    assert sorted(r["version"] for r in retention_candidates(table.commits(), at(20), 24).collect()) == [0, 1]

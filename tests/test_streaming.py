@@ -107,3 +107,30 @@ def test_json_lines(returns):
     assert rows[20260601001]["reason"] == "damaged"
     assert rows[2]["_rescued_data"] == '{"quantity":"x"}' and rows[2]["quantity"] is None
     assert rows[None]["_rescued_data"] == "not json"
+
+
+def test_names_that_look_like_patterns(shipments):
+    for i, name in enumerate(["s1.csv", "s2.csv", "s[12].csv", "{a,b}.csv"]):
+        shipments.drop(name, HEADER + f"{i},{i},D,2026-06-10,5,W\n")
+    shipments.run()
+    assert sorted(r["shipment_id"] for r in shipments.rows().collect()) == ["0", "1", "2", "3"]
+
+
+def test_a_repeated_header_name_is_rescued(shipments):
+    shipments.drop("good.csv", HEADER + "1,1,D,2026-06-10,5,W\n")
+    shipments.drop("bad.csv", "shipment_id,order_id,Order_id\n2,3,4\n")
+    shipments.run()
+    rows = shipments.rows().collect()
+    assert {r["shipment_id"] for r in rows} == {"1", None}
+    assert "2,3,4" in {r["_rescued_data"] for r in rows}
+
+
+def test_a_field_declared_later_is_no_longer_rescued(shipments):
+    from dataclasses import replace
+
+    shipments.drop("a.csv", "shipment_id,order_id,carrier,boxes\n1,1,fast,many\n2,2,slow,3\n")
+    shipments.run()
+    wider = replace(SHIPMENTS, types={**SHIPMENTS.types, "boxes": "int"})
+    rows = {r["shipment_id"]: (r["boxes"], r["_rescued_data"]) for r in typed(exposed(shipments.rows(), "boxes"), wider).collect()}
+    assert rows[1][0] is None and "many" in rows[1][1] and "fast" in rows[1][1]
+    assert rows[2][0] == 3 and "boxes" not in rows[2][1]
