@@ -21,8 +21,8 @@ from strata.session import settled
 
 BITS = 5
 DIMS = 3
-#: Rows of a part of a cell, about.
-PART_ROWS = 1024
+#: Rows and bytes of text of a part of a cell, at most about.
+PART_ROWS, PART_BYTES = 1024, 4_000_000
 
 #: By the three bits that a level adds, in Gray code order: where the curve enters the octant and along which axis.
 _GRAY = [w ^ (w >> 1) for w in range(8)]
@@ -77,20 +77,22 @@ def text_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long")
 
 
-def numbered(rows: DataFrame, cell: str, digest: str, number: str) -> tuple[DataFrame, int]:
+def numbered(rows: DataFrame, cell: str, digest: str, number: str, size: Column | None = None) -> tuple[DataFrame, int]:
     """The rows with a gapless number from 0 in the order of the cell, and how many there are.
 
     The cells are bounded by the curve (32 768); within one, rows are ordered by
-    ``digest``, which large cells are cut into ranges of. Equal rows take any order.
+    ``digest``, which large cells are cut into ranges of, by rows and by ``size``
+    in bytes where rows carry their texts. Equal rows take any order.
     Only the last step moves whole rows, once.
     """
     kept = rows.columns
     n, parts, before, part, within, rank = free_names(rows, "_n", "_parts", "_before", "_part", "_within", "_rank")
     # Counts first: how many parts a cell needs follows from its rows.
-    per_cell = settled(rows.groupBy(cell).agg(F.count(F.lit(1)).alias(n)), "cell-counts")
+    held = F.sum(F.lit(0) if size is None else size)
+    per_cell = settled(rows.groupBy(cell).agg(F.count(F.lit(1)).alias(n), held.alias(within)), "cell-counts")
     total = per_cell.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
     up_to_here = Window.orderBy(cell).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = per_cell.select(cell, F.ceil(F.col(n) / PART_ROWS).cast("int").alias(parts), (F.sum(n).over(up_to_here) - F.col(n)).alias(before))
+    cells = per_cell.select(cell, F.ceil(F.greatest(F.col(n) / PART_ROWS, F.col(within) / PART_BYTES)).cast("int").alias(parts), (F.sum(n).over(up_to_here) - F.col(n)).alias(before))
     spread = rows.join(F.broadcast(cells), cell).withColumn(part, part_by_digest(F.col(digest), F.col(parts)))
     along = Window.partitionBy(cell).orderBy(part).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = spread.groupBy(cell, part).agg(F.count(F.lit(1)).alias(n)).select(cell, part, (F.sum(n).over(along) - F.col(n)).alias(within))
@@ -108,6 +110,10 @@ def shard_of(number: Column, total: int, shards: int) -> tuple[Column, Column]:
     return shard, (number - first).cast("long")
 
 
+def curve_of(text: Column, lang: Column, source: Column) -> Column:
+    return hilbert_index([category_bin(source), category_bin(lang), size_bin(text_size(text))])
+
+
 def sharded(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The documents with ``shard``, ``slot`` and ``curve``, under free names where these are taken.
 
@@ -116,9 +122,9 @@ def sharded(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str
     of its own, a null text has no bytes, and repeated rows each get a slot.
     """
     shard, slot, curve, doc, number = free_names(docs, "shard", "slot", "curve", "_doc", "_number")
-    bins = [category_bin(F.col(source_col)), category_bin(F.col(lang_col)), size_bin(text_size(F.col(text_col)))]
-    rows = docs.withColumns({doc: identity(F.col(id_col), F.col(text_col)), curve: hilbert_index(bins)})
-    rows, total = numbered(rows, curve, doc, number)
+    on_curve = curve_of(F.col(text_col), F.col(lang_col), F.col(source_col))
+    rows = docs.withColumns({doc: identity(F.col(id_col), F.col(text_col)), curve: on_curve})
+    rows, total = numbered(rows, curve, doc, number, text_size(F.col(text_col)))
     of, at = shard_of(F.col(number), total, shards)
     return rows.select(*docs.columns, of.alias(shard), at.alias(slot), curve)
 
@@ -126,22 +132,17 @@ def sharded(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str
 def placements(docs: DataFrame, shards: int) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, curve) for each row of the documents.
 
-    The law is ``rows``: ``grown_shard`` is null. A null text has checksum 0.
+    The law is ``rows``: ``grown_shard`` is null. A null text is an empty one,
+    with checksum 0. Texts are measured where they are read and do not move.
     """
-    small = docs.select(
-        "doc_id",
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-        "lang",
-        "source",
-    )
-    placed = sharded(small, shards)
-    return placed.select(
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(
         "doc_id",
-        text_size(F.col("text")).alias("size"),
-        F.crc32(F.col("text").cast("binary")).cast("long").alias("text_crc32"),
-        F.lit("rows").alias("law"),
-        "shard",
-        "slot",
-        F.lit(None).cast("int").alias("grown_shard"),
-        "curve",
+        text_size(text).alias("size"),
+        F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
+        identity(F.col("doc_id"), text).alias("doc"),
+        curve_of(text, F.col("lang"), F.col("source")).alias("curve"),
     )
+    rows, total = numbered(rows, "curve", "doc", "number")
+    shard, slot = shard_of(F.col("number"), total, shards)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), shard.alias("shard"), slot.alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve")
