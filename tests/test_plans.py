@@ -1,5 +1,6 @@
 """Plans keep the shape that matters at scale."""
 
+import re
 from datetime import date
 
 import pytest
@@ -49,8 +50,8 @@ def test_no_query_crosses_or_loops(spark):
     heavy = ("layout_", "stream_", "rescued", "rows_per_source", "version", "restore", "update_where",
              "delete_where", "rebuild", "retention")
     for name, build in entry.queries().items():
-        if any(word in name for word in heavy):
-            continue
+        if any(word in name for word in heavy) or re.match(r"op\d+_|pipeline$", name):
+            continue  # corpus queries have tests of their own
         plan = plan_text(build(spark, SMALL))
         assert "CartesianProduct" not in plan, name
         assert "BroadcastNestedLoopJoin" not in plan, name
