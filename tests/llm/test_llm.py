@@ -245,6 +245,20 @@ def test_groups_pair_by_pair(spark):
         assert {r["doc_id"]: r["n_shingles"] for r in rows} == {i: len(brute.shingles(t, size)) for i, t in enumerate(texts)}
 
 
+def test_groups_cut_into_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK", 3)
+    draw = random.Random(12)
+    base = [f"b{i}" for i in range(130)]
+    texts = []
+    for _ in range(50):
+        copy = base.copy()
+        for _ in range(draw.randint(0, 5)):
+            copy[draw.randrange(130)] = f"x{draw.randrange(10**9)}"
+        texts.append(" ".join(copy))
+    rows = near_dups.NearDuplicates(documents(spark, texts), 3, 85).groups().collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == brute.components(list(enumerate(texts)), 3, 85)
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 200), (300, 300)]
     found = {r["node"]: r["comp"] for r in near_dups.components(spark.createDataFrame(links, "a long, b long")).collect()}
