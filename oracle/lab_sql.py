@@ -169,15 +169,28 @@ SQL = {
                {word(g.WAREHOUSES, 'd_place')} as warehouse, count(*) as shipments,
                cast(sum(d_cases + 1) as bigint) as cases,
                min(day - cast(d_day as int)) as first_day, max(day - cast(d_day as int)) as last_day,
-               max(cast(strftime(day, '%Y%m%d') as bigint) * 1000 + 200 + o_orderkey % 60) as last_id
+               max((cast(strftime(day, '%Y%m%d') as bigint) * 100 + 1) * 1000000000 + o_orderkey) as last_id
         from ({draws("select o_orderkey, cast(o_orderdate as date) as day from orders",
             "o_orderkey", {"d_partner": (22, 5), "d_day": (23, 3), "d_cases": (24, 120),
                            "d_place": (25, 4)})}) group by all
     """,
-    "gen_key_coverage": """
-        select cast(0 as bigint) as orphans, dimension
-        from (values ('customers'), ('products')) t(dimension)
+    "gen_returns_profile": f"""
+        select 'SKU-' || lpad(cast(d_product + 1 as varchar), 3, '0') as product_sku,
+               {word(g.RETURN_REASONS, 'd_place')} as reason, count(*) as returns,
+               cast(sum(d_cases + 1) as bigint) as quantity, min(day) as first_day, max(day) as last_day,
+               max((cast(strftime(day, '%Y%m%d') as bigint) * 100 + 2) * 1000000000 + o_orderkey) as last_id
+        from ({draws("select o_orderkey, cast(o_orderdate as date) as day from orders",
+            "o_orderkey", {"d_product": (22, 40), "d_cases": (24, 24), "d_place": (25, 4)})}) group by all
     """,
+    "gen_key_coverage": query(
+        """
+        select count(*) filter (where customer_id not between 0 and 49999) as orphans,
+               'customers' as dimension from made
+        union all
+        select count(*) filter (where product_id not between 0 and 199), 'products' from made
+        """,
+        **GENERATED,
+    ),
     "layout_smallfiles": LINES,
     "layout_compacted": LINES,
     "layout_zorder": LINES,

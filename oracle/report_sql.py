@@ -43,7 +43,7 @@ BENCH = {
 COST = """
     cast(sum(usage_quantity) as decimal(32,2)) as dbus,
     cast(sum(usage_quantity * coalesce(p.price, 0)) as decimal(18,2)) as usd
-    from stg_usage u left join stg_prices p on u.sku_name = p.sku_name
+    from stg_usage u left join stg_prices p on u.sku_name = p.sku_name and u.cloud = p.cloud
      and u.usage_end >= p.price_start and (p.price_end is null or u.usage_end < p.price_end)
 """
 JOBS = {

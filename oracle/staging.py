@@ -62,14 +62,15 @@ VIEWS: dict[str, str] = {
     """,
     "stg_usage": """
         select order_line_id as usage_id, case when order_line_id % 89 <> 0 then l_returnflag end as sku_name,
-        ship_date as usage_date, case when order_line_id % 97 <> 0 then ship_date end as usage_end,
+        l_linestatus as cloud, ship_date as usage_date, case when order_line_id % 97 <> 0 then ship_date end as usage_end,
         cast(quantity * 0.25 as decimal(12,2)) as usage_quantity, supplier_id as variant, order_id as job_run_id from stg_lines
     """,
     "stg_prices": """
-        select l_returnflag as sku_name, yr as price_year, min(ship_date) as price_start,
-        lead(min(ship_date)) over (partition by l_returnflag order by yr) as price_end, cast(yr -
-        1990 as decimal(9,2)) as price from (select l_returnflag, ship_date, year(ship_date) as yr
-        from stg_lines where year(ship_date) >= 1996) y group by l_returnflag, yr
+        select l_returnflag as sku_name, l_linestatus as cloud, yr as price_year, min(ship_date) as
+        price_start, lead(min(ship_date)) over (partition by l_returnflag, l_linestatus order by yr)
+        as price_end, cast(yr - 1990 as decimal(9,2)) as price from (select l_returnflag,
+        l_linestatus, ship_date, year(ship_date) as yr from stg_lines where year(ship_date) >= 1996)
+        y group by l_returnflag, l_linestatus, yr
     """,
 }
 

@@ -43,9 +43,9 @@ def most_frequent(sales: DataFrame, key: str) -> DataFrame:
     return sizes.orderBy(F.col("_size").desc(), key).limit(1).select(key)
 
 
-def hot_key_total(sales: DataFrame, key: str) -> DataFrame:
-    hottest = most_frequent(sales, key).scalar()
-    return sales.where(F.col(key) == hottest).agg(*_volume())
+def hot_key_total(sales: DataFrame, key: str, value: Column | int) -> DataFrame:
+    """Totals of one key; a plain value is pushed down to the scan."""
+    return sales.where(F.col(key) == value).agg(*_volume())
 
 
 def promoted_distinct(

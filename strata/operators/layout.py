@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,10 +68,18 @@ def _as_number(rows: DataFrame, column: str) -> Column:
     if kind in ("timestamp", "timestamp_ntz"):
         return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
     if kind == "string":
-        return F.xxhash64(column).cast("double")
+        return _text_number(rows, column)
     return F.col(column).cast("double")
 
 
+def _text_number(rows: DataFrame, column: str) -> Column:
+    """The six bytes that follow what all values begin with, as a number in string order."""
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    shared = len(commonprefix([low or "", high or ""]))
+    digits = F.substring(F.hex(F.substring(column, shared + 1, 6).cast("binary")), 1, 12)
+    return F.conv(F.rpad(digits, 12, "0"), 16, 10).cast("double")
+
+
 def _tie_break(rows: DataFrame) -> Column:
     """Spreads rows with equal clustering values over several files."""
     return F.xxhash64(*rows.columns)

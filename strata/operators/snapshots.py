@@ -40,6 +40,7 @@ COMMIT_SCHEMA = columns(
     note="string",
 )
 VERSION, BUCKET = "snap_v", "snap_b"
+DAY = 24 * 3600 * 1_000_000  # microseconds
 Layout = dict[str, list[int]]
 
 
@@ -315,7 +316,7 @@ class SnapshotTable:
         if not self.exists():
             self.overwrite(increment.limit(0), at=at)
         names = self.read().columns
-        known = self.touched_buckets(increment)
+        known = self.known_since(increment, moment)
         staged = self.stage(unseen_versions(known, increment, [self.key, moment]).select(*names))
         rows = self.staged_rows(staged)
         size, latest = rows.agg(F.count(F.lit(1)), F.max(moment)).first()
@@ -323,6 +324,19 @@ class SnapshotTable:
             self.publish(staged, "insert", [], {"insert": size}, at=at)
         return size, latest
 
+    def known_since(self, increment: DataFrame, moment: str) -> DataFrame:
+        """Current rows that can repeat one of the increment: none is older than its oldest.
+
+        The bound reaches the scan, so files of older rows are skipped by their
+        statistics. A day of margin covers changes of the clock.
+        """
+        known = self.touched_buckets(increment)
+        oldest = increment.agg(F.min(F.unix_micros(F.col(moment).cast("timestamp")))).first()[0]
+        if oldest is None:
+            return known
+        bound = F.timestamp_micros(F.lit(oldest - DAY)).cast(known.schema[moment].dataType)
+        return known.where(F.col(moment) >= bound)
+
     def rows_after(self, version: int) -> DataFrame:
         """Rows of parts written after a version; for tables that only append."""
         commit = self._required(None)

@@ -94,7 +94,8 @@ def lab_full_scan(s: Staging) -> DataFrame:
 
 @query
 def lab_hot_key(s: Staging) -> DataFrame:
-    return lab.hot_key_total(line_sales(s), "product_id")
+    sales = line_sales(s)
+    return lab.hot_key_total(sales, "product_id", lab.most_frequent(sales, "product_id").scalar())
 
 
 @query
@@ -217,15 +218,31 @@ def gen_promotions(s: Staging) -> DataFrame:
     return promotion_calendar(s, regions, len(generate.REGIONS)).drop("discount")
 
 
-@query
-def gen_drops_profile(s: Staging) -> DataFrame:
-    """A drop with one shipment per order, profiled per distributor and warehouse."""
-    keys = s.raw("orders").select(
+def drop_keys(s: Staging) -> DataFrame:
+    """Every order is the key of a row of its day's drop."""
+    return s.raw("orders").select(
         F.col("o_orderkey").alias("key"),
-        (F.col("o_orderkey") % 60).alias("number"),
+        F.col("o_orderkey").alias("number"),
         F.col("o_orderdate").cast("date").alias("day"),
     )
-    return generate.drop_shipments(keys).groupBy("distributor", "warehouse").agg(
+
+
+@query
+def gen_returns_profile(s: Staging) -> DataFrame:
+    """A drop with one return per order, profiled per product and reason."""
+    return generate.drop_returns(drop_keys(s), 2).groupBy("product_sku", "reason").agg(
+        F.count(F.lit(1)).alias("returns"),
+        F.sum("quantity").alias("quantity"),
+        F.min("return_date").alias("first_day"),
+        F.max("return_date").alias("last_day"),
+        F.max("return_id").alias("last_id"),
+    )
+
+
+@query
+def gen_drops_profile(s: Staging) -> DataFrame:
+    """A drop with one shipment per order, profiled per distributor and warehouse."""
+    return generate.drop_shipments(drop_keys(s)).groupBy("distributor", "warehouse").agg(
         F.count(F.lit(1)).alias("shipments"),
         F.sum("qty_cases").alias("cases"),
         F.min("ship_date").alias("first_day"),

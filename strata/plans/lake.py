@@ -158,20 +158,37 @@ def _newest_of_touched(every: DataFrame, fresh: DataFrame, key: str, order: str)
     return conform.newest_version(touched_rows(every, keys, [key]), key, order)
 
 
+def _newer_than_known(silver: SnapshotTable, updates: DataFrame, key: str) -> DataFrame:
+    """Updates of keys that silver lacks or holds with an older row.
+
+    Silver keeps the newest row of a key, so older versions need not be read.
+    """
+    if not silver.exists():
+        return updates
+    known = silver.touched_buckets(updates).select(key, F.col(MODIFIED).alias("_known"))
+    newer = F.col("_known").isNull() | (F.col(MODIFIED) > F.col("_known"))
+    return updates.join(known, key, "left").where(newer).select(*updates.columns)
+
+
 def conform_entity(lake: Lake, name: str) -> tuple[int, int]:
-    """Bring one database entity to silver; returns keys looked at and rows changed."""
+    """Bring one database entity to silver; returns keys looked at and rows changed.
+
+    Customers are judged over all their versions, because silver does not keep
+    the time of a row that changed no tracked column.
+    """
     bronze, silver, key = lake.bronze(name), lake.silver(name), ENTITIES[name]
     version = bronze.version()
     done = int(silver.note() or -1)
     if version is None or version <= done:
         return 0, 0
-    fresh = bronze.rows_after(done)
-    every = conform.without_load_columns(bronze.read())
-    updates = _newest_of_touched(every, fresh, key, MODIFIED)
+    fresh = conform.without_load_columns(bronze.rows_after(done))
     seen = fresh.select(key).distinct().count()
     if name == "customers":
+        every = conform.without_load_columns(bronze.read())
+        updates = _newest_of_touched(every, fresh, key, MODIFIED)
         tracked = [c for c in star.CUSTOMER_ATTRIBUTES if c in every.columns]
         return seen, silver.scd2(updates, tracked, MODIFIED, note=str(version))
+    updates = _newer_than_known(silver, conform.newest_version(fresh, key, MODIFIED), key)
     return seen, silver.upsert(updates, note=str(version))
 
 

@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.columns import trailing_days
 from strata.operators import benchmarks, gates, marts, runs, star
 from strata.plans.registry import query
 from strata.plans.staging import Staging
@@ -16,10 +17,14 @@ from strata.plans.star_queries import dimensions, fact
 ORDERS_AS_OF = date(2001, 8, 1)
 SHIPPED_AS_OF = date(2001, 11, 4)
 EVENTS_AS_OF = datetime(2024, 1, 31)
+PRICED_BY = ("sku_name", "cloud")
 
 
 def daily(s: Staging) -> DataFrame:
-    return star.daily_revenue(fact(s), *dimensions(s))
+    """Revenue of the reported days; older orders go before their versions are looked up."""
+    recent = s.orders.where(trailing_days("order_date", ORDERS_AS_OF, 90))
+    customers, products = dimensions(s)
+    return star.daily_revenue(star.sales_fact(s.lines, recent, customers, products), customers, products)
 
 
 @query
@@ -180,6 +185,7 @@ def tagged_usage(s: Staging) -> DataFrame:
     on_job = F.col("sku_name") != "N"
     return s.usage.select(
         "sku_name",
+        "cloud",
         "usage_date",
         F.col("usage_date").alias("usage_start"),
         "usage_end",
@@ -193,17 +199,17 @@ def tagged_usage(s: Staging) -> DataFrame:
 
 @query
 def cost_daily_by_sku(s: Staging) -> DataFrame:
-    return marts.cost_daily_by_sku(tagged_usage(s), s.prices, SHIPPED_AS_OF, 365)
+    return marts.cost_daily_by_sku(tagged_usage(s), s.prices, SHIPPED_AS_OF, 365, keys=PRICED_BY)
 
 
 @query
 def cost_per_variant(s: Staging) -> DataFrame:
-    return marts.cost_per_variant(tagged_usage(s), s.prices, "lab")
+    return marts.cost_per_variant(tagged_usage(s), s.prices, "lab", keys=PRICED_BY)
 
 
 @query
 def cost_per_run(s: Staging) -> DataFrame:
-    return marts.cost_per_run(tagged_usage(s), s.prices, SHIPPED_AS_OF)
+    return marts.cost_per_run(tagged_usage(s), s.prices, SHIPPED_AS_OF, keys=PRICED_BY)
 
 
 # -- benchmark rows ------------------------------------------------------

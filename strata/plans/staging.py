@@ -203,6 +203,7 @@ class Staging:
             F.col("order_line_id").alias("usage_id"),
             # Some usage has no product, some has not ended, and quantities are fractions.
             F.when(F.col("order_line_id") % 89 != 0, F.col("l_returnflag")).alias("sku_name"),
+            F.col("l_linestatus").alias("cloud"),
             F.col("ship_date").alias("usage_date"),
             F.when(F.col("order_line_id") % 97 != 0, F.col("ship_date")).alias("usage_end"),
             (F.col("quantity") * F.lit(Decimal("0.25"))).cast("decimal(12,2)").alias("usage_quantity"),
@@ -215,13 +216,14 @@ class Staging:
         year = F.year("ship_date").alias("price_year")
         starts = (
             self.lines.where(F.year("ship_date") >= 1996)
-            .groupBy(F.col("l_returnflag").alias("sku_name"), year)
+            .groupBy(F.col("l_returnflag").alias("sku_name"), F.col("l_linestatus").alias("cloud"), year)
             .agg(F.min("ship_date").alias("price_start"))
         )
-        # One row per product and year: the next price starts in a later year.
-        following = Window.partitionBy("sku_name").orderBy("price_year")
+        # One row per product, cloud and year: the next price starts in a later year.
+        following = Window.partitionBy("sku_name", "cloud").orderBy("price_year")
         return starts.select(
             "sku_name",
+            "cloud",
             "price_year",
             "price_start",
             F.lead("price_start").over(following).alias("price_end"),

@@ -43,14 +43,22 @@ class JdbcSource:
     driver: str = ""
     schema: str = ""
     fetch_size: int = 10_000
+    tasks: int = 16
 
     def table_name(self, table: str) -> str:
         return f"{self.schema}.{table}" if self.schema else table
 
     def increment_sql(self, table: str, mark: datetime) -> str:
         """Statement the database runs, so that only changed rows travel."""
+        return f"SELECT * {self._since(table, mark)}"
+
+    def span_sql(self, table: str, mark: datetime) -> str:
+        """Statement for the oldest and the newest modification since the mark."""
+        return f"SELECT MIN({MODIFIED}) AS oldest, MAX({MODIFIED}) AS newest {self._since(table, mark)}"
+
+    def _since(self, table: str, mark: datetime) -> str:
         moment = mark.isoformat(sep=" ", timespec="microseconds")
-        return f"SELECT * FROM {self.table_name(table)} WHERE {MODIFIED} >= '{moment}'"
+        return f"FROM {self.table_name(table)} WHERE {MODIFIED} >= '{moment}'"
 
     def options(self) -> dict[str, str]:
         given = {"url": self.url, "fetchsize": str(self.fetch_size)}
@@ -74,9 +82,15 @@ class JdbcSource:
         spark: SparkSession,
         table: str,
         mark: datetime,
-        edges: Sequence[datetime] = (),
+        edges: Sequence[datetime] | None = None,
     ) -> DataFrame:
-        """Changed rows of a table; ``edges`` split a large extract into parallel reads."""
+        """Changed rows of a table, read in parallel between the ``edges``.
+
+        Without edges the database is asked for the span of the increment, which
+        is cut into ``tasks`` equal pieces; an empty list reads in one task.
+        """
+        if edges is None and self.tasks > 1:
+            edges = even_edges(*self._load(spark, self.span_sql(table, mark)).first(), self.tasks)
         if edges:
             return spark.read.jdbc(
                 self.url,
@@ -84,5 +98,14 @@ class JdbcSource:
                 predicates=self.slices(mark, edges),
                 properties={k: v for k, v in self.options().items() if k != "url"},
             )
-        query = self.increment_sql(table, mark)
+        return self._load(spark, self.increment_sql(table, mark))
+
+    def _load(self, spark: SparkSession, query: str) -> DataFrame:
         return spark.read.format("jdbc").options(**self.options()).option("query", query).load()
+
+
+def even_edges(oldest: datetime | None, newest: datetime | None, pieces: int) -> list[datetime]:
+    """Times that cut a span into equal pieces; none where there is no span."""
+    if oldest is None or newest is None or oldest == newest:
+        return []
+    return [oldest + (newest - oldest) * k / pieces for k in range(1, pieces)]

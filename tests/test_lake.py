@@ -75,6 +75,20 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert ("gold", "succeeded") in tasks and ("quality_gates", "succeeded") in tasks
 
 
+def test_silver_takes_newer_rows_only(spark, tmp_path):
+    lake, day = plan.Lake(spark, str(tmp_path / "lake"), buckets=2), date(2026, 6, 10)
+
+    def take(*orders):
+        made = [(key, 1, day, status, "direct", at(1), moved) for key, status, moved in orders]
+        lake.bronze("orders").insert_versions(plan.stamp_load(spark.createDataFrame(made, SCHEMAS["orders"]), "orders"), "modified_at")
+        return plan.conform_entity(lake, "orders")
+
+    assert take((10, "placed", at(9)), (10, "shipped", at(10)), (11, "placed", at(3))) == (2, 2)
+    assert take((10, "late", at(5))) == (1, 0)
+    assert take((10, "late", at(6)), (11, "shipped", at(12)), (12, "placed", at(1))) == (3, 2)
+    assert sets(lake.silver("orders").read(), "order_id", "status") == {(10, "shipped"), (11, "shipped"), (12, "placed")}
+
+
 def test_failed_gate_leaves_gold_as_it_was(spark, tmp_path):
     lake, db = plan.Lake(spark, str(tmp_path / "lake"), buckets=1), Database()
     plan.refresh(lake, db)

@@ -55,6 +55,13 @@ def test_clustering_lets_files_be_skipped(spark, folder):
     assert curve["skippable"] / curve["files"] > 0.7
 
 
+def test_text_is_ranked_in_its_order(spark):
+    words = spark.range(400).select(F.format_string("SKU-%04d", F.col("id") * 7).alias("sku"))
+    ranked = words.select("sku", layout.quantile_rank(words, "sku", 3).alias("rank")).orderBy("sku").collect()
+    ranks = [r["rank"] for r in ranked]
+    assert ranks == sorted(ranks) and set(ranks) == set(range(8))
+
+
 def test_hot_partition_value_is_spread_and_whole(spark, sales, folder, monkeypatch):
     one_day = sales.withColumn("sale_date", F.lit(date(2024, 1, 1)))
     monkeypatch.setattr(layout, "hot_keys", lambda rows, keys: hot_keys(rows, keys, 0.1, 10))

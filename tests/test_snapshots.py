@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from strata.operators.snapshots import SnapshotTable, retention_candidates
-from tests.conftest import at, sets
+from tests.conftest import at, plan_text, sets
 
 SCHEMA = "id bigint, name string, modified_at timestamp"
 
@@ -61,6 +61,15 @@ def test_insert_versions_reports_rows_and_latest(spark, table):
     assert table.rows_after(1).count() == 2
 
 
+def test_older_versions_are_skipped_by_the_scan(spark, table):
+    table.insert_versions(rows(spark, (1, "a", at(1)), (2, "b", at(9))), "modified_at")
+    known = table.known_since(rows(spark, (1, "a", at(8)), (3, "c", None)), "modified_at")
+    assert "GreaterThanOrEqual(modified_at" in plan_text(known)
+    mixed = rows(spark, (1, "a", at(1)), (2, "b", at(9)), (3, "c", None))
+    assert table.insert_versions(mixed, "modified_at") == (1, None)
+    assert table.known_since(rows(spark, (3, "c", None)), "modified_at").count() == 1
+
+
 def test_update_delete_restore_compact(spark, table):
     table.overwrite(rows(spark, (1, "a", at(1)), (2, "b", at(1)), (3, None, at(1))))
     assert table.update_where("name = 'a'", {"name": "'z'"}) == 1

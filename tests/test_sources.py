@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import conform
 from strata.sources import generate
-from strata.sources.increments import JdbcSource, since, stamp_load
+from strata.sources.increments import JdbcSource, even_edges, since, stamp_load
 from tests.conftest import at, sets
 
 
@@ -26,6 +26,20 @@ def test_slices_cover_the_increment_once():
     ]
 
 
+def test_span_of_an_increment_is_cut_evenly():
+    assert JdbcSource("jdbc:x").span_sql("t", datetime(2026, 1, 1)) == (
+        "SELECT MIN(modified_at) AS oldest, MAX(modified_at) AS newest FROM t WHERE modified_at >= '2026-01-01 00:00:00.000000'"
+    )
+    assert even_edges(datetime(2026, 1, 1), datetime(2026, 1, 4), 3) == [datetime(2026, 1, 2), datetime(2026, 1, 3)]
+    assert even_edges(None, None, 3) == even_edges(datetime(2026, 1, 1), datetime(2026, 1, 1), 3) == []
+
+
+def test_drops_of_a_day_share_no_id(spark):
+    day = date(2026, 6, 1)
+    one, two = (generate.drop_returns(generate.drop_keys(spark, day, b, 300), b).select("return_id") for b in (1, 2))
+    assert one.union(two).distinct().count() == 600
+
+
 def test_since_keeps_rows_on_the_mark(spark):
     rows = spark.createDataFrame([(1, at(1)), (2, at(2)), (3, at(3))], "id int, modified_at timestamp")
     assert sets(since(rows, "modified_at", at(2)), "id") == {(2,), (3,)}
@@ -71,7 +85,7 @@ def test_drops_are_deterministic(spark, folder):
     rows = generate.drop_shipments(keys, 2)
     same = generate.drop_shipments(generate.drop_keys(spark, date(2026, 6, 1), 2, 60), 2)
     assert rows.exceptAll(same).count() == 0
-    assert rows.agg(F.min("shipment_id"), F.max("shipment_id")).first() == (20260601400, 20260601459)
+    assert rows.agg(F.min("shipment_id"), F.max("shipment_id")).first() == (2026060102000000000, 2026060102000000059)
     generate.write_drop(rows, "csv", f"{folder}/csv")
     generate.write_drop(generate.drop_returns(keys, 2), "json", f"{folder}/json")
     assert spark.read.csv(f"{folder}/csv", header=True).count() == 60
