@@ -3,12 +3,14 @@
 Every shard of documents (an Arrow batch of a map task) gets a suffix array of
 its words, sorted by the next thirteen. Each suffix of a benchmark item is
 looked up in it by binary search; the suffixes of the shard that share its
-window are adjacent, and their positions are verbatim matches. A match of two
-words or more begins with a word pair of the benchmark, so suffixes that don't
-are left out of the array: it holds all that a search can meet.
-
-The benchmark goes to the tasks in blocks of a fixed size, one pass for each, so
-that no broadcast grows with it. Documents never move.
+window are adjacent, and their positions are verbatim matches, which are then
+followed to their last common word. A match of two words or more begins with a
+word pair of the benchmark, so suffixes that don't are left out of the array: it
+holds all that a search can meet.
+
+The benchmark goes to the tasks in blocks of a fixed size, one pass for each;
+a pass is written before the next one starts, so neither the driver nor a task
+holds more than one block. Documents never move.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.shared import free_names
+from strata.session import settled
 
 #: Words of a window.
 WINDOW = 13
@@ -37,6 +40,15 @@ _WORD_BYTES = bytes(
 
 HITS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 _ARROW_HITS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+MATCHES = T.ArrayType(
+    T.StructType(
+        [T.StructField("item", T.StringType()), T.StructField("words", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("item_start", T.IntegerType())]
+    )
+)
+_ARROW_MATCHES = pa.list_(pa.struct([("item", pa.string()), ("words", pa.int32()), ("start", pa.int32()), ("item_start", pa.int32())]))
+
+#: A match: words, place in the document, place in the item.
+Match = tuple[int, int, int]
 
 
 def word_list(text: bytes | None) -> list[bytes]:
@@ -45,31 +57,44 @@ def word_list(text: bytes | None) -> list[bytes]:
 
 
 class TestSuffixes:
-    """The windows of some benchmark items, ready for binary search."""
+    """The suffixes of some benchmark items, sorted by their windows, ready for binary search.
+
+    An item of at least a window's words has a suffix for each window, a shorter
+    one a single suffix, which is its window. All is kept in flat arrays.
+    """
 
     __test__ = False
 
     def __init__(self, items: list[tuple[str, bytes | None]], window: int = WINDOW):
         self.window = window
-        split = [(item, word_list(text)) for item, text in items]
-        self.ids = {word: i for i, word in enumerate(sorted({w for _, found in split for w in found}), 1)}
+        self.names = [item for item, _ in items]
+        split = [word_list(text) for _, text in items]
+        self.ids = {word: i for i, word in enumerate(sorted({w for found in split for w in found}), 1)}
         self.foreign = len(self.ids) + 1
-        windows: dict[tuple[int, ...], set[str]] = {}
-        for item, found in split:
-            codes = [self.ids[word] for word in found]
-            size = min(window, len(codes))
-            for start in range(len(codes) - size + 1) if size else ():
-                windows.setdefault(tuple(codes[start : start + size]), set()).add(item)
-        self.windows = sorted(windows)
-        self.items = [sorted(windows[w]) for w in self.windows]
-        self.lengths = np.array([len(w) for w in self.windows], np.int64)
-        self.pairs = np.unique([w[0] * (self.foreign + 1) + w[1] for w in self.windows if len(w) > 1]).astype(np.int64)
-        self.single = np.unique([w[0] for w in self.windows if len(w) == 1]).astype(np.int64)
-        padded = np.zeros((len(self.windows), window), np.uint32)
-        beyond = np.full((len(self.windows), window), 0xFFFFFFFF, np.uint32)
-        for row, found in enumerate(self.windows):
-            padded[row, : len(found)] = beyond[row, : len(found)] = found
-        self.low, self.high = as_keys(padded), as_keys(beyond)
+        end = self.foreign + 1  # around each item; no document has it
+        self.codes = np.array([end, *(code for found in split for code in (*map(self.ids.__getitem__, found), end))], np.int64)
+        sizes = np.array([len(found) for found in split], np.int64)
+        begin = 1 + np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]) if len(split) else np.empty(0, np.int64)
+        counts = np.where(sizes >= window, sizes - window + 1, np.minimum(sizes, 1))
+        item = np.repeat(np.arange(len(split)), counts)
+        place = np.arange(len(item)) - np.repeat(np.cumsum(counts) - counts, counts)
+        at, length = begin[item] + place, np.minimum(sizes[item], window)
+        inside = np.arange(window) < length[:, None]
+        rows = np.where(inside, self.codes[np.minimum(at[:, None] + np.arange(window), len(self.codes) - 1)], 0)
+        keys = as_keys(rows)
+        order = np.argsort(keys, kind="stable")
+        #: Suffixes in the order of their windows: position, item, place in it.
+        self.at, self.item, self.place = at[order], item[order], place[order]
+        ordered = keys[order]
+        fresh = np.flatnonzero(np.append([True], ordered[1:] != ordered[:-1])) if len(order) else np.empty(0, np.int64)
+        #: Per distinct window: its first suffix (and the end), words, least and largest key that begins with it.
+        self.bounds = np.append(fresh, len(order))
+        self.lengths = length[order][fresh]
+        self.low = ordered[fresh]
+        self.high = as_keys(np.where(inside, rows, 0xFFFFFFFF)[order][fresh])
+        first, second = rows[order][fresh][:, 0], rows[order][fresh][:, min(1, window - 1)]
+        self.pairs = np.unique((first * (self.foreign + 1) + second)[self.lengths > 1])
+        self.single = np.unique(first[self.lengths == 1])
 
 
 def as_keys(rows: np.ndarray) -> np.ndarray:
@@ -86,9 +111,27 @@ def suffix_array(codes: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.
     return starts[order], keys[order]
 
 
-def search_shard(texts: list[bytes | None], tests: TestSuffixes) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[set[str]]]:
-    """Words, merged matches (start, end in words) and matched items of each text."""
-    lookup, foreign, sizes, codes = tests.ids.get, tests.foreign, [], []
+def followed(flat: np.ndarray, positions: np.ndarray, tests: TestSuffixes, at: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the positions that share a window with the suffix those where a match begins, and its words.
+
+    A match begins where the words before differ; it is followed to its end.
+    """
+    starts = positions[flat[positions - 1] != tests.codes[at - 1]]
+    words, alive, k = np.full(len(starts), length, np.int64), np.arange(len(starts)), length
+    while len(alive := alive[flat[starts[alive] + k] == tests.codes[at + k]]):
+        k += 1
+        words[alive] = k
+    return starts, words
+
+
+def better(a: Match, b: Match | None) -> bool:
+    """Longer, or as long and earlier in the document, then in the item."""
+    return b is None or (-a[0], a[1], a[2]) < (-b[0], b[1], b[2])
+
+
+def search_shard(texts: list[bytes | None], tests: TestSuffixes) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[dict[str, Match]]]:
+    """Words, merged matches (start, end in words) and the longest match with each item, for each text."""
+    lookup, foreign, sizes, codes = tests.ids.get, tests.foreign, [], [np.zeros(1, np.int64)]
     for text in texts:
         found = word_list(text)
         sizes.append(len(found))
@@ -96,23 +139,27 @@ def search_shard(texts: list[bytes | None], tests: TestSuffixes) -> tuple[np.nda
         codes.append(np.zeros(1, np.int64))  # no match goes over the end of a text
     sizes = np.array(sizes, np.int64)
     hits: list[list[tuple[int, int]]] = [[] for _ in texts]
-    items: list[set[str]] = [set() for _ in texts]
-    if not len(texts) or not tests.windows:
-        return sizes, hits, items
+    longest: list[dict[str, Match]] = [{} for _ in texts]
+    if not len(texts) or not len(tests.low):
+        return sizes, hits, longest
     flat = np.concatenate(codes)
-    first = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+    first = 1 + np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     pairs = flat[:-1] * (foreign + 1) + flat[1:]
     useful = np.append(np.isin(pairs, tests.pairs), False) | np.isin(flat, tests.single)
     starts, keys = suffix_array(flat, np.flatnonzero(useful), tests.window)
     low, high = np.searchsorted(keys, tests.low, "left"), np.searchsorted(keys, tests.high, "right")
-    found = np.flatnonzero(high > low)
     spans = []
-    for w in found:
-        positions = starts[low[w] : high[w]]
+    for w in np.flatnonzero(high > low):
+        positions, length = starts[low[w] : high[w]], tests.lengths[w]
         owners = np.searchsorted(first, positions, "right") - 1
-        spans.append((owners, positions - first[owners], np.full(len(positions), tests.lengths[w])))
-        for owner in np.unique(owners):
-            items[owner].update(tests.items[w])
+        spans.append((owners, positions - first[owners], np.full(len(positions), length)))
+        for suffix in range(tests.bounds[w], tests.bounds[w + 1]):
+            begins, words = followed(flat, positions, tests, tests.at[suffix], length)
+            name, place = tests.names[tests.item[suffix]], int(tests.place[suffix])
+            of = np.searchsorted(first, begins, "right") - 1
+            for owner, begin, n in zip(of.tolist(), (begins - first[of]).tolist(), words.tolist(), strict=True):
+                if better(match := (n, begin, place), longest[owner].get(name)):
+                    longest[owner][name] = match
     if spans:
         owners, begins, lengths = (np.concatenate(part) for part in zip(*spans, strict=True))
         for i in np.lexsort((begins, owners)):
@@ -121,7 +168,7 @@ def search_shard(texts: list[bytes | None], tests: TestSuffixes) -> tuple[np.nda
                 own[-1] = (own[-1][0], max(own[-1][1], end))
             else:
                 own.append((begin, end))
-    return sizes, hits, items
+    return sizes, hits, longest
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -134,7 +181,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _pass(tests, text: int, words: int, hits: int, items: int):
+def _pass(tests, text: int, words: int, hits: int, longest: int):
     """Adds the matches of one block of items to the columns at these places."""
 
     def shards(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -151,11 +198,14 @@ def _pass(tests, text: int, words: int, hits: int, items: int):
         for batch in batches:
             for shard in shards(batch):
                 sizes, found, matched = search_shard(shard.column(text).cast(pa.binary()).to_pylist(), tests.value)
-                spans, names = [], []
-                for old, new, before, now in zip(shard.column(hits).to_pylist(), found, shard.column(items).to_pylist(), matched, strict=True):
+                spans, best = [], []
+                for old, new, before, now in zip(shard.column(hits).to_pylist(), found, shard.column(longest).to_pylist(), matched, strict=True):
                     spans.append([{"start": a, "end": b} for a, b in _merged([(x["start"], x["end"]) for x in old] + new)])
-                    names.append(sorted({*before, *now}))
-                for place, values in ((words, pa.array(sizes, pa.int64())), (hits, pa.array(spans, _ARROW_HITS)), (items, pa.array(names, pa.list_(pa.string())))):
+                    for x in before:
+                        if better(match := (x["words"], x["start"], x["item_start"]), now.get(x["item"])):
+                            now[x["item"]] = match
+                    best.append([{"item": name, "words": n, "start": at, "item_start": place} for name, (n, at, place) in sorted(now.items())])
+                for place, values in ((words, pa.array(sizes, pa.int64())), (hits, pa.array(spans, _ARROW_HITS)), (longest, pa.array(best, _ARROW_MATCHES))):
                     shard = shard.set_column(place, shard.schema.field(place).name, values)
                 yield shard
 
@@ -178,23 +228,34 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list
 def matches(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW
 ) -> tuple[DataFrame, str, str, str]:
-    """The documents with three more columns, and their names: words, hits, items.
+    """The documents with three more columns, and their names: words, hits, longest.
 
     ``hits`` are the disjoint spans of words, ends exclusive, that lie inside a
     verbatim occurrence of ``window`` consecutive words of an item, or of a
-    whole item with fewer words; spans that touch are one. ``items`` are the ids
-    of the items that occur, as strings; a null id is ``null``. A null or empty
-    text has no words; an item without words occurs nowhere. The new columns
-    take names that the documents don't have.
+    whole item with fewer words; spans that touch are one. ``longest`` has the
+    longest verbatim match with each item that occurs, by item id as a string (a
+    null id is ``null``): its words, and where it starts in the document and in
+    the item, the first such place of ties. A null or empty text has no words; an
+    item without words occurs nowhere. The new columns take names that the
+    documents don't have.
     """
     spark = docs.sparkSession
-    n_words, hits, items = free_names(docs, "n_words", "hits", "items")
-    out = docs.withColumns({n_words: F.lit(0).cast("long"), hits: F.array().cast(HITS), items: F.array().cast("array<string>")})
+    n_words, hits, longest = free_names(docs, "n_words", "hits", "longest")
+    out = docs.withColumns({n_words: F.lit(0).cast("long"), hits: F.array().cast(HITS), longest: F.array().cast(MATCHES)})
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in out.schema])
-    places = [out.columns.index(name) for name in (text_col, n_words, hits, items)]
+    places = [out.columns.index(name) for name in (text_col, n_words, hits, longest)]
+    held = None
     for block in _blocks(benchmark, item_col, item_text):
-        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(TestSuffixes(block, window)), *places), schema)
-    return out, n_words, hits, items
+        if held is not None:
+            out = settled(out, "matches")
+            held.destroy()
+        held = spark.sparkContext.broadcast(TestSuffixes(block, window))
+        out = out.mapInArrow(_pass(held, *places), schema)
+    return out, n_words, hits, longest
+
+
+def matched_items(longest: str) -> Column:
+    return F.transform(F.col(longest), lambda match: match["item"])
 
 
 def hit_words(hits: str) -> Column:

@@ -65,8 +65,8 @@ def mixing_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def contamination_query(spark: SparkSession, folder: str) -> DataFrame:
-    found, n_words, hits, items = contamination.matches(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
-    n_hit = contamination.hit_words(hits)
+    found, n_words, hits, longest = contamination.matches(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+    n_hit, items = contamination.hit_words(hits), contamination.matched_items(longest)
     return found.select(
         "doc_id",
         F.col(n_words).alias("n_words"),

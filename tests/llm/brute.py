@@ -114,3 +114,18 @@ def contamination(text: str | None, items: list[tuple], window: int = 13) -> tup
                 hit.update(range(i, i + size))
                 which.add(str(item))
     return len(found), len(hit), which
+
+
+def longest_matches(text: str | None, items: list[tuple], window: int = 13) -> dict[str, tuple[int, int, int]]:
+    """Per item words, start and place in the item of the longest common run of a window or more."""
+    found, best = ALNUM.findall((text or "").translate(LOWER)), {}
+    for item, body in items:
+        own = ALNUM.findall((body or "").translate(LOWER))
+        for start in range(len(found)):
+            for place in range(len(own)):
+                n = 0
+                while start + n < len(found) and place + n < len(own) and found[start + n] == own[place + n]:
+                    n += 1
+                if n >= min(window, len(own)) and (str(item) not in best or n > best[str(item)][0]):
+                    best[str(item)] = (n, start, place)
+    return best

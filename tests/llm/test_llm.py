@@ -113,7 +113,8 @@ def test_odd_matches(spark, odd, empty):
     found, n, hits, which = contamination.matches(odd, items)
     assert len({*found.columns}) == len(odd.columns) + 3
     rows = {(r["doc_id"], (r["text"] or "")[:9]): (r[n], r[hits], r[which]) for r in found.collect()}
-    assert rows[4, "a"][2] == ["null"] and rows[4, "other wor"][2] == ["1"] and rows[1, ""][0] == 0
+    ids = {k: [match["item"] for match in row[2]] for k, row in rows.items()}
+    assert ids[4, "a"] == ["null"] and ids[4, "other wor"] == ["1"] and rows[1, ""][0] == 0
     assert [tuple(s) for s in rows[4, "other wor"][1]] == [(0, 2)]
     assert contamination.decontaminated(odd, items).columns == odd.columns
     assert contamination.decontaminated(odd, bench(spark)).count() == len(ODD)
@@ -278,7 +279,17 @@ def test_matches_item_by_item(spark):
     for rows in (items, items[3:]):
         found, n, hits, which = contamination.matches(documents(spark, texts), bench(spark, rows))
         for r in found.collect():
-            assert (r[n], sum(s["end"] - s["start"] for s in r[hits]), {*r[which]}) == brute.contamination(r["text"], rows)
+            ids = {match["item"] for match in r[which]}
+            assert (r[n], sum(s["end"] - s["start"] for s in r[hits]), ids) == brute.contamination(r["text"], rows)
+            assert {m["item"]: (m["words"], m["start"], m["item_start"]) for m in r[which]} == brute.longest_matches(r["text"], rows)
+
+
+def test_matches_of_repetitive_texts():
+    words = " ".join(["la"] * 40)
+    tests = contamination.TestSuffixes([("x", words.encode()), ("y", f"{words} end".encode())])
+    _, hits, longest = contamination.search_shard([f"so {words} la la end".encode(), words.encode()], tests)
+    assert hits == [[(1, 44)], [(0, 40)]]
+    assert longest == [{"x": (40, 1, 0), "y": (41, 3, 0)}, {"x": (40, 0, 0), "y": (40, 0, 0)}]
 
 
 def test_benchmark_in_blocks(spark, monkeypatch):
