@@ -69,6 +69,7 @@ SQL = {
     "scd2_initial": query("select * from h1", **HISTORY),
     "scd2_apply_batch": query("select * from h2", **HISTORY),
     "scd2_full_history": query("select *, valid_to is null as is_current from hist"),
+    "scd2_full_history_hot": query("select *, valid_to is null as is_current from hist"),
     "scd2_key_proof": query(
         """
         select customer_id, count(*) as total_rows,

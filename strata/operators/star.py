@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,8 +52,10 @@ def calendar_dimension(orders: DataFrame) -> DataFrame:
     )
 
 
-def versions_by_day(orders: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Customer version for every (customer, order day) that occurs.
+def versions_by_day(
+    orders: DataFrame, dimension: DataFrame, carried: Sequence[str] = ()
+) -> DataFrame:
+    """Customer version for every (customer, order day) that occurs, with its ``carried`` columns.
 
     The answer depends on the customer and the day only, so each pair is solved
     once. A customer has at most one pair and one reduced version per calendar
@@ -59,7 +63,7 @@ def versions_by_day(orders: DataFrame, dimension: DataFrame) -> DataFrame:
     customer has, and no line is ever compared with a list of versions.
     """
     days = orders.select("customer_id", F.col("order_date").alias("_day")).distinct()
-    marks = earliest_and_daily(dimension, "customer_id", ["customer_sk"])
+    marks = earliest_and_daily(dimension, "customer_id", ["customer_sk", *(c for c in carried if c not in HISTORY[:2])])
     rows = marks.withColumn("_asks", F.lit(False)).unionByName(
         days.withColumn("_asks", F.lit(True)), allowMissingColumns=True
     )
@@ -84,34 +88,50 @@ def versions_by_day(orders: DataFrame, dimension: DataFrame) -> DataFrame:
         .select(
             "customer_id",
             F.col("_day").alias("order_date"),
-            F.when(holds, seen.customer_sk)
-            .otherwise(F.col("_earliest.customer_sk"))
-            .alias("customer_sk"),
+            *[
+                F.when(holds, seen[c]).otherwise(F.col("_earliest")[c]).alias(c)
+                for c in ("customer_sk", *carried)
+            ],
             holds.alias("in_history"),
         )
     )
 
 
 def sales_fact(
-    lines: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame
+    lines: DataFrame,
+    orders: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    of_customer: Sequence[str] = (),
+    of_product: Sequence[str] = (),
 ) -> DataFrame:
     """One row per order line with the customer version of the order day.
 
     Orders older than the history take the earliest version; lines without an
     order drop; lines with an unknown product stay with a NULL product key. The
     customer version is settled on orders, so the lines shuffle only once, on
-    their order.
+    their order. Attributes asked for by ``of_customer`` and ``of_product`` come
+    along with the keys, so a report needs no second join with a dimension; they
+    are NULL where the key is.
     """
     heads = orders.select("order_id", "customer_id", "order_date", "status", "channel")
     settled = heads.join(
-        versions_by_day(heads, customers).drop("in_history"), ["customer_id", "order_date"], "left"
-    ).drop("customer_id")
+        versions_by_day(heads, customers, [c for c in of_customer if c != "customer_id"]).drop("in_history"),
+        ["customer_id", "order_date"],
+        "left",
+    ).withColumn("customer_id", F.when(F.col("customer_sk").isNotNull(), F.col("customer_id")))
     detail = lines.select(
         "order_line_id", "order_id", "product_id", "quantity", "unit_price", "discount_pct"
     )
     return (
         detail.join(settled, "order_id")
-        .join(products.select("product_id", "product_sk"), "product_id", "left")
+        .join(
+            products.select(
+                F.col("product_id").alias("_known"), "product_sk", *[F.col(c).alias(f"_{c}") for c in of_product]
+            ),
+            F.col("product_id") == F.col("_known"),
+            "left",
+        )
         .select(
             "order_line_id",
             "order_id",
@@ -125,6 +145,8 @@ def sales_fact(
             "unit_price",
             "discount_pct",
             line_net("quantity", "unit_price", "discount_pct").alias("net_amount"),
+            *of_customer,
+            *[F.col(f"_{c}").alias(c) for c in of_product],
         )
     )
 
@@ -138,20 +160,25 @@ def daily_revenue(fact: DataFrame, customers: DataFrame, products: DataFrame) ->
 
     Lines are summed per order, customer version and brand before the customer
     join, so that join moves order rows, not lines. An order has one customer
-    version, so its rows per brand and region are counted as they are.
+    version, so its rows per brand and region are counted as they are. A fact
+    that brings ``brand`` or ``region`` along is not joined for it.
     """
-    branded = live_sales(fact).join(products.select("product_sk", "brand"), "product_sk")
-    per_order = branded.groupBy("order_date", "order_id", "customer_sk", "brand").agg(
-        F.sum("net_amount").alias("_net"), F.sum("quantity").alias("_units")
+    branded = live_sales(fact)
+    if "brand" not in fact.columns:
+        branded = branded.join(products.select("product_sk", "brand"), "product_sk")
+    known = F.col("product_sk").isNotNull() & F.col("customer_sk").isNotNull()
+    region = ["region"] if "region" in fact.columns else []
+    per_order = (
+        branded.where(known)
+        .groupBy("order_date", "order_id", "customer_sk", "brand", *region)
+        .agg(F.sum("net_amount").alias("_net"), F.sum("quantity").alias("_units"))
     )
-    return (
-        per_order.join(customers.select("customer_sk", "region"), "customer_sk")
-        .groupBy("order_date", "brand", "region")
-        .agg(
-            F.sum("_net").cast("decimal(24,2)").alias("net_revenue"),
-            F.sum("_units").alias("units_sold"),
-            F.count(F.lit(1)).alias("orders"),
-        )
+    if not region:
+        per_order = per_order.join(customers.select("customer_sk", "region"), "customer_sk")
+    return per_order.groupBy("order_date", "brand", "region").agg(
+        F.sum("_net").cast("decimal(24,2)").alias("net_revenue"),
+        F.sum("_units").alias("units_sold"),
+        F.count(F.lit(1)).alias("orders"),
     )
 
 

@@ -14,7 +14,7 @@ from strata.operators import conform, gates, star
 from strata.operators.merge import NEVER_READ, touched_rows
 from strata.operators.runs import RUN_SCHEMA, AppendLog, log_run
 from strata.operators.snapshots import SnapshotTable, Staged
-from strata.session import settled
+from strata.session import extracted
 from strata.sources.increments import MODIFIED, stamp_load
 from strata.streaming.drops import Feed, land, landed, typed
 
@@ -124,8 +124,8 @@ def take_in_table(lake: Lake, source: Source, name: str) -> dict[str, str]:
     """Extract one table since its mark, keep unseen versions, move the mark."""
     before = lake.mark(name)
     extract = stamp_load(source.read_increment(lake.spark, name, before), name)
-    rows = settled(extract, f"extract-{name}")
-    inserted, latest = lake.bronze(name).insert_versions(rows, MODIFIED)
+    with extracted(extract, f"extract-{name}") as rows:
+        inserted, latest = lake.bronze(name).insert_versions(rows, MODIFIED)
     if latest is not None:
         lake.set_mark(name, latest)
     return {
@@ -152,10 +152,13 @@ def _newest_of_touched(every: DataFrame, fresh: DataFrame, key: str, order: str)
     """Newest version of each key that got a new row, judged over all its versions.
 
     A late row older than what is known changes nothing, and keys without new
-    rows are not looked at.
+    rows are not looked at. Rows before the first fresh one can't be the newest
+    of a key with a fresh row; statistics keep their files from being read.
     """
     keys = fresh.select(key).distinct()
-    return conform.newest_version(touched_rows(every, keys, [key]), key, order)
+    first = fresh.agg(F.min(order)).first()[0]
+    later = every if first is None else every.where((F.col(order) >= F.lit(first)) | F.col(order).isNull())
+    return conform.newest_version(touched_rows(later, keys, [key]), key, order)
 
 
 def _newer_than_known(silver: SnapshotTable, updates: DataFrame, key: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import moment
+from strata.functions.skew import hot_keys
 from strata.operators import conform, history, merge, snapshots, star
 from strata.operators.snapshots import SnapshotTable
 from strata.plans.registry import query
@@ -49,6 +50,15 @@ def scd2_full_history(s: Staging) -> DataFrame:
     return s.segment_history
 
 
+@query
+def scd2_full_history_hot(s: Staging) -> DataFrame:
+    """The same history with customers of over a thousandth of the rows cut into pieces."""
+    hot = hot_keys(s.segment_versions, ["customer_id"], share=1e-3, floor=0)
+    return history.full_history(
+        s.segment_versions, "customer_id", "modified_at", ["segment"], ["seq"], hot=hot
+    )
+
+
 @query
 def scd2_key_proof(s: Staging) -> DataFrame:
     """Per key after a batch: versions, current ones, closed ones, what is current."""

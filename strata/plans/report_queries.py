@@ -24,7 +24,8 @@ def daily(s: Staging) -> DataFrame:
     """Revenue of the reported days; older orders go before their versions are looked up."""
     recent = s.orders.where(trailing_days("order_date", ORDERS_AS_OF, 90))
     customers, products = dimensions(s)
-    return star.daily_revenue(star.sales_fact(s.lines, recent, customers, products), customers, products)
+    sales = star.sales_fact(s.lines, recent, customers, products, ["region"], ["brand"])
+    return star.daily_revenue(sales, customers, products)
 
 
 @query

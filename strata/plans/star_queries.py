@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,36 +17,29 @@ def dimensions(s: Staging) -> tuple[DataFrame, DataFrame]:
     return star.customer_dimension(s.customer_history), star.product_dimension(s.products)
 
 
-def fact(s: Staging) -> DataFrame:
-    return star.sales_fact(s.lines, s.orders, *dimensions(s))
+def fact(s: Staging, of_customer: Sequence[str] = (), of_product: Sequence[str] = ()) -> DataFrame:
+    return star.sales_fact(s.lines, s.orders, *dimensions(s), of_customer, of_product)
 
 
-def readable(fact_rows: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Fact with business keys in place of surrogates."""
-    c = customers.select("customer_sk", "customer_id", "segment", "valid_from")
-    p = products.select("product_sk", "product_id")
-    return (
-        fact_rows.join(c, "customer_sk", "left")
-        .join(p, "product_sk", "left")
-        .drop("customer_sk", "product_sk")
-    )
+#: Business keys that stand for the surrogates in a comparison.
+CUSTOMER_KEYS, PRODUCT_KEYS = ("customer_id", "segment", "valid_from"), ("product_id",)
+
+
+def readable(fact_rows: DataFrame) -> DataFrame:
+    """Fact that brings its business keys along, without the surrogates."""
+    return fact_rows.drop("customer_sk", "product_sk")
 
 
 @query
 def revenue_by_brand_segment(s: Staging) -> DataFrame:
     """Flagship: point-in-time revenue by brand and customer segment."""
-    customers, products = dimensions(s)
-    sold = star.live_sales(star.sales_fact(s.lines, s.orders, customers, products))
-    per_key = sold.groupBy("customer_sk", "product_sk").agg(
-        F.sum("net_amount").alias("_net"), F.sum("quantity").alias("_units")
-    )
+    sold = star.live_sales(fact(s, ["segment"], ["brand"]))
     return (
-        per_key.join(products.select("product_sk", "brand"), "product_sk")
-        .join(customers.select("customer_sk", "segment"), "customer_sk")
+        sold.where("customer_sk is not null and product_sk is not null")
         .groupBy("brand", "segment")
         .agg(
-            F.sum("_net").cast("decimal(18,2)").alias("net_revenue"),
-            F.sum("_units").alias("units_sold"),
+            F.sum("net_amount").cast("decimal(18,2)").alias("net_revenue"),
+            F.sum("quantity").alias("units_sold"),
         )
     )
 
@@ -109,7 +104,7 @@ def dim_date(s: Staging) -> DataFrame:
 
 @query
 def fact_sales(s: Staging) -> DataFrame:
-    return readable(fact(s), *dimensions(s))
+    return readable(fact(s, CUSTOMER_KEYS, PRODUCT_KEYS))
 
 
 @query
@@ -122,12 +117,12 @@ def fact_sales_fallback(s: Staging) -> DataFrame:
         }
     )
     customers, products = star.customer_dimension(late), star.product_dimension(s.products)
-    return readable(star.sales_fact(s.lines, s.orders, customers, products), customers, products)
+    return readable(star.sales_fact(s.lines, s.orders, customers, products, CUSTOMER_KEYS, PRODUCT_KEYS))
 
 
 @query
 def agg_daily_revenue(s: Staging) -> DataFrame:
-    return star.daily_revenue(fact(s), *dimensions(s))
+    return star.daily_revenue(fact(s, ["region"], ["brand"]), *dimensions(s))
 
 
 @query
@@ -150,7 +145,7 @@ def gold_table_counts(s: Staging) -> DataFrame:
         "dim_product": products,
         "dim_date": star.calendar_dimension(s.orders),
         "fact_sales": sales,
-        "agg_daily_revenue": star.daily_revenue(sales, customers, products),
+        "agg_daily_revenue": agg_daily_revenue(s),
         "agg_delivery_sla": star.delivery_sla(s.deliveries),
         "agg_distributor_shipments": star.distributor_volume(s.shipments),
     }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +54,16 @@ def settled(rows: DataFrame, purpose: str) -> DataFrame:
     path = work_folder(rows.sparkSession, purpose)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+@contextmanager
+def extracted(rows: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """Settled rows for as long as they are needed; the folder goes after it."""
+    spark = rows.sparkSession
+    path = work_folder(spark, purpose)
+    rows.write.parquet(path)
+    try:
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

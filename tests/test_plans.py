@@ -46,6 +46,11 @@ def test_fact_moves_lines_once(staging):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_gold_shuffles(spark):
+    for name, most in (("fact_sales", 9), ("agg_daily_revenue", 9), ("revenue_by_brand_segment", 9)):
+        assert plan_text(entry.queries()[name](spark, SMALL)).count("Exchange hashpartitioning") <= most, name
+
+
 def test_no_query_crosses_or_loops(spark):
     heavy = ("layout_", "stream_", "rescued", "rows_per_source", "version", "restore", "update_where",
              "delete_where", "rebuild", "retention")

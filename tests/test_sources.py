@@ -1,8 +1,11 @@
 from datetime import date, datetime
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import functions as F
 
 from strata.operators import conform
+from strata.session import extracted
 from strata.sources import generate
 from strata.sources.increments import JdbcSource, even_edges, since, stamp_load
 from tests.conftest import at, sets
@@ -90,3 +93,11 @@ def test_drops_are_deterministic(spark, folder):
     generate.write_drop(generate.drop_returns(keys, 2), "json", f"{folder}/json")
     assert spark.read.csv(f"{folder}/csv", header=True).count() == 60
     assert spark.read.json(f"{folder}/json").count() == 60
+
+
+def test_extracts_go_after_use(spark):
+    with extracted(spark.range(5).toDF("a"), "extract-test") as rows:
+        assert rows.count() == 5
+        folder = Path(unquote(urlparse(rows.inputFiles()[0]).path)).parent
+        assert folder.exists()
+    assert not folder.exists()

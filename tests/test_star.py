@@ -85,6 +85,19 @@ def test_fact_takes_the_version_of_the_order_day(world):
     assert sets(fact.where("product_sk is null"), "order_line_id") == {(6,)}
 
 
+def test_fact_brings_attributes_along(world):
+    customers, products, orders, lines = world
+    wanted = ["customer_id", "city", "region", "valid_from"]
+    fact = star.sales_fact(lines, orders, customers, products, wanted, ["brand"])
+    plain = star.sales_fact(lines, orders, customers, products)
+    joined = plain.drop("customer_id").join(customers.select("customer_sk", *wanted), "customer_sk", "left")
+    joined = joined.join(products.select("product_sk", "brand"), "product_sk", "left")
+    names = ["order_line_id", "customer_sk", "net_amount", *wanted, "brand"]
+    assert sets(fact, *names) == sets(joined, *names) and len(fact.columns) == len(plain.columns) + 5
+    days = ["order_date", "brand", "region", "net_revenue", "units_sold", "orders"]
+    assert sets(star.daily_revenue(fact, customers, products), *days) == sets(star.daily_revenue(plain, customers, products), *days)
+
+
 def test_version_starting_and_ending_on_the_day(spark, world):
     """A version that starts after midnight does not hold for orders of that day."""
     _, products, orders, lines = world
