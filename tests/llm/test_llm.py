@@ -393,6 +393,24 @@ def test_licenses_by_wording(spark):
     assert all(any(re.search(licenses.CUES, w) for w in [text]) for texts in licenses.TEMPLATES.values() for text in texts)
 
 
+def test_licenses_inside_of_other_words(spark):
+    texts = {
+        'Licensed under the Apache License, Version 2.0 (the "License");': "Apache-2.0",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use.': "MIT",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "MPL-2.0",
+        "This software is released under the MIT License.": "MIT",
+        "As said above, this work is licensed under the old GNU General Public License, version 2, and so are its parts.": "GPL-2.0",
+        "This work is licensed under the GNU Lesser General Public License, version 2.": None,
+    }
+    found = {r["doc_id"]: (r["license"], r["differences"]) for r in licenses.license_blocks(documents(spark, list(texts))).collect()}
+    assert [found.get(i, (None,))[0] for i in range(len(texts))] == list(texts.values())
+    assert found[0][1] == [] and found[4][1] == ["+old"]
+    known = licenses.Templates(licenses.TEMPLATES)
+    for name, wordings in licenses.TEMPLATES.items():
+        for text in wordings:
+            assert {n[2] for n in known.notices(text)} <= {name}
+
+
 def test_every_license_line_is_found(spark):
     lines = small(spark).select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     wording = [text for texts in licenses.TEMPLATES.values() for text in texts]
