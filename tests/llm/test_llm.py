@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 from hashlib import sha256
 
 import public_tokenizers
@@ -411,6 +412,24 @@ def test_licenses_inside_of_other_words(spark):
             assert {n[2] for n in known.notices(text)} <= {name}
 
 
+def test_licenses_over_many_lines(spark):
+    mit = licenses.TEMPLATES["MIT"][-1]
+    wrapped = lambda text, sign: "\n".join(textwrap.wrap(text, 72, initial_indent=sign, subsequent_indent=sign))
+    texts = [
+        "Prose.\nThis work is licensed under the GNU General\nPublic License, version 3.\nMore prose",
+        "/*\n" + wrapped(licenses.TEMPLATES["Apache-2.0"][1], " * ") + "\n */\ncode",
+        "The MIT License\n\n" + wrapped(mit, "# ") + "\n\nAll rights\nreserved.\nReleased under the MIT License.",
+        "Released under the MIT\nor another License.",
+        "\n".join(f"line {i}" for i in range(3000)) + "\nLicensed under\nCC BY 4.0.\n" + "\n".join(f"more {i}" for i in range(3000)),
+    ]
+    found = {}
+    for r in licenses.license_blocks(documents(spark, texts)).collect():
+        found.setdefault(r["doc_id"], []).append((r["place"], r["license"], r["block"].count("\n"), r["differences"]))
+    assert found[0] == [(1, "GPL-3.0", 1, [])] and found[4] == [(3000, "CC-BY-4.0", 1, [])] and 3 not in found
+    assert [(x[0], x[1], x[3]) for x in found[1]] == [(1, "Apache-2.0", [])]
+    assert [(x[1], x[3]) for x in sorted(found[2])] == [("MIT", []), ("all-rights-reserved", []), ("MIT", [])]
+
+
 def test_every_license_line_is_found(spark):
     lines = small(spark).select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     wording = [text for texts in licenses.TEMPLATES.values() for text in texts]
