@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KINDS = ("email", "ip", "card", "phone")
-LABELS = ("outside", *KINDS)
+#: A value begins with the label of its kind and goes on with the other one.
+INSIDE = tuple(f"{kind} goes on" for kind in KINDS)
+LABELS = ("outside", *KINDS, *INSIDE)
 Span = tuple[int, int, str]
 
 #: The contract's patterns. The looks behind only skip starts that can't succeed, so that no text takes quadratic time.
@@ -34,6 +36,11 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGIT = re.compile("[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+#: What signs between values in one token leave of it, and the signs that values do not begin or end with.
+_UNIT = re.compile(r"[^\x20\x09-\x0D,;|/]+")
+_EDGE = ".,;:!?\"'<>[]|/ \t\x0b\x0c\r"
+#: Pieces of one value, at most: as many as it may have digits, and more.
+PIECES = 24
 
 
 def luhn(digits: str) -> bool:
@@ -103,12 +110,18 @@ def token_features(tokens: list[str], i: int) -> list[str]:
     core = token.strip(".,;:!?\"'<>[]")
     digits = sum("0" <= c <= "9" for c in core)
     around = lambda k: shape(tokens[k].strip(".,;:!?\"'<>[]")) if 0 <= k < len(tokens) else "-"
+    alike = 0
+    while alike < 8 and i > alike and around(i - alike - 1) == around(i):
+        alike += 1
     word = lambda k: tokens[k].lower().strip(".,;:!?\"'<>[]") if 0 <= k < len(tokens) and not _DIGIT.search(tokens[k]) else "-"
     return [
         "bias",
         "shape=" + shape(core),
         "before=" + around(i - 1),
         "after=" + around(i + 1),
+        "two before=" + around(i - 2) + " " + around(i - 1),
+        f"alike before={alike}",
+        f"sign before={tokens[i - 1][-1] if i and tokens[i - 1][-1] in '.,;:|/' else '-'}",
         "word before=" + word(i - 1),
         f"digits={min(digits, 20)}",
         f"length={min(len(core), 24)}",
@@ -159,10 +172,17 @@ def labelled_table(rows: int = 600, seed: int = 7) -> list[tuple[list[str], list
                 tokens.append(plain())
                 labels.append("outside")
             kind = draw.choice(KINDS) if draw.random() < 0.55 else None
-            made = (draw.choice(positive[kind])() if kind else draw.choice(negative)()) + draw.choice(["", "", ".", ","])
-            for token in made.split(" "):
-                tokens.append(token)
-                labels.append(kind if kind and is_candidate(token) else "outside")
+            # Values of one kind may stand side by side, as in lists and columns.
+            side_by_side = draw.randint(2, 4) if kind and draw.random() < 0.4 else 1
+            way = draw.choice(positive[kind]) if kind else draw.choice(negative)
+            between = draw.choice(["", ",", ";"])
+            for k in range(side_by_side):
+                made = way() + (between if k < side_by_side - 1 else draw.choice(["", "", ".", ","]))
+                begun = False
+                for token in made.split(" "):
+                    tokens.append(token)
+                    labels.append("outside" if not kind or not is_candidate(token) else INSIDE[KINDS.index(kind)] if begun else kind)
+                    begun = True
         tokens.append(plain())
         labels.append("outside")
         table.append((tokens, labels))
@@ -232,6 +252,7 @@ def candidate_runs(tokens: list[str]) -> list[tuple[int, int]]:
 def train(table: list[tuple[list[str], list[str]]], steps: int = 150, rate: float = 0.15, decay: float = 1e-3) -> ChainField:
     """Maximum likelihood by forward and backward sums and adaptive gradient steps."""
     runs = [(token_rows, [LABELS.index(l) for l in labels[a:b]]) for tokens, labels in table for a, b in candidate_runs(tokens) for token_rows in [[token_features(tokens, i) for i in range(a, b)]]]
+    runs.sort(key=lambda run: -len(run[0]))  # the runs that are longer than t stand first
     names = sorted({f for rows, _ in runs for row in rows for f in row})
     features = {name: i for i, name in enumerate(names)}
     k, longest = len(LABELS), max(len(rows) for rows, _ in runs)
@@ -242,6 +263,7 @@ def train(table: list[tuple[list[str], list[str]]], steps: int = 150, rate: floa
     for r, (_, labels) in enumerate(runs):
         truth[r, : len(labels)] = labels
     mask, lengths = truth >= 0, (truth >= 0).sum(1)
+    alive = [int((lengths > t).sum()) for t in range(longest)]
     one = np.eye(k)[np.maximum(truth, 0)] * mask[..., None]
     gold_move = np.zeros((k, k))
     for _, labels in runs:
@@ -258,20 +280,22 @@ def train(table: list[tuple[list[str], list[str]]], steps: int = 150, rate: floa
         ahead = np.zeros_like(score)
         ahead[:, 0] = move[0] + score[:, 0]
         for t in range(1, longest):
-            ahead[:, t] = logsum(ahead[:, t - 1, :, None] + move, 1) + score[:, t]
+            n = alive[t]
+            ahead[:n, t] = logsum(ahead[:n, t - 1, :, None] + move, 1) + score[:n, t]
         behind = np.zeros_like(score)
         behind[np.arange(len(runs)), lengths - 1] = move[:, 0]
         for t in range(longest - 2, -1, -1):
-            step = logsum(move + (score[:, t + 1] + behind[:, t + 1])[:, None, :], 2)
-            behind[:, t] = np.where((t < lengths - 1)[:, None], step, behind[:, t])
+            n = alive[t + 1]
+            behind[:n, t] = logsum(move + (score[:n, t + 1] + behind[:n, t + 1])[:, None, :], 2)
         total = logsum(ahead[np.arange(len(runs)), lengths - 1] + move[:, 0], 1)
-        likely = np.exp(ahead + behind - total[:, None, None]) * mask[..., None]
+        likely = np.exp(np.where(mask[..., None], ahead + behind - total[:, None, None], -np.inf))
         expected = np.zeros((k, k))
         expected[0] += likely[:, 0].sum(0)
         expected[:, 0] += likely[np.arange(len(runs)), lengths - 1].sum(0)
         for t in range(1, longest):
-            both = np.exp(ahead[:, t - 1, :, None] + move + (score[:, t] + behind[:, t])[:, None, :] - total[:, None, None])
-            expected += (both * mask[:, t, None, None]).sum(0)
+            n = alive[t]
+            both = np.exp(ahead[:n, t - 1, :, None] + move + (score[:n, t] + behind[:n, t])[:, None, :] - total[:n, None, None])
+            expected += both.sum(0)
         slope = np.zeros_like(emit)
         np.add.at(slope, hot[:, 2], (one - likely)[hot[:, 0], hot[:, 1]])
         for weights, gradient, cache in ((emit, slope - decay * emit, caches[0]), (move, gold_move - expected - decay * move, caches[1])):
@@ -294,8 +318,85 @@ def plausible(kind: str, value: str) -> bool:
     }[kind]
 
 
-def field_spans(texts: list[str], field: ChainField) -> list[list[Span]]:
-    """Spans by the random field, in code points, for each text; a long batch is decoded in parts."""
+def is_single(kind: str, value: str) -> bool:
+    """A plausible value that is surely not put together from others."""
+    return plausible(kind, value) and (value.count("@") == 1 if kind == "email" else not any(c.isalpha() for c in value))
+
+
+def values_in(kind: str, text: str, units: list[tuple[int, int]]) -> list[Span]:
+    """Values of the kind in neighbouring units, which are values or pieces of them.
+
+    Of all ways to cut the units the one that leaves the fewest characters of
+    them without a value is taken, then the one with the most values.
+    """
+    best: list[tuple[int, int, tuple[int, int] | None, int]] = [(0, 0, None, 0)]
+    for end in range(1, len(units) + 1):
+        chosen, held = (*best[end - 1][:2], None, end - 1), 0
+        for first in range(end - 1, max(0, end - PIECES) - 1, -1):
+            a, b = trimmed(text, units[first][0], units[end - 1][1])
+            held += units[first][1] - units[first][0]
+            if b > a and is_single(kind, text[a:b]):
+                reach = (best[first][0] + held, best[first][1] + 1)
+                if reach > chosen[:2]:
+                    chosen = (*reach, (a, b), first)
+        best.append(chosen)
+    found, at = [], len(units)
+    while at:
+        if span := best[at][2]:
+            found.append((*span, kind))
+        at = best[at][3]
+    return found[::-1]
+
+
+def trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    while b > a and text[b - 1] in _EDGE:
+        b -= 1
+    while a < b and text[a] in _EDGE:
+        a += 1
+    return a, b
+
+
+def without(taken: list[Span], a: int, b: int) -> Iterator[tuple[int, int]]:
+    """What the spans leave of a place; they are in order of their starts."""
+    for start, end, _ in taken:
+        if start < b and end > a:
+            if start > a:
+                yield a, start
+            a = max(a, end)
+    if a < b:
+        yield a, b
+
+
+def field_values(text: str, kind: str, parts: list[tuple[int, int]], taken: list[Span]) -> list[Span]:
+    """Values in a run of tokens of one kind, from its parts as labelled; places of ``taken`` are left out.
+
+    Where the base has a piece of a part, only what is left is looked at. Parts
+    that are no value by themselves are cut anew, with those like them beside.
+    """
+    found: list[Span] = []
+    loose: list[tuple[int, int]] = []
+
+    def cut_anew() -> None:
+        units = [(x.start() + a, x.end() + a) for a, b in loose for x in _UNIT.finditer(text[a:b])]
+        found.extend(values_in(kind, text, units))
+        loose.clear()
+
+    for part in parts:
+        for left in without(taken, *part):
+            a, b = trimmed(text, *left)
+            if b > a and plausible(kind, text[a:b]) and not (kind == "email" and text[a:b].count("@") > 1):
+                cut_anew()
+                found.append((a, b, kind))
+            else:
+                loose.append(left)
+            if left[1] < part[1]:
+                cut_anew()
+    cut_anew()
+    return found
+
+
+def field_spans(texts: list[str], field: ChainField, base: list[list[Span]] | None = None) -> list[list[Span]]:
+    """Spans by the random field, in code points, for each text, beside those of ``base``; a long batch is decoded in parts."""
     out: list[list[Span]] = [[] for _ in texts]
     where, feature_rows, cuts = [], [], [0]
     for row, text in enumerate(texts):
@@ -312,32 +413,26 @@ def field_spans(texts: list[str], field: ChainField) -> list[list[Span]]:
                 where.append((row, line.start(), marks[a:b]))
     scores = field.scores(feature_rows)
     for (row, offset, marks), path in zip(where, field.decode([scores[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]), strict=True):
+        kinds = [(label - 1) % len(KINDS) if label else -1 for label in path.tolist()]
         start = 0
         while start < len(path):
             end = start + 1
-            while end < len(path) and path[end] == path[start]:
+            while end < len(path) and kinds[end] == kinds[start]:
                 end += 1
             if path[start]:
-                a, b = offset + marks[start].start(), offset + marks[end - 1].end()
-                text = texts[row]
-                while b > a and text[b - 1] in ".,;:!?\"'<>[]":
-                    b -= 1
-                while a < b and text[a] in ".,;:!?\"'<>[]":
-                    a += 1
-                if b > a and plausible(LABELS[path[start]], text[a:b]):
-                    out[row].append((a, b, LABELS[path[start]]))
+                begins = [start, *(t for t in range(start + 1, end) if path[t] <= len(KINDS)), end]
+                parts = [(offset + marks[a].start(), offset + marks[b - 1].end()) for a, b in zip(begins, begins[1:])]
+                low, high = parts[0][0], parts[-1][1]
+                taken = [s for s in base[row] if s[0] < high and s[1] > low] if base else []
+                out[row] += field_values(texts[row], KINDS[kinds[start]], parts, taken)
             start = end
     return out
 
 
 def all_spans(texts: list[str], field: ChainField) -> list[tuple[list[Span], list[Span]]]:
     """(base spans, all spans) of each text; the field only adds where no base span lies."""
-    out = []
-    for text, extra in zip(texts, field_spans(texts, field), strict=True):
-        base = base_spans(text)
-        free = [s for s in extra if all(s[1] <= b[0] or s[0] >= b[1] for b in base)]
-        out.append((base, in_order(base + free)))
-    return out
+    base = [base_spans(text) for text in texts]
+    return [(found, in_order(found + extra)) for found, extra in zip(base, field_spans(texts, field, base), strict=True)]
 
 
 SLICE = 256

@@ -376,6 +376,31 @@ def test_the_field_adds_what_patterns_miss():
     assert base == [] and [text[a:b] for a, b, _ in spans] == ["+1 (269) 555-3296", "4524132264652876"]
 
 
+def test_values_side_by_side():
+    field = pii.train(pii.labelled_table())
+    for values, between in [
+        (["555-123-4567", "555-987-6543"], ", "),
+        (["(555) 123-4567", "(555) 987-6543"], " "),
+        (["4524.1322.6465.2876", "4111.1111.1111.1111"], " "),
+        (["4524 1322 6465 2876", "4111 1111 1111 1111"], " "),
+        (["anna@müller.de", "otto@köln.de"], " "),
+        (["anna@müller.de", "otto@köln.de"], ","),
+        (["(555) 123-4567", "(555) 987-6543", "+1 (269) 555-3296"], ", "),
+        (["212-555-0101", "212-555-0102", "212-555-0103", "212-555-0104"], " "),
+    ]:
+        text = "wrote to " + between.join(values) + " then left"
+        _, spans = pii.all_spans([text], field)[0]
+        covered = {text[a:b] for a, b, _ in spans}
+        assert set(values) <= covered, (text, covered)
+
+
+def test_a_base_span_is_cut_out_of_a_field_span():
+    parts = [(0, 12), (13, 30)]
+    text = "555-123-4567 +1 (269) 555-3296"
+    assert pii.field_values(text, "phone", [(0, len(text))], [(13, len(text), "phone")]) == [(0, 12, "phone")]
+    assert pii.field_values(text, "phone", parts, []) == [(0, 12, "phone"), (13, 30, "phone")]
+
+
 def test_licenses_by_wording(spark):
     texts = [
         "prose\nReleased under the MIT License.\nmore",
