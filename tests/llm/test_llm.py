@@ -172,6 +172,17 @@ def test_long_conversations_go_over_blocks(spark):
     assert whole == "".join(f"<|im_start|>user\nt{t}<|im_end|>\n" for t in range(201))
 
 
+def test_blocks_of_many_rows_go_over_parts(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PART_ROWS", 10)
+    rows = [(None, None, "user", f"t{i % 30:02}") for i in range(95)] + [(None, 3, "user", "same")] * 25 + [(7, 0, None, "short")]
+    found = chat.rendered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted(((r["conv_id"] or 0, r["part"]) for r in found)) == [*((0, k) for k in range(13)), (7, 0)]
+    own = sorted((r for r in found if r["conv_id"] is None), key=lambda r: r["part"])
+    assert max(r["rendered"].count(chat.OPEN) for r in own) == 10 and {r["n_turns"] for r in own} == {120}
+    texts = sorted(f"t{i % 30:02}" for i in range(95)) + ["same"] * 25
+    assert "".join(r["rendered"] for r in own) == "".join(f"<|im_start|>user\n{t}<|im_end|>\n" for t in texts)
+
+
 # --- against plain Python ---
 
 
