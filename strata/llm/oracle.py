@@ -139,6 +139,15 @@ SELECT conv_id, n_turns, copies, (dense_rank() OVER (PARTITION BY conv_id ORDER
   FROM kept JOIN t USING (conv_id) GROUP BY ALL)"""
 
 
+def warc() -> str:
+    return """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+m AS (SELECT page_id, body, strlen(body) AS n, max(page_id) OVER (PARTITION BY body) AS leader FROM p)
+SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM leader THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM leader THEN leader END AS refers_to FROM m"""
+
+
 SQL = {
     "op1_line_dedup": line_dedup(),
     "op3_near_dups": near_dups(),
@@ -146,4 +155,5 @@ SQL = {
     "op5_contamination": contamination(),
     "op7_sharding": sharding(),
     "op10_chat": chat(),
+    "op11_warc": warc(),
 }

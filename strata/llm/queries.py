@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm import chat, contamination, licenses, line_dedup, mixing, near_dups, pii, quality, sharding, token_counts
+from strata.llm import chat, contamination, licenses, line_dedup, mixing, near_dups, pii, quality, sharding, token_counts, warc
 from strata.llm.oracle import SQL
 from strata.llm.shared import table
 from strata.session import work_folder
@@ -98,6 +98,19 @@ def chat_query(spark: SparkSession, folder: str) -> DataFrame:
     return chat.rendered(table(spark, folder, "conversations"))
 
 
+def warc_query(spark: SparkSession, folder: str) -> DataFrame:
+    pages, path = table(spark, folder, "pages").select("page_id", "url", "html"), work_folder(spark, "archives")
+    warc.write_archives(pages, path)
+    rows, kind = warc.read_archives(spark, path, payloads=False), pages.schema["page_id"].dataType
+    return rows.select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -115,5 +128,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": pii_query,
     "op9_licenses": licenses_query,
     "op10_chat": chat_query,
+    "op11_warc": warc_query,
     "pipeline": pipeline,
 }
