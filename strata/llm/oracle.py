@@ -148,6 +148,49 @@ SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
   CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM leader THEN leader END AS refers_to FROM m"""
 
 
+#: The table of CRC-32, and the checksum of a text by it; ``lookup`` has to be joined.
+_CRC_TABLE = """crc_table(i, k, v) AS (
+  SELECT range, 0, range FROM range(256) UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM crc_table WHERE k < 8),
+lookup AS (SELECT list(v ORDER BY i) AS t FROM crc_table WHERE k = 8)"""
+
+
+def _crc(text: str) -> str:
+    codes = f"list_transform(range(strlen({text})), lambda j: ('0x' || substr(hex(encode({text})), 2 * j + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, x: xor(c >> 8, list_extract(t, (xor(c, x) & 255) + 1))), 4294967295)"
+
+
+def _tie(role: str, text: str) -> str:
+    return f"substr({role}, 1, 64), substr({text}, 1, 64), md5(length({role})::VARCHAR || ':' || {role} || {text})"
+
+
+def prefix_trie() -> str:
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+t AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {_tie("role", "text")}) AS n
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, count(*) AS own, {_crc("conv_id::VARCHAR")} % 4 AS h FROM t, lookup GROUP BY conv_id, lookup.t),
+m AS (SELECT c.conv_id, c.h, c.conv_id - c.conv_id % 20 AS base, least(c.h, coalesce(b.own, 0)) AS taken FROM c LEFT JOIN c AS b ON b.conv_id = c.conv_id - c.conv_id % 20),
+r AS (
+  SELECT m.conv_id, t.n AS depth, role, text FROM m JOIN t ON t.conv_id = m.base AND t.n <= m.taken
+  UNION ALL SELECT m.conv_id, t.n - m.h + m.taken, role, text FROM m JOIN t ON t.conv_id = m.conv_id AND t.n > m.h),
+p AS (
+  SELECT conv_id, 0 AS depth, '' AS path, '' AS above, 0 AS words FROM m
+  UNION ALL SELECT conv_id, depth, string_agg(turn, '') OVER so_far, coalesce(string_agg(turn, '') OVER earlier, ''), words FROM (
+    SELECT conv_id, depth, md5({_marked("role")} || {_marked("text")}) AS turn, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM r)
+  WINDOW so_far AS (PARTITION BY conv_id ORDER BY depth), earlier AS (PARTITION BY conv_id ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+nodes AS (SELECT depth, path, min(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(words) AS saved FROM p GROUP BY depth, path),
+children AS (SELECT above AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY above),
+pairs AS (SELECT DISTINCT a.path AS top, b.path FROM p AS a JOIN p AS b USING (conv_id) WHERE a.depth <= b.depth),
+sums AS (SELECT top, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum(saved) AS saved FROM pairs JOIN nodes USING (path) LEFT JOIN children USING (path) GROUP BY top),
+ends AS (
+  SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, path, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM p) WHERE last GROUP BY path)
+SELECT nodes.conv_id, nodes.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, nodes.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, sums.saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes LEFT JOIN nodes AS up ON up.path = nodes.above AND up.depth = nodes.depth - 1
+LEFT JOIN children ON children.path = nodes.path JOIN sums ON top = nodes.path LEFT JOIN ends ON ends.path = nodes.path"""
+
+
 SQL = {
     "op1_line_dedup": line_dedup(),
     "op3_near_dups": near_dups(),
@@ -156,4 +199,5 @@ SQL = {
     "op7_sharding": sharding(),
     "op10_chat": chat(),
     "op11_warc": warc(),
+    "op12_prefix_trie": prefix_trie(),
 }

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm import chat, contamination, licenses, line_dedup, mixing, near_dups, pii, quality, sharding, token_counts, warc
+from strata.llm import chat, contamination, licenses, line_dedup, mixing, near_dups, pii, prefix_trie, quality, sharding, token_counts, warc
 from strata.llm.oracle import SQL
 from strata.llm.shared import table
 from strata.session import work_folder
@@ -111,6 +111,11 @@ def warc_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def prefix_trie_query(spark: SparkSession, folder: str) -> DataFrame:
+    nodes = prefix_trie.trie(*prefix_trie.rebuilt(table(spark, folder, "conversations")))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -129,5 +134,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_licenses": licenses_query,
     "op10_chat": chat_query,
     "op11_warc": warc_query,
+    "op12_prefix_trie": prefix_trie_query,
     "pipeline": pipeline,
 }
