@@ -191,6 +191,68 @@ FROM nodes LEFT JOIN nodes AS up ON up.path = nodes.above AND up.depth = nodes.d
 LEFT JOIN children ON children.path = nodes.path JOIN sums ON top = nodes.path LEFT JOIN ends ON ends.path = nodes.path"""
 
 
+def _repair_steps() -> str:
+    """Rows (symbol, state, next state, cost, letters, inserted text) of a turn with insertions before it."""
+    follows, names = (2, 2, 3, 2), {2: "user", 3: "assistant"}
+    out = []
+    for role in "sua?":
+        for fault in ("delete", "truncated", "none"):
+            for start in range(4):
+                state, text = start, ""
+                for inserted in range(3):
+                    base, letters = 5 * inserted, "I" * inserted
+                    extra, to = (5 if fault == "truncated" else 0), follows[state]
+                    out.append((role, fault, start, state, base + 2, letters + "D", text, ""))
+                    if fault != "delete":
+                        out.append((role, fault, start, to, base + 1 + extra, letters + "R", text, names[to]))
+                        if (role == "s" and state == 0) or role == {2: "u", 3: "a"}[to]:
+                            out.append((role, fault, start, 1 if role == "s" else to, base + extra, letters + "K", text, ""))
+                    state = to
+                    text += f"\n{names[to]}:"
+    cell = lambda value: str(value) if isinstance(value, int) else f"'{value}'"
+    return ", ".join(f"({', '.join(map(cell, row))})" for row in out)
+
+
+def structure_repair() -> str:
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc("key")} % 20 AS d
+  FROM (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations), lookup),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN d = 1 THEN '' WHEN d = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS again
+  FROM src WHERE d <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {_tie("role", "text")}) AS i FROM hurt),
+faults AS (
+  SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+    CASE WHEN trim(text, {_SPACES}) = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(rtrim(text, {_SPACES}), 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+    count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM faults GROUP BY conv_id),
+steps(role, fault, x, y, cost, letters, inserted, renamed) AS (VALUES {_repair_steps()}),
+typed AS (
+  SELECT conv_id, i, role, text, CASE WHEN initial IN ('s', 'u', 'a') THEN initial ELSE '?' END AS class,
+    CASE WHEN fault IN ('blank', 'duplicate') THEN 'delete' ELSE fault END AS kind FROM faults),
+ways(conv_id, i, x, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {{'cost': 0, 'audit': '', 'out': ''}} FROM counts
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, s.y, min({{'cost': w.best.cost + s.cost, 'audit': w.best.audit || s.letters, 'out': w.best.out || s.inserted ||
+      CASE right(s.letters, 1) WHEN 'D' THEN '' WHEN 'R' THEN chr(10) || s.renamed || ':' || t.text ELSE chr(10) || t.role || ':' || t.text END}})
+  FROM ways AS w JOIN typed AS t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1 JOIN steps AS s ON s.role = t.class AND s.fault = t.kind AND s.x = w.x
+  GROUP BY w.conv_id, w.i, s.y),
+ended AS (
+  SELECT w.conv_id, min({{'cost': best.cost + e.cost, 'audit': best.audit || e.letters, 'out': best.out || e.inserted}}) AS best
+  FROM ways AS w JOIN counts AS c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i
+  JOIN (VALUES (0, 0, '', ''), (3, 0, '', ''), (2, 5, 'I', chr(10) || 'assistant:'), (1, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')) AS e(x, cost, letters, inserted) ON e.x = w.x
+  GROUP BY w.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(substr(best.out, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 SQL = {
     "op1_line_dedup": line_dedup(),
     "op3_near_dups": near_dups(),
@@ -200,4 +262,5 @@ SQL = {
     "op10_chat": chat(),
     "op11_warc": warc(),
     "op12_prefix_trie": prefix_trie(),
+    "op13_structure_repair": structure_repair(),
 }

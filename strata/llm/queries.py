@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm import chat, contamination, licenses, line_dedup, mixing, near_dups, pii, prefix_trie, quality, sharding, token_counts, warc
+from strata.llm import chat, contamination, licenses, line_dedup, mixing, near_dups, pii, prefix_trie, quality, sharding, structure_repair, token_counts, warc
 from strata.llm.oracle import SQL
 from strata.llm.shared import table
 from strata.session import work_folder
@@ -116,6 +116,11 @@ def prefix_trie_query(spark: SparkSession, folder: str) -> DataFrame:
     return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
+def structure_repair_query(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return structure_repair.report(conversations, structure_repair.damaged(conversations))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -135,5 +140,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": chat_query,
     "op11_warc": warc_query,
     "op12_prefix_trie": prefix_trie_query,
+    "op13_structure_repair": structure_repair_query,
     "pipeline": pipeline,
 }
