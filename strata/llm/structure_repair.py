@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import groupby
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -222,18 +222,27 @@ def _costed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _from_the_end(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of conversations (conv_id, stretches in order): per stretch the costs after it; cost and illegal pairs with the first."""
-    for batch in batches:
-        for conv, stretches in zip(batch.column("conv_id"), batch.column("stretches").to_pylist(), strict=True):
+
+    def rows(batch):
+        for conv, stretches in zip(batch.column("conv_id").to_pylist(), batch.column("stretches").to_pylist(), strict=True):
             after, costs = [], final_costs()
             for part in reversed(stretches):
                 after.append(costs.tolist())
                 costs = ahead(np.array(part["matrix"], np.int64).reshape(4, 4), costs)
             illegal = sum(p["illegal"] for p in stretches) + sum(_role(a["tail"]) + _role(b["head"]) not in LEGAL for a, b in zip(stretches, stretches[1:]))
-            n = len(stretches)
-            places = pa.array([p["stretch"] for p in stretches], pa.int64())
-            last = pa.array([k == n - 1 for k in range(n)])
-            sums = [pa.array([value] + [0] * (n - 1), pa.int64()) for value in (illegal, int(costs[NOTHING]))]
-            yield pa.RecordBatch.from_arrays([pa.array([conv.as_py()] * n, conv.type), places, pa.array(after[::-1], pa.list_(pa.int64())), last, *sums], names=["conv_id", "stretch", "after", "last", "illegal", "cost"])
+            sums, n = (illegal, int(costs[NOTHING])), len(stretches)
+            for k, part in enumerate(stretches):
+                yield conv, part["stretch"], after[n - 1 - k], k == n - 1, *(sums if k == 0 else (0, 0))
+
+    for batch in batches:
+        types = [batch.schema.field("conv_id").type, pa.int64(), pa.list_(pa.int64()), pa.bool_(), pa.int64(), pa.int64()]
+        yield from _batched(rows(batch), ["conv_id", "stretch", "after", "last", "illegal", "cost"], types)
+
+
+def _batched(rows: Iterable[tuple], names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    rows = iter(rows)
+    while some := list(islice(rows, 10_000)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), types, strict=True)], names=names)
 
 
 def _choices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,15 +260,16 @@ def _choices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _begins(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of conversations (conv_id, stretches in order with their end states): the state each stretch begins in."""
-    for batch in batches:
-        for conv, stretches in zip(batch.column("conv_id"), batch.column("stretches").to_pylist(), strict=True):
-            begins, state = [], NOTHING
+
+    def rows(batch):
+        for conv, stretches in zip(batch.column("conv_id").to_pylist(), batch.column("stretches").to_pylist(), strict=True):
+            state = NOTHING
             for part in stretches:
-                begins.append(state)
+                yield conv, part["stretch"], state
                 state = part["ends"][state]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([conv.as_py()] * len(begins), conv.type), pa.array([p["stretch"] for p in stretches], pa.int64()), pa.array(begins, pa.int32())], names=["conv_id", "stretch", "begin"]
-            )
+
+    for batch in batches:
+        yield from _batched(rows(batch), ["conv_id", "stretch", "begin"], [batch.schema.field("conv_id").type, pa.int64(), pa.int32()])
 
 
 def _same_stretch() -> Column:
