@@ -67,11 +67,6 @@ def trailing_days(column: str, as_of: date, days: int) -> Column:
     return F.col(column) >= F.date_sub(F.lit(as_of), days)
 
 
-def valid_at(moment: Column, start: Column, end: Column) -> Column:
-    """Half-open interval test; an absent end means still valid."""
-    return (start <= moment) & (end.isNull() | (moment < end))
-
-
 def hash_slot(keys: Sequence[Column | str], slots: int, salt: int | None = None) -> Column:
     """Stable slot number 0..slots-1 for a key."""
     parts = [F.col(k) if isinstance(k, str) else k for k in keys]

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import money, ratio, trailing_days, valid_at
+from strata.functions.columns import money, ratio, trailing_days
 from strata.operators.star import live_sales
 
 
@@ -94,6 +94,58 @@ def top_customers(fact: DataFrame, customers: DataFrame, limit: int = 10) -> Dat
 # -- cost ----------------------------------------------------------------
 
 
+def active_prices(
+    moments: DataFrame,
+    prices: DataFrame,
+    keys: Sequence[str],
+    moment: str,
+    period: str = "day",
+) -> DataFrame:
+    """``moments`` (distinct ``keys`` and ``moment``) with ``_active`` prices and their sum ``_rate``.
+
+    A price is a signed event where it starts and the opposite one where it
+    ends, so what holds at a moment is the sum of all events up to it, overlaps
+    included. A product's events and moments are summed in order, once, in pieces
+    of one ``period`` each; a carry row brings in the sum of the pieces before.
+    No moment meets a list of prices. Prices without a start, and those that end
+    before they begin, hold at no time; a missing price is active and costs 0.
+    """
+    kind = moments.schema[moment].dataType
+    p = prices.where("price_start is not null and (price_end is null or price_end > price_start)")
+    rate = F.coalesce("price", F.lit(0))
+
+    def events(at: str, sign: int) -> DataFrame:
+        rows = p.where(F.col(at).isNotNull())
+        return rows.select(
+            *keys,
+            F.col(at).cast(kind).alias("_at"),
+            F.lit(1).alias("_order"),
+            F.lit(sign).cast("bigint").alias("_active"),
+            (rate * sign).alias("_rate"),
+        )
+
+    asked = moments.select(*keys, F.col(moment).alias("_at"), F.lit(2).alias("_order"))
+    rows = events("price_start", 1).unionByName(events("price_end", -1)).unionByName(asked, allowMissingColumns=True)
+    rows = rows.withColumn("_piece", F.date_trunc(period, "_at"))
+    earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    carried = rows.groupBy(*keys, "_piece").agg(F.sum("_active").alias("_active"), F.sum("_rate").alias("_rate"))
+    carried = carried.select(
+        *keys, "_piece", F.lit(0).alias("_order"), *[F.sum(c).over(earlier).alias(c) for c in ("_active", "_rate")]
+    )
+    so_far = (
+        Window.partitionBy(*keys, "_piece")
+        .orderBy("_at", "_order")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    summed = rows.unionByName(carried, allowMissingColumns=True).withColumns({c: F.sum(c).over(so_far) for c in ("_active", "_rate")})
+    return summed.where("_order = 2").select(
+        *keys,
+        F.col("_at").alias(moment),
+        F.coalesce("_active", F.lit(0)).alias("_active"),
+        F.coalesce("_rate", F.lit(0)).alias("_rate"),
+    )
+
+
 def usage_cost(
     usage: DataFrame,
     prices: DataFrame,
@@ -104,23 +156,26 @@ def usage_cost(
 ) -> DataFrame:
     """Quantity (``dbus``) and cost (``usd``) per group, and ``started`` if asked.
 
-    Usage is summed per group, product and moment before it meets the prices, so
-    it is read once and no raw row moves. Usage without a product, a moment or a
-    price costs 0; overlapping prices count it once each. Quantities keep their
-    type, and money is rounded at the end only.
+    Usage is summed per group, product and moment, so no raw row moves, and each
+    product and moment that occurs is priced once, by a sweep over the starts
+    and ends of its prices; for that, only these columns of the usage are read
+    again. Usage without a product, a
+    moment or a price costs 0; overlapping prices count quantity and cost once
+    each. Quantities keep their type, and money is rounded at the end only.
     """
     parts = list(dict.fromkeys([*by, *keys, moment]))
     first = F.min(earliest if earliest else F.lit(None).cast("timestamp"))
     sums = usage.groupBy(*parts).agg(F.sum("usage_quantity").alias("_quantity"), first.alias("started"))
-    p = prices.select(*[F.col(k).alias(f"_p{i}") for i, k in enumerate(keys)], "price_start", "price_end", "price")
-    match = valid_at(F.col(moment), F.col("price_start"), F.col("price_end"))
-    for i, k in enumerate(keys):
-        match = match & (F.col(k) == F.col(f"_p{i}"))
-    cost = F.col("_quantity") * F.coalesce("price", F.lit(0))
-    figures = [F.sum("_quantity").alias("dbus"), money(F.sum(cost)).alias("usd")]
+    priced = [*keys, moment]
+    known = sums.select(*priced).distinct().dropna()
+    rates = active_prices(known, prices, keys, moment)
+    quantity = F.sum(F.col("_quantity") * F.greatest(F.coalesce("_active", F.lit(0)), F.lit(1)).cast("int"))
+    exact = sums.agg(F.sum("_quantity")).schema[0].dataType
+    cost = F.col("_quantity") * F.coalesce("_rate", F.lit(0))
+    figures = [quantity.cast(exact).alias("dbus"), money(F.sum(cost)).alias("usd")]
     if earliest:
         figures.append(F.min("started").alias("started"))
-    return sums.join(p, match, "left").groupBy(*by).agg(*figures)
+    return sums.join(rates, priced, "left").groupBy(*by).agg(*figures)
 
 
 def cost_daily_by_sku(
