@@ -56,6 +56,31 @@ ORDERS = {
         where order_id in (select order_id from oc where op = 'update')
     """,
 }
+def version_step(older: str, newer: str, version: int) -> str:
+    """Changes from one state to the next."""
+    tail = f"cast({version} as bigint) as _commit_version, timestamp '2024-01-{version + 1:02d}' as _commit_timestamp"
+    same = "o.status is not distinct from n.status and o.customer_id is not distinct from n.customer_id and o.order_date is not distinct from n.order_date and o.channel is not distinct from n.channel and o.modified_at is not distinct from n.modified_at"
+    return f"""
+        select 'insert' as _change_type, {tail}, n.* from {newer} n where order_id not in (select order_id from {older})
+        union all select 'delete', {tail}, o.* from {older} o where order_id not in (select order_id from {newer})
+        union all select 'update_preimage', {tail}, o.* from {older} o join {newer} n on o.order_id = n.order_id where not ({same})
+        union all select 'update_postimage', {tail}, n.* from {older} o join {newer} n on o.order_id = n.order_id where not ({same})
+    """
+
+
+# The table of ``recorded_orders`` after each of its commits.
+RECORDED = {
+    **ORDERS,
+    "r_none": "select * from ob where false",
+    "r0": "select * from ob",
+    "r1": "select * from oa",
+    "r2": "select * replace (case when status = 'shipped' and channel = 'direct' then 'delivered' else status end as status) from r1",
+    "r3": "select * from r2 where status <> 'cancelled'",
+    "r4": "select * from r3 where order_id not in (select order_id from ou) union all select * from ou",
+    "steps": " union all ".join(
+        f"select * from ({version_step(a, b, v)})" for v, (a, b) in enumerate([("r_none", "r0"), ("r0", "r1"), ("r1", "r2"), ("r2", "r3"), ("r3", "r4")])
+    ),
+}
 LINE_COLUMNS = """l_orderkey desc, l_partkey desc, l_suppkey desc, l_linenumber desc,
     l_quantity desc, l_extendedprice desc, l_discount desc, l_tax desc, l_returnflag desc,
     l_linestatus desc"""
@@ -94,6 +119,12 @@ SQL = {
         **HISTORY,
     ),
     "change_feed": query("select * from feed", **ORDERS),
+    "change_feed_range": query("select * from steps", **RECORDED),
+    "change_feed_per_commit": query(
+        """select _commit_version, _change_type, count(*) as changes, count(distinct order_id) as orders
+           from steps where _commit_version >= 2 group by all""",
+        **RECORDED,
+    ),
     "change_feed_recent": query(
         """
         select _change_type, _commit_version, order_id, status, modified_at from (

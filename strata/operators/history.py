@@ -12,9 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import differs, is_metadata
+from strata.functions.columns import differs
 from strata.functions.skew import found_hot_keys, neighbour
 from strata.functions.windows import first_by
+from strata.operators.rows import matched, touched_rows, widened
 
 
 def open_versions(rows: DataFrame, effective: str = "modified_at") -> DataFrame:
@@ -37,20 +38,24 @@ def scd2_changes(
 ) -> DataFrame:
     """Updates that start a new version: new keys and keys with a tracked change.
 
-    ``updates`` has one row per key. ``_op`` tells ``insert`` from ``update``.
-    The current versions are first cut down to the keys of the update, which
+    ``updates`` has one row per key, null being a key like any other. ``_op``
+    tells ``insert`` from ``update``. An update that is not newer than the
+    version it would close changes nothing, as no interval may end before it
+    begins. The current versions are first cut down to the keys of the update, which
     needs no shuffle of the history while the update is small.
     """
-    touched = updates.select(key)
-    before = (
-        history.where("is_current")
-        .join(touched, key, "left_semi")
-        .select(F.col(key), *[F.col(c).alias(f"_old_{c}") for c in tracked], F.lit(1).alias("_hit"))
+    current = touched_rows(widened(history, updates).where("is_current"), updates, [key])
+    before = current.select(
+        F.col(key),
+        *[F.col(c).alias(f"_old_{c}") for c in tracked],
+        F.col("valid_from").alias("_since"),
+        F.lit(1).alias("_hit"),
     )
     changed = differs([F.col(c) for c in tracked], [F.col(f"_old_{c}") for c in tracked])
+    newer = F.col("_since").isNull() | (F.col(effective) > F.col("_since"))
     return (
-        updates.join(before, key, "left")
-        .where(F.col("_hit").isNull() | changed)
+        matched(updates, before, [key], "left")
+        .where(F.col("_hit").isNull() | (changed & newer))
         .select(
             *[F.col(c) for c in updates.columns],
             F.when(F.col("_hit").isNull(), "insert").otherwise("update").alias("_op"),
@@ -65,7 +70,7 @@ def close_versions(
     closing = changes.where("_op = 'update'").select(key, F.col(effective).alias("_closed_at"))
     ends = F.col("is_current") & F.col("_closed_at").isNotNull()
     return (
-        history.join(closing, key, "left")
+        matched(history, closing, [key], "left")
         .withColumns(
             {
                 "valid_to": F.when(ends, F.col("_closed_at")).otherwise(F.col("valid_to")),
@@ -86,6 +91,7 @@ def scd2_state(
     """Complete next history after one batch of updates."""
     changes = scd2_changes(history, updates, key, tracked, effective)
     opened = open_versions(changes.drop("_op"), effective)
+    history = widened(history, updates)
     closed = close_versions(history, changes, key, effective)
     return closed.unionByName(opened.select(*history.columns))
 
@@ -139,7 +145,3 @@ def earliest_and_daily(history: DataFrame, key: str, carried: Sequence[str]) ->
             F.min_by(body, F.col("valid_from")).alias("_first"),
         )
     )
-
-
-def business_columns(df: DataFrame, *excluded: str) -> list[str]:
-    return [c for c in df.columns if not is_metadata(c) and c not in excluded]

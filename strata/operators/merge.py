@@ -12,21 +12,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import differs, moment
 from strata.functions.windows import first_by
-from strata.operators.history import business_columns
+from strata.operators.rows import business_columns, matched, touched_rows, widened
 
 # Mark of a source that was never read.
 NEVER_READ = datetime(1900, 1, 1)
 
 
-def touched_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return target.join(updates.select(*keys), list(keys), "left_semi")
-
-
 def unseen_versions(target: DataFrame, increment: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the increment whose key combination the target does not hold yet.
 
@@ -35,30 +31,35 @@ def unseen_versions(target: DataFrame, increment: DataFrame, keys: Sequence[str]
     rest = [c for c in increment.columns if c not in keys]
     single = first_by(increment, keys, [F.col(c).desc() for c in rest])
     known = touched_rows(target, increment, keys).select(*keys)
-    return single.join(known, list(keys), "left_anti")
+    return matched(single, known, keys, "left_anti")
 
 
 def upsert_changes(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Updates that insert a key or change a business column, with ``_op``."""
-    business = business_columns(updates, key)
+    """Updates that insert a key or change a business column, with ``_op``.
+
+    A null key is a key like any other. A column that only the updates have was
+    null before.
+    """
+    target, business = widened(target, updates), business_columns(updates, key)
     before = touched_rows(target, updates, [key]).select(
         F.col(key), *[F.col(c).alias(f"_old_{c}") for c in business], F.lit(1).alias("_hit")
     )
     changed = differs([F.col(c) for c in business], [F.col(f"_old_{c}") for c in business])
     op = F.when(F.col("_hit").isNull(), "insert").when(changed, "update")
     return (
-        updates.join(before, key, "left")
+        matched(updates, before, [key], "left")
         .select(*[F.col(c) for c in updates.columns], op.alias("_op"))
         .where("_op is not null")
     )
 
 
 def unchanged_rows(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    return target.join(changes.select(key), key, "left_anti")
+    return matched(target, changes.select(key), [key], "left_anti")
 
 
 def with_changes(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Target with changed rows replaced and new ones added."""
+    target = widened(target, changes.drop("_op"))
     kept = unchanged_rows(target, changes, key)
     return kept.unionByName(changes.select(*target.columns))
 
@@ -111,6 +112,41 @@ def change_feed(before: DataFrame, after: DataFrame, identity: str | Sequence[st
     )
 
 
+def changes_by_version(images: DataFrame, identity: Sequence[str], since: int) -> DataFrame:
+    """Row changes of every version from ``since`` on, with ``_commit_version``.
+
+    ``images`` has each state of a row once, with the version ``_from`` which it
+    holds and the version ``_until`` where it no longer does (null: still). What
+    holds before ``since`` is where the changes start from. Images of a row are
+    held against the one before and the one after it, in one window by
+    ``identity``, nulls included: two that touch and differ are an update, two
+    that are equal no change, a gap is a delete and an insert.
+    """
+    names = [c for c in images.columns if c not in ("_from", "_until")]
+    rows = images.select(*[F.col(c).alias(f"_id_{i}") for i, c in enumerate(identity)], F.struct(*names).alias("_row"), "_from", "_until")
+    one = Window.partitionBy(*[f"_id_{i}" for i in range(len(identity))]).orderBy("_from")
+    seen = rows.withColumns(
+        {"_before": F.lag(F.struct("_row", "_until")).over(one), "_after": F.lead("_from").over(one)}
+    )
+    follows = F.coalesce(F.col("_before._until") == F.col("_from"), F.lit(False))
+
+    def image(kind: str, version: str, row: str) -> Column:
+        return F.struct(F.lit(kind).alias("_change_type"), F.col(version).cast("bigint").alias("_commit_version"), F.col(row).alias("_row"))
+
+    begins = (
+        F.when(F.col("_from") < since, F.array())
+        .when(~follows, F.array(image("insert", "_from", "_row")))
+        .when(F.col("_row").eqNullSafe(F.col("_before._row")), F.array())
+        .otherwise(F.array(image("update_preimage", "_from", "_before._row"), image("update_postimage", "_from", "_row")))
+    )
+    gone = (F.col("_until") >= since) & ~F.coalesce(F.col("_after") == F.col("_until"), F.lit(False))
+    ends = F.when(gone, F.array(image("delete", "_until", "_row"))).otherwise(F.array())
+    return (
+        seen.select(F.explode(F.concat(begins, ends)).alias("_change"))
+        .select("_change._change_type", "_change._commit_version", "_change._row.*")
+    )
+
+
 def recent_changes(feed: DataFrame, key: str, limit: int = 100) -> DataFrame:
     """Newest commits first; a top-k, so no full sort takes place."""
     return feed.orderBy(F.col("_commit_version").desc(), key, "_change_type").limit(limit)

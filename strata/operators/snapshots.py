@@ -26,7 +26,8 @@ from pyspark.sql import types as T
 from strata.functions.columns import hash_slot
 from strata.functions.schemas import columns
 from strata.operators.history import close_versions, open_versions, scd2_changes
-from strata.operators.merge import change_feed, unchanged_rows, unseen_versions, upsert_changes
+from strata.operators.merge import change_feed, changes_by_version, unchanged_rows, unseen_versions, upsert_changes
+from strata.operators.rows import widened
 
 COMMIT_SCHEMA = columns(
     version="bigint",
@@ -284,20 +285,25 @@ class SnapshotTable:
         """Keyed upsert; returns rows inserted or updated, 0 on a replay.
 
         Updates must hold a key once; which of several rows counts is the caller's
-        choice (``conform.newest_version``).
+        choice (``conform.newest_version``). A null key is a key like any other.
+        Columns that only the updates have are added, null in all other rows.
         """
-        repeated = updates.groupBy(self.key).count().where("count > 1").first()
-        if repeated is not None:
-            raise ValueError(f"several updates of {self.key} {repeated[0]}")
+        self._refuse_repeated(updates)
         if not self.exists():
             return self._first_load(updates, note, at)
         changes = upsert_changes(self.touched_buckets(updates), updates, self.key)
 
         def after(rows: DataFrame, chg: DataFrame) -> tuple[DataFrame, DataFrame]:
+            rows = widened(rows, updates)
             return unchanged_rows(rows, chg, self.key), chg.select(*rows.columns)
 
         return sum(self._settle(changes, after, "upsert", note, at).values())
 
+    def _refuse_repeated(self, updates: DataFrame) -> None:
+        repeated = updates.groupBy(self.key).count().where("count > 1").first()
+        if repeated is not None:
+            raise ValueError(f"several updates of {self.key} {repeated[0]}")
+
     def _first_load(self, rows: DataFrame, note: str | None, at: datetime | None) -> int:
         staged = self.stage(rows)
         size = self.staged_rows(staged).count()
@@ -311,11 +317,12 @@ class SnapshotTable:
 
         Returns how many there were and their latest moment. Both come from the
         written rows, so a mark set from them never runs ahead of the table,
-        even if the source gave different rows to a repeated task.
+        even if the source gave different rows to a repeated task. Columns that
+        only the increment has are added, null in all rows before.
         """
         if not self.exists():
             self.overwrite(increment.limit(0), at=at)
-        names = self.read().columns
+        names = widened(self.read().limit(0), increment).columns
         known = self.known_since(increment, moment)
         staged = self.stage(unseen_versions(known, increment, [self.key, moment]).select(*names))
         rows = self.staged_rows(staged)
@@ -350,7 +357,12 @@ class SnapshotTable:
         note: str | None = None,
         at: datetime | None = None,
     ) -> int:
-        """Close changed versions and open new ones in one commit; returns new versions."""
+        """Close changed versions and open new ones in one commit; returns new versions.
+
+        Updates must hold a key once, as in ``upsert``; those not newer than the
+        current version of their key change nothing.
+        """
+        self._refuse_repeated(updates)
         if not self.exists():
             return self._first_load(open_versions(updates, effective), note, at)
         changes = scd2_changes(
@@ -358,6 +370,7 @@ class SnapshotTable:
         )
 
         def after(rows: DataFrame, chg: DataFrame) -> tuple[DataFrame, DataFrame]:
+            rows = widened(rows, updates)
             opened = open_versions(chg.drop("_op"), effective).select(*rows.columns)
             return close_versions(rows, chg, self.key, effective), opened
 
@@ -430,6 +443,40 @@ class SnapshotTable:
         )
 
 
+    def changes(self, since: int = 0, until: int | None = None) -> DataFrame:
+        """Change feed of every commit from ``since`` to ``until``, with version and time.
+
+        One pass over the rows that came or went: a bucket of a part holds from
+        the commit that names it to the one that drops it, and every such piece is
+        read once, however many versions have it. Pieces that hold all along are
+        not read. Columns that were added later are null in older rows.
+        """
+        commits = self.commits().where(F.col("version").between(since - 1, 2**62 if until is None else until))
+        history = commits.orderBy("version").collect()  # one small row per version
+        held: dict[tuple[str, int], list[list[int | None]]] = {}
+        for commit in history:
+            live = {(part, bucket) for part, buckets in self._layout(commit).items() for bucket in buckets}
+            for piece in live:
+                spans = held.setdefault(piece, [])
+                if not spans or spans[-1][1] is not None:
+                    spans.append([commit["version"], None])
+            for piece, spans in held.items():
+                if piece not in live and spans[-1][1] is None:
+                    spans[-1][1] = commit["version"]
+        moved = [(part, bucket, *span) for (part, bucket), spans in held.items() for span in spans if span[0] >= since or span[1] is not None]
+        fields = {f.name: f for commit in history for f in T.StructType.fromJson(json.loads(commit["row_schema"]))}
+        physical = T.StructType(list(fields.values())).add(VERSION, T.StringType()).add(BUCKET, T.IntegerType())
+        spans = self.spark.createDataFrame(moved, f"{VERSION} string, {BUCKET} int, _from bigint, _until bigint")
+        parts = sorted({part for part, *_ in moved})
+        if not parts:
+            rows = self.spark.createDataFrame([], physical)
+        else:
+            rows = self.spark.read.schema(physical).option("basePath", f"{self.path}/rows").parquet(*[f"{self.path}/rows/{VERSION}={part}" for part in parts])
+        images = rows.join(spans, [VERSION, BUCKET]).drop(VERSION, BUCKET)
+        times = commits.select(F.col("version").alias("_commit_version"), F.col("committed_at").alias("_commit_timestamp"))
+        return changes_by_version(images, self.identity, since).join(times, "_commit_version")
+
+
 def written_by(part: str) -> int:
     """Version a part was written for."""
     return int(part.partition("-")[0])

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import conform, gates, star
-from strata.operators.merge import NEVER_READ, touched_rows
+from strata.operators.merge import NEVER_READ
+from strata.operators.rows import touched_rows
 from strata.operators.runs import RUN_SCHEMA, AppendLog, log_run
 from strata.operators.snapshots import SnapshotTable, Staged
 from strata.session import extracted

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -170,3 +171,73 @@ def test_retention_spares_what_is_still_read(spark, table):
     assert retention_candidates(table.commits(), at(20), 24).count() == 0, "the newest version reads rows of the first"
     table.compact(at=at(3))
     assert sorted(r["version"] for r in retention_candidates(table.commits(), at(20), 24).collect()) == [0, 1]
+
+
+def test_changes_of_every_version_in_one_pass(spark, folder):
+    """Held against the states of neighbouring versions, over edits, a purge, a restore and a compaction."""
+    draw = random.Random(4)
+    table = SnapshotTable(spark, f"{folder}/t", "id", buckets=5)
+    table.upsert(rows(spark, *[(i, "a", at(1)) for i in range(30)], (None, "null key", at(1))), at=at(1))
+    for day in range(2, 6):
+        some = draw.sample(range(40), 9)
+        table.upsert(rows(spark, *[(i, draw.choice("abc"), at(day)) for i in some], (None, f"n{day // 2}", at(2))), at=at(day))
+    table.delete_where("id % 4 = 1", at=at(6))
+    table.restore(2, at=at(7))
+    table.compact(at=at(8))
+    table.update_where("name = 'b'", {"name": "'B'"}, at=at(9))
+    last = table.version()
+    kept = ("_commit_version", "_change_type", "id", "name", "modified_at")
+
+    def pairs(since, until):
+        out = []
+        for v in range(since, until + 1):
+            if v == 0:
+                out += [(0, "insert", *r) for r in table.read(0).collect()]
+            else:
+                out += [tuple(r[c] for c in kept) for r in table.changes_between(v - 1, v).collect()]
+        return sorted(out, key=str)
+
+    for since, until in ((0, last), (3, last), (1, 6), (last, last)):
+        feed = table.changes(since, until)
+        assert sorted((tuple(r[c] for c in kept) for r in feed.collect()), key=str) == pairs(since, until)
+    times = {(r["_commit_version"], r["_commit_timestamp"].day) for r in table.changes(0).collect()}
+    assert {(0, 1), (last, 9)} <= times and table.changes(last + 1).count() == 0
+
+
+def test_a_null_key_is_a_key(spark, table):
+    first = rows(spark, (None, "a", at(1)), (1, "a", at(1)))
+    assert table.upsert(first) == 2 and table.upsert(first) == 0
+    assert table.upsert(rows(spark, (None, "b", at(2)))) == 1
+    assert sets(table.read(), "id", "name") == {(None, "b"), (1, "a")} and table.read().count() == 2
+    past = rows(spark, (None, "b", at(2)), (2, "c", at(2)))
+    assert table.insert_versions(past, "modified_at")[0] == 1
+    assert table.insert_versions(past, "modified_at")[0] == 0
+
+
+def test_columns_of_the_source_are_added(spark, folder):
+    wide = lambda *values: spark.createDataFrame(list(values), "id bigint, name string, modified_at timestamp, region string")
+    table = SnapshotTable(spark, f"{folder}/u", "id", buckets=4)
+    table.upsert(rows(spark, *[(i, "a", at(1)) for i in range(12)]))
+    assert table.upsert(wide((3, "a", at(1), None), (4, "a", at(1), "north"), (20, "n", at(2), "south"))) == 2
+    assert table.read().columns == ["id", "name", "modified_at", "region"]
+    assert sets(table.read().where("region is not null"), "id", "region") == {(4, "north"), (20, "south")} and table.read().count() == 13
+    bronze = SnapshotTable(spark, f"{folder}/b", "id", buckets=4)
+    bronze.insert_versions(rows(spark, (1, "a", at(1))), "modified_at")
+    assert bronze.insert_versions(wide((1, "a", at(1), "x"), (1, "b", at(2), "y")), "modified_at")[0] == 1
+    assert sets(bronze.read(), "id", "region") == {(1, None), (1, "y")}
+    history = SnapshotTable(spark, f"{folder}/h", "id", buckets=4)
+    history.scd2(rows(spark, (1, "a", at(1)), (2, "a", at(1))), ["name"])
+    assert history.scd2(wide((1, "a", at(2), "north")), ["name", "region"]) == 1
+    assert sets(history.read(), "id", "region", "is_current") == {(1, None, False), (1, "north", True), (2, None, True)}
+
+
+def test_history_refuses_repeated_keys_and_late_rows(spark, table):
+    table.scd2(rows(spark, (1, "a", at(5))), ["name"])
+    with pytest.raises(ValueError, match="several updates"):
+        table.scd2(rows(spark, (1, "b", at(6)), (1, "c", at(7))), ["name"])
+    assert table.scd2(rows(spark, (1, "b", at(3))), ["name"]) == 0
+    assert table.scd2(rows(spark, (1, "b", at(5))), ["name"]) == 0
+    assert sets(table.read(), "id", "name", "is_current") == {(1, "a", True)}
+    assert table.scd2(rows(spark, (1, "b", at(6)), (None, "n", at(6))), ["name"]) == 2
+    assert table.scd2(rows(spark, (None, "n", at(7))), ["name"]) == 0
+    assert table.read().count() == 3
