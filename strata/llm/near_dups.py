@@ -8,9 +8,18 @@ filtered by signature and confirmed on full sets, and components formed by
 alternating large-star and small-star. Buckets that then still hold several
 components are finished: every class outside the bucket's largest component is
 held against all others, in blocks, pairs that share a component excepted, until
-it has one link to each component that it has any to. So no link between two components is lost, and none within one is needed. A bucket
-with a third of all rows is cut into blocks of classes, and a leader's rows
-into blocks of partners.
+it has one link to each component that it has any to. So no link between two
+components is lost, and none within one is needed. A bucket with a third of all
+rows is cut into blocks of classes, and a leader's rows into blocks of partners.
+
+Classes that meet many others in buckets that stay split are a family whose
+members are alike, but mostly not enough, such as the pages of one template; to
+hold all of them against each other would be quadratic. The classes of such
+buckets are dealt anew by their rarest shingles:
+two sets of sizes a and b that share the wanted part share one of their first
+a - o + 1 and b - o + 1 shingles in any common order, o being the overlap that a
+and b ask for. In the order of rarity these are the shingles a class has for its
+own, so classes that share a template only never meet, and no link is lost.
 """
 
 from __future__ import annotations
@@ -25,6 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from strata.llm.shared import free_names, identity
 from strata.session import settled
@@ -35,6 +45,10 @@ MINIMA = BANDS * ROWS
 SLICE = 1 << 15
 #: Classes of a block of a bucket; partners of a leader that one task confirms.
 BLOCK = 512
+#: Classes that one class may meet in buckets that stay split; where it would meet more, its buckets are dealt anew by rare shingles.
+FAMILY = 64
+#: Counters of shingles, by which they are ordered from rare to frequent.
+COUNTERS = 1 << 20
 #: Standard deviations that a signature may fall short of the similarity.
 MARGIN = 6.0
 
@@ -109,6 +123,77 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def size_class(size: int) -> int:
+    """Sizes in steps of a fiftieth, each size by itself below 50."""
+    return size if size < 50 else 50 + int(math.log(size / 50) / math.log(1.02))
+
+
+def least_of_class(number: int) -> int:
+    """The smallest size of a class."""
+    if number < 50:
+        return number
+    size = math.floor(50 * 1.02 ** (number - 50))
+    while size_class(size) < number:
+        size += 1
+    while size_class(size - 1) >= number:
+        size -= 1
+    return size
+
+
+#: Sides of a key: of the smaller and of the larger size class, and of one class for both or of a bucket.
+SMALLER, LARGER, EITHER = 0, 1, 2
+
+
+def rare_keys(shingles: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, with their sides, of which two sets share one if they share the wanted part of their shingles.
+
+    A key is a shingle with the size classes of both sets; for every class of
+    partners a set has the rarest shingles that partners of the class's least
+    size call for. Sets of one class meet by keys of that class only, so a key of
+    two classes joins sets of different sides.
+    """
+    n = len(shingles)
+    slots = (shingles >> np.uint64(20)).astype(np.int64) % COUNTERS
+    ordered = shingles[np.lexsort((shingles, counts[slots]))]
+    own, out, sides = size_class(n), [], []
+    least, most = -(-percent * n // 100), 100 * n // percent
+    for other in range(size_class(least), size_class(most) + 1):
+        partner = max(least_of_class(other), least)
+        overlap = -(-percent * (n + partner) // (100 + percent))
+        if 0 < overlap <= n:
+            classes = np.uint64((min(own, other) << 32) | max(own, other))
+            out.append(_mixed(ordered[: n - overlap + 1] * _MIX + _mixed(np.array([classes]))[0]))
+            sides.append(np.full(len(out[-1]), EITHER if own == other else SMALLER if own < other else LARGER, np.int32))
+    return np.concatenate(out).view(np.int64), np.concatenate(sides)
+
+
+def _counted(size: int):
+    """How often each counter is met by the shingles of (id, text)."""
+
+    def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for text in batch.column("text"):
+                slots = (shingle_set(text.as_py(), size) >> np.uint64(20)).astype(np.int64) % COUNTERS
+                counts += np.bincount(slots, minlength=COUNTERS)
+        met = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], names=["slot", "n"])
+
+    return apply
+
+
+def _dealt_by_rarity(counts: np.ndarray, size: int, percent: int):
+    """(key, side, id) for each rare key of (id, text)."""
+
+    def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
+                keys, sides = rare_keys(shingle_set(text.as_py(), size), counts, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sides), pa.array(np.full(len(keys), own, np.int64))], names=["bucket", "side", "id"])
+
+    return apply
+
+
 _SKETCHED = T.StructType(
     [
         T.StructField("doc", T.BinaryType()),
@@ -156,17 +241,18 @@ def _agreeing(needed: int):
 def _candidates(needed: int):
     """Per probe and block of a component the members to confirm, from rows sorted by (bucket, block, role).
 
-    Probes come first (role 0) and are held; members are compared as they come.
-    A pair of one component is left out, as is one that an earlier bucket of
-    both has: its band is the first in which the bands agree. Of two probes the
-    one with the smaller id is held against the other.
+    The probes of a block come first (role 0) and are held; members are compared
+    as they come. A pair of one component is left out, as is one that an earlier
+    bucket of both has: its band is the first in which the bands agree. Pairs met
+    by a rare shingle are not told apart in this way. Of two probes the one with
+    the smaller id is held against the other.
     """
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, probes = None, []
         for batch in batches:
             keys = list(zip(*(batch.column(n).to_pylist() for n in ("bucket", "block", "role")), strict=True))
-            ids, comps, parts, probing = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("id", "comp", "part", "probing"))
+            ids, comps, parts, probing, side, banded = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("id", "comp", "part", "probing", "side", "banded"))
             marks = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, MINIMA)
             bands = batch.column("bands").flatten().to_numpy().reshape(-1, BANDS)
             found: dict[tuple[int, int, int], list[int]] = {}
@@ -178,13 +264,13 @@ def _candidates(needed: int):
                 if keys[start][:2] != at:
                     at, probes = keys[start][:2], []
                 if keys[start][2] == 0:
-                    probes.append((ids[start:end], comps[start:end], marks[start:end], bands[start:end]))
+                    probes.append((ids[start:end], comps[start:end], side[start:end], marks[start:end], bands[start:end]))
                 else:
-                    for p_ids, p_comps, p_marks, p_bands in probes:
+                    for p_ids, p_comps, p_side, p_marks, p_bands in probes:
                         for m in range(start, end):
-                            rows = np.flatnonzero((p_comps != comps[m]) & ((p_ids < ids[m]) | ~probing[m]))
+                            rows = np.flatnonzero((p_comps != comps[m]) & ((p_ids < ids[m]) | ~probing[m]) & ((p_side == EITHER) | (p_side != side[m])))
                             rows = rows[(p_marks[rows] == marks[m]).sum(1) >= needed]
-                            if len(rows):
+                            if len(rows) and banded[m]:
                                 rows = rows[p_bands[rows, (p_bands[rows] == bands[m]).argmax(1)] == at[0]]
                             for probe in p_ids[rows]:
                                 found.setdefault((int(probe), int(comps[m]), int(parts[m])), []).append(int(ids[m]))
@@ -262,8 +348,12 @@ class NearDuplicates:
         self.classes = settled(classes.select("id", "digest", "doc", "sketch", "bands"), "classes")
 
     def _texts_of(self, wanted: DataFrame) -> DataFrame:
-        """The wanted rows (with ``id``) and the texts of their classes."""
-        return wanted.join(self.classes.select("id", "doc"), "id").join(self.texts.select("doc", "text"), "doc").drop("doc")
+        """The wanted rows (with ``id``) and the texts of their classes, one for each however often its row is repeated."""
+        wanted = wanted.join(self.classes.select("id", "doc"), "id")
+        texts = self.texts.select("doc", "text").join(wanted.select("doc").distinct(), "doc", "left_semi")
+        first = Window.partitionBy("doc").orderBy(F.lit(0))
+        once = texts.withColumn("_row", F.row_number().over(first)).filter("_row = 1").drop("_row")
+        return wanted.join(once, "doc").drop("doc")
 
     def _links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that hold on full sets."""
@@ -299,17 +389,33 @@ class NearDuplicates:
         sizes = settled(nodes.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("parts")), "component-sizes")
         nodes = settled(nodes.join(sizes, "comp").select("id", "comp", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part")), "nodes")
         held = settled(members.select("bucket", "n", "id").join(nodes, "id"), "bucket-components")
-        shares = held.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
-        largest = shares.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-        largest = settled(largest.select("bucket", F.col("top.comp").alias("top")), "mixed-buckets")
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        mixed = held.join(largest, "bucket").select("bucket", blocks.alias("blocks"), "id", "comp", "part", (F.col("comp") != F.col("top")).alias("probing"))
-        probes = mixed.filter("probing").withColumns({"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "role": F.lit(0)})
-        rest = mixed.withColumns({"block": F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), "role": F.lit(1)})
+        split = held.groupBy("bucket").agg(F.count_distinct("comp").alias("comps")).filter("comps > 1").select("bucket")
+        in_split = settled(held.join(settled(split, "split-buckets"), "bucket"), "split-classes")
+        busy = in_split.groupBy("id").agg(F.sum(F.col("n") - 1).alias("meets")).filter(F.col("meets") > FAMILY).select("id")
+        families = settled(in_split.join(busy, "id", "left_semi").select("bucket").distinct(), "family-buckets")
+        family = settled(in_split.join(families, "bucket", "left_semi").select("id", "comp", "part").distinct(), "family-classes")
+        small = in_split.join(families, "bucket", "left_anti").select("bucket", "id", "comp", "part", F.lit(EITHER).alias("side"), F.lit(True).alias("banded"))
+        dealt = small.unionByName(self._dealt_by_rarity(family.select("id")).join(family, "id").withColumn("banded", F.lit(False)))
+        dealt = settled(dealt, "dealt-classes")
+
+        shares = dealt.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"), F.min("side").alias("least"), F.max("side").alias("most"))
+        both_sides = (F.max("most") == EITHER) | (F.min("least") != F.max("most"))
+        sized = shares.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("comps"), both_sides.alias("meet")).filter("comps > 1 and meet")
+        in_blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+        sized = sized.select("bucket", F.col("top.comp").alias("top"), in_blocks(F.col("n")).alias("blocks"), in_blocks(F.col("n") - F.col("top.c")).alias("probes"))
+        mixed = dealt.join(settled(sized, "mixed-buckets"), "bucket").withColumn("probing", F.col("comp") != F.col("top"))
+        # A block of probes meets every block of members, so that neither is held or read in a larger piece.
+        own_block = lambda n: F.pmod(F.xxhash64("id"), n).cast("long")
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
+        shape = ["bucket", "id", "comp", "part", "probing", "side", "banded"]
+        probes = mixed.filter("probing").withColumn("_member_block", every(F.col("blocks")))
+        probes = probes.select(*shape, (own_block(F.col("probes")) * F.col("blocks") + F.col("_member_block")).alias("block"), F.lit(0).alias("role"))
+        rest = mixed.withColumn("_probe_block", every(F.col("probes")))
+        rest = rest.select(*shape, (F.col("_probe_block") * F.col("blocks") + own_block(F.col("blocks"))).alias("block"), F.lit(1).alias("role"))
         rows = probes.unionByName(rest).join(self.classes.select("id", "sketch", "bands"), "id")
         rows = rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "role")
         found = rows.mapInArrow(_candidates(needed), "probe long, comp long, part long, members array<long>")
-        found = settled(found.groupBy("probe", "comp", "part").agg(F.flatten(F.collect_list("members")).alias("members")), "probes")
+        found = settled(found.groupBy("probe", "comp", "part").agg(F.array_distinct(F.flatten(F.collect_list("members"))).alias("members")), "probes")
 
         none = F.lit(None).cast("array<long>")
         parts = settled(found.select("comp", "part").distinct(), "probed-parts")
@@ -319,6 +425,14 @@ class NearDuplicates:
         ordered = ordered.select("comp", "part", "role", "id", "members", "text")
         return settled(ordered.mapInArrow(_connected(self.size, self.percent), "a long, b long"), "links")
 
+    def _dealt_by_rarity(self, wanted: DataFrame) -> DataFrame:
+        """(bucket, side, id): the wanted classes by their rare keys. The driver holds the counters, of which there is a fixed number."""
+        texts = settled(self._texts_of(wanted), "family-texts")
+        met = texts.mapInArrow(_counted(self.size), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+        counts = np.zeros(COUNTERS, np.int64)
+        counts[met.column("slot").to_numpy()] = met.column("n").to_numpy()
+        return texts.mapInArrow(_dealt_by_rarity(counts, self.size, self.percent), "bucket long, side int, id long")
+
     def groups(self) -> DataFrame:
         """(doc_id, doc, n_shingles, component_id, component, kept) for each document.
 
