@@ -179,7 +179,7 @@ def literal(path: str) -> str:
 
 
 def csv_records(batch: DataFrame, feed: Feed) -> DataFrame:
-    """Bind CSV rows through the header of their own file."""
+    """Bind CSV rows through the header of their own file; case does not tell names apart."""
     spark = batch.sparkSession
     bound = None
     for names, files in sorted(file_headers(batch).items()):
@@ -190,7 +190,9 @@ def csv_records(batch: DataFrame, feed: Feed) -> DataFrame:
             part = _shape(lines, feed, lambda _: F.lit(None).cast("string"), empty, F.col("value"))
             bound = part if bound is None else bound.unionByName(part)
             continue
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, CORRUPT)])
+        # Cells are bound by place, so a header may have any names, also those Spark gives a meaning.
+        cells = {name: f"cell_{k}" for k, name in enumerate(names)}
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*cells.values(), CORRUPT)])
         rows = (
             spark.read.schema(schema)
             .option("header", "true")
@@ -198,13 +200,15 @@ def csv_records(batch: DataFrame, feed: Feed) -> DataFrame:
             .csv([literal(unquote(file)) for file in files])
             .withColumn("_source_file", F.col("_metadata.file_path"))
         )
-        others = [c for c in names if c not in feed.types]
-        pairs = [x for c in others for x in (F.lit(c), F.col(f"`{c}`"))]
+        spelled = {name.lower(): name for name in names}
+        taken = {c: spelled[c.lower()] for c in feed.types if c.lower() in spelled}
+        others = [c for c in names if c not in taken.values()]
+        pairs = [x for c in others for x in (F.lit(c), F.col(cells[c]))]
         extra = F.create_map(*pairs) if pairs else F.create_map()
         part = _shape(
             rows,
             feed,
-            lambda c, names=names: F.col(c) if c in names else F.lit(None).cast("string"),
+            lambda c, taken=taken, cells=cells: F.col(cells[taken[c]]) if c in taken else F.lit(None).cast("string"),
             extra,
             F.col(CORRUPT),
         )

@@ -134,3 +134,15 @@ def test_a_field_declared_later_is_no_longer_rescued(shipments):
     rows = {r["shipment_id"]: (r["boxes"], r["_rescued_data"]) for r in typed(exposed(shipments.rows(), "boxes"), wider).collect()}
     assert rows[1][0] is None and "many" in rows[1][1] and "fast" in rows[1][1]
     assert rows[2][0] == 3 and "boxes" not in rows[2][1]
+
+
+def test_headers_with_any_names(shipments):
+    """Back quotes, names that Spark uses itself, and declared names in another case."""
+    shipments.drop("a.csv", "SHIPMENT_ID,or`der,_corrupt_text,_metadata,_source_file,Warehouse\n7,x,y,z,f,w1\n8,x,y,z,f,w2,more\n")
+    shipments.drop("b.csv", HEADER + "1,2,d,2026-06-01,3,w\n")
+    assert shipments.run() == 3
+    rows = {r["shipment_id"]: r for r in shipments.rows().collect()}
+    assert set(rows) == {"1", "7", "8"} and rows["7"]["warehouse"] == "w1"
+    assert rows["7"]["_extra"] == {"or`der": "x", "_corrupt_text": "y", "_metadata": "z", "_source_file": "f"}
+    assert rows["7"]["_source_file"].endswith("a.csv") and rows["7"]["_rescued_data"] is None
+    assert rows["8"]["_rescued_data"] == "8,x,y,z,f,w2,more"
