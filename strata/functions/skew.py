@@ -9,6 +9,7 @@ each hold more than ``share`` of the rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,14 +21,52 @@ HOT_SHARE = 1e-5
 HOT_FLOOR = 1_000_000
 
 
+# The sketch of frequent keys takes at most this many entries.
+MOST_TRACKED = 1_000_000
+# Tasks that merge the sketches of the scan before the last one does.
+MERGERS = 64
+
+
+def tracked_for(share: float) -> int:
+    """Entries with which the sketch names every key of more than ``share`` of the rows.
+
+    With a table of M entries a count is off by 3.5 / M of the rows at most, and
+    a key is named if its least possible count is above that error, that is if it
+    has more than 7 / M of the rows. Three quarters of the entries are filled.
+    """
+    return min(MOST_TRACKED, max(1024, math.ceil(0.75 * 7 / max(share, 1e-9))))
+
+
+def frequent_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """Exact ``_size`` of every key with more than ``share`` of the rows, and ``_total``, the rows in all.
+
+    A sketch of frequent keys, which needs one scan and no shuffle by key, names
+    the candidates; only their rows are counted. It may name rarer keys as well.
+    Shares below 7 / ``MOST_TRACKED`` are not guaranteed; a key above it is never
+    missed.
+    """
+    item = F.xxhash64(*keys)
+    tracked = tracked_for(share)
+    wanted = min(tracked, math.ceil(1 / max(share, 1 / tracked)))
+    call = F.call_function
+    # Sketches of the tasks come together in groups first, so that no task merges all of them.
+    parts = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("_part")).agg(
+        F.count(F.lit(1)).alias("_n"), call("approx_top_k_accumulate", item, F.lit(tracked)).alias("_sketch")
+    )
+    # Grouped by a constant, as the last step can't do without a sketch, which a table without rows does not have.
+    whole = parts.groupBy(F.lit(0).alias("_all")).agg(F.sum("_n").alias("_total"), call("approx_top_k_combine", F.col("_sketch"), F.lit(tracked)).alias("_sketch"))
+    named = whole.select("_total", call("approx_top_k_estimate", F.col("_sketch"), F.lit(wanted)).alias("_top"))
+    named = named.select("_total", F.explode("_top").alias("_one")).select("_total", F.col("_one.item").alias("_item"))
+    met = df.select(*keys, item.alias("_item")).join(F.broadcast(named), "_item")
+    return met.groupBy(*keys, "_total").agg(F.count(F.lit(1)).alias("_size"))
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, floor: int = HOT_FLOOR
 ) -> DataFrame:
     """Keys with more than ``share`` of the rows and more than ``floor`` rows."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    total = sizes.agg(F.sum("_size").alias("_total")).scalar()
-    limit = F.greatest(F.lit(float(floor)), total * F.lit(share))
-    return sizes.where(F.col("_size") > limit).select(*keys)
+    limit = F.greatest(F.lit(float(floor)), F.col("_total") * F.lit(share))
+    return frequent_keys(df, keys, share).where(F.col("_size") > limit).select(*keys)
 
 
 def found_hot_keys(
@@ -35,7 +74,7 @@ def found_hot_keys(
 ) -> DataFrame | None:
     """Hot keys looked up now, None if there are none.
 
-    One job over the key columns. It pays off by keeping the plan that follows
+    One job over the key columns, of which no row is shuffled but those of candidates. It pays off by keeping the plan that follows
     free of a hot path nobody needs; the list has at most ``1/share`` rows.
     """
     hot = hot_keys(df, keys, share, floor)
