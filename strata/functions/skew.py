@@ -75,8 +75,13 @@ def found_hot_keys(
     """Hot keys looked up now, None if there are none.
 
     One job over the key columns, of which no row is shuffled but those of candidates. It pays off by keeping the plan that follows
-    free of a hot path nobody needs; the list has at most ``1/share`` rows.
+    free of a hot path nobody needs; the list has at most ``1/share`` rows. No key
+    of a table that has ``floor`` rows or fewer is hot, so that one is not searched.
     """
+    total = df.count()
+    if total <= floor:
+        return None
+    share = max(share, floor / total)
     hot = hot_keys(df, keys, share, floor)
     rows = hot.collect()
     return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None

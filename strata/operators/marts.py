@@ -111,21 +111,25 @@ def active_prices(
     before they begin, hold at no time; a missing price is active and costs 0.
     """
     kind = moments.schema[moment].dataType
-    p = prices.where("price_start is not null and (price_end is null or price_end > price_start)")
     rate = F.coalesce("price", F.lit(0))
 
-    def events(at: str, sign: int) -> DataFrame:
-        rows = p.where(F.col(at).isNotNull())
-        return rows.select(
-            *keys,
+    def event(at: str, sign: int) -> Column:
+        return F.struct(
             F.col(at).cast(kind).alias("_at"),
             F.lit(1).alias("_order"),
             F.lit(sign).cast("bigint").alias("_active"),
             (rate * sign).alias("_rate"),
         )
 
+    events = (
+        prices.where("price_start is not null and (price_end is null or price_end > price_start)")
+        .dropna(subset=list(keys))
+        .select(*keys, F.explode(F.array(event("price_start", 1), event("price_end", -1))).alias("_event"))
+        .select(*keys, "_event.*")
+        .where("_at is not null")
+    )
     asked = moments.select(*keys, F.col(moment).alias("_at"), F.lit(2).alias("_order"))
-    rows = events("price_start", 1).unionByName(events("price_end", -1)).unionByName(asked, allowMissingColumns=True)
+    rows = events.unionByName(asked, allowMissingColumns=True)
     rows = rows.withColumn("_piece", F.date_trunc(period, "_at"))
     earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     carried = rows.groupBy(*keys, "_piece").agg(F.sum("_active").alias("_active"), F.sum("_rate").alias("_rate"))
@@ -156,18 +160,19 @@ def usage_cost(
 ) -> DataFrame:
     """Quantity (``dbus``) and cost (``usd``) per group, and ``started`` if asked.
 
-    Usage is summed per group, product and moment, so no raw row moves, and each
-    product and moment that occurs is priced once, by a sweep over the starts
-    and ends of its prices; for that, only these columns of the usage are read
-    again. Usage without a product, a
+    Usage is summed per group, product and moment, so it is read once and no raw
+    row moves, and each product and moment that occurs is priced once, by a sweep
+    over the starts and ends of its prices. Usage without a product, a
     moment or a price costs 0; overlapping prices count quantity and cost once
     each. Quantities keep their type, and money is rounded at the end only.
     """
     parts = list(dict.fromkeys([*by, *keys, moment]))
-    first = F.min(earliest if earliest else F.lit(None).cast("timestamp"))
-    sums = usage.groupBy(*parts).agg(F.sum("usage_quantity").alias("_quantity"), first.alias("started"))
+    kept = [F.sum("usage_quantity").alias("_quantity")] + ([F.min(earliest).alias("started")] if earliest else [])
+    sums = usage.groupBy(*parts).agg(*kept)
     priced = [*keys, moment]
-    known = sums.select(*priced).distinct().dropna()
+    # Asking for all columns of the sums, though only their keys matter, lets Spark take one shuffle of the usage for both uses.
+    used = sum((F.count(c) for c in sums.columns[len(parts) :]), F.lit(0))
+    known = sums.groupBy(*priced).agg(used.alias("_used")).where("_used >= 0").drop("_used")
     rates = active_prices(known, prices, keys, moment)
     quantity = F.sum(F.col("_quantity") * F.greatest(F.coalesce("_active", F.lit(0)), F.lit(1)).cast("int"))
     exact = sums.agg(F.sum("_quantity")).schema[0].dataType
