@@ -1,10 +1,12 @@
 """License scans by conditional compression.
 
 A text that a template explains compresses far better once the template is
-given as a raw dictionary. Each template is aligned with the words around every
-cue of a text; words before and after the aligned part cost nothing. Of hits that
-overlap, the one with the fewest differing words is confirmed, then the one whose
-template saves the most bytes.
+given as a raw dictionary. The words around the cues of a text are a candidate
+block; every template compresses it, and the templates are ranked by the bytes
+they save. In this order their wordings are aligned with the block, words before
+and after the aligned part being free, until the rest saves less on the whole
+block than the confirmed notices of its cues alone, but for noise. Templates that save nothing
+are not looked at. Of notices that overlap, the one that saves more is kept.
 """
 
 from __future__ import annotations
@@ -36,7 +38,9 @@ def _gnu(name: str, version: str, dated: str, spdx: str) -> tuple[str, ...]:
         f"Licensed under the {name} version {version}.",
         f"Licensed under the {name} v{version}.",
         f"{name} Version {version}, {dated}",
-        *(f"SPDX-License-Identifier: {spdx}{end}" for end in ("", "-only", "-or-later")),
+        *(f"{head}: {spdx}{end}" for head in ("SPDX-License-Identifier", "License") for end in ("", "-only", "-or-later")),
+        f"License: {spdx.split('-')[0]}v{version}",
+        f"Licensed under {spdx.split('-')[0]}v{version}.",
     )
 
 
@@ -57,6 +61,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the MIT License.",
         "Distributed under the MIT License.",
         "Licensed under the terms of the MIT License.",
+        "This project uses the MIT License.",
+        "License: MIT",
         "SPDX-License-Identifier: MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. '
@@ -68,12 +74,32 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Released under the Apache License, Version 2.0.",
         "Licensed under the Apache License 2.0.",
         "Apache License Version 2.0, January 2004",
+        "License: Apache-2.0",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "GPL-2.0": _gnu("GNU General Public License", "2", "June 1991", "GPL-2.0"),
     "GPL-3.0": _gnu("GNU General Public License", "3", "29 June 2007", "GPL-3.0"),
     "LGPL-3.0": _gnu("GNU Lesser General Public License", "3", "29 June 2007", "LGPL-3.0"),
     "AGPL-3.0": _gnu("GNU Affero General Public License", "3", "19 November 2007", "AGPL-3.0"),
+    "BSD-2-Clause": (
+        "Released under the BSD 2-Clause License.",
+        "Licensed under the BSD 2-Clause License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ),
+    "ISC": (
+        "Released under the ISC License.",
+        "Licensed under the ISC License.",
+        "License: ISC",
+        "SPDX-License-Identifier: ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "EPL-2.0": (
+        "Licensed under the Eclipse Public License 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "Licensed under the BSD 3-Clause License.",
@@ -107,7 +133,10 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "all-rights-reserved": ("All rights reserved.",),
 }
 #: Every wording above has one of these, a wrapped one too.
-CUES = r"(?i)licen[sc]|rights\W+reserved|public\W+domain|free\W+of\W+charge|redistribution\W+and\W+use|legal\W+code"
+CUES = r"(?i)licen[sc]|rights\W+reserved|public\W+domain|free\W+of\W+charge|redistribution\W+and\W+use|hereby\W+granted|legal\W+code"
+LEVEL = 3
+#: Bytes by which the size of a block varies with how its letters are coded; no notice within the tolerance saves less than their negative.
+NOISE = 8
 #: Share of a wording's words that may differ.
 TOLERANCE = 0.2
 
@@ -123,7 +152,7 @@ def wording(text: str) -> list[str]:
 
 
 #: Words that tell licenses apart, beside all with a digit. Those of a wording must all be there.
-NAMES = frozenset("mit apache gnu general public lesser affero bsd mozilla cc by-sa by-nc domain unencumbered unlicense rights reserved endorse attribution attribution-sharealike attribution-noncommercial".split())
+NAMES = frozenset("mit apache isc eclipse gnu general public lesser affero bsd mozilla cc by-sa by-nc domain unencumbered unlicense rights reserved endorse attribution attribution-sharealike attribution-noncommercial".split())
 #: Words that make another license of it where the wording does not have them.
 RIVALS = frozenset("lesser library affero noncommercial non-commercial sharealike share-alike noderivatives noderivs".split())
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
@@ -144,11 +173,14 @@ class Wording:
     """
 
     def __init__(self, name: str, text: str):
-        data = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        self.coder = zstandard.ZstdCompressor(level=3, dict_data=data, write_content_size=False)
         self.name, self.own = name, wording(text)
+        data = zstandard.ZstdCompressionDict(" ".join(self.own).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        data.precompute_compress(level=LEVEL)
+        self.coder = zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False)
         self.needed = frozenset(essential(self.own))
         self.limit = int(TOLERANCE * len(self.own) + 1e-9)
+        #: Words before and after a word of a notice that can belong to it.
+        self.reach = len(self.own) + self.limit - 1
         self.rivals = RIVALS - set(self.own)
 
     def fits(self, words: set[str]) -> bool:
@@ -224,10 +256,27 @@ class Templates:
     """The wordings, and a compressor without any."""
 
     def __init__(self, templates: Mapping[str, Iterable[str]], cues: str = CUES):
-        self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False)
+        self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.cues = re.compile(cues)
         self.all = [Wording(name, text) for name, texts in templates.items() for text in texts]
-        self.reach = max([0, *(len(w.own) + w.limit for w in self.all)])
+        self.reach = max([0, *(w.reach for w in self.all)])
+
+    def ranked(self, words: list[str], first: int, last: int) -> list[tuple[int, Wording]]:
+        """(bytes saved, wording) of the templates that may make the block around these cues smaller, the largest saving first.
+
+        The block of a template reaches as far as a notice of it can. Words are
+        compressed in lower case with single spaces, as wraps and capitals are
+        no differences.
+        """
+        alone: dict[int, tuple[bytes, int]] = {}
+        saved = []
+        for own in self.all:
+            if own.reach not in alone:
+                data = " ".join(words[max(0, first - own.reach) : last + own.reach + 1]).encode()
+                alone[own.reach] = data, len(self.plain.compress(data))
+            data, size = alone[own.reach]
+            saved.append((size - len(own.coder.compress(data)), own))
+        return sorted((x for x in saved if x[0] > -NOISE), key=lambda x: -x[0])
 
     def notices(self, text: str) -> list[tuple[int, str, str, int, list[str]]]:
         """(place, block, license, bytes saved, differing words) of each notice of the text, in order."""
@@ -242,37 +291,47 @@ class Templates:
         first, last = np.searchsorted(block, block, "left"), np.searchsorted(block, block, "right")
         before, after = np.arange(len(words)) - first, last - np.arange(len(words)) - 1
         found = []
-        for a, b in self._around(np.maximum(np.searchsorted(at, cues, "right") - 1, 0), len(words)):
-            there = set(words[a:b])
-            ids = {word: k for k, word in enumerate(sorted(there))}
-            coded = np.array([ids[word] for word in words[a:b]])
-            for own in self.all:
-                if not own.fits(there):
-                    continue
-                for start, end, differing in own.aligned(words[a:b], coded, ids, np.minimum(before[a:b], np.arange(b - a)), np.minimum(after[a:b], np.arange(b - a)[::-1])):
-                    place, stop = int(block[a + start]), int(block[a + end - 1]) + 1
-                    whole = text[starts[place] : starts[stop] if stop < len(starts) else len(text)]
-                    whole = _trimmed(whole) if stop < len(starts) else whole
-                    if self.cues.search(whole):
-                        data = whole.encode()
-                        saved = len(self.plain.compress(data)) - len(own.coder.compress(data))
-                        found.append((len(differing), -saved, own.name, a + start, a + end, place, whole, differing))
+        cued = np.unique(np.maximum(np.searchsorted(at, cues, "right") - 1, 0))
+        for group in self._candidates(cued, block):
+            a, b = max(0, int(group[0]) - self.reach), min(len(words), int(group[-1]) + self.reach + 1)
+            found += self._confirmed(group, words[a:b], a, np.minimum(before[a:b], np.arange(b - a)), np.minimum(after[a:b], np.arange(b - a)[::-1]))
         taken: list[tuple] = []
-        for hit in sorted(found, key=lambda x: x[:5]):
+        for hit in sorted(found, key=lambda x: (-x[0], len(x[1]), x[2:5])):
             if all(hit[4] <= x[3] or x[4] <= hit[3] for x in taken):
                 taken.append(hit)
-        return [(place, whole, name, -saved, differing) for _, saved, name, _, _, place, whole, differing in sorted(taken, key=lambda x: x[3])]
-
-    def _around(self, cues: np.ndarray, n: int) -> list[tuple[int, int]]:
-        """Runs of words in the reach of a cue, those that touch as one."""
-        runs: list[tuple[int, int]] = []
-        for cue in cues.tolist():
-            a, b = max(0, cue - self.reach), min(n, cue + self.reach + 1)
-            if runs and a <= runs[-1][1]:
-                runs[-1] = (runs[-1][0], b)
-            else:
-                runs.append((a, b))
-        return runs
+        out = []
+        for saved, differing, name, start, end in sorted(taken, key=lambda x: x[3]):
+            place, stop = int(block[start]), int(block[end - 1]) + 1
+            whole = text[starts[place] : starts[stop] if stop < len(starts) else len(text)]
+            out.append((place, _trimmed(whole) if stop < len(starts) else whole, name, saved, differing))
+        return out
+
+    def _candidates(self, cued: np.ndarray, block: np.ndarray) -> Iterator[np.ndarray]:
+        """Cues of one line or sentence that lie in the reach of the first of them."""
+        start = 0
+        for k in range(1, len(cued) + 1):
+            if k == len(cued) or block[cued[k]] != block[cued[start]] or cued[k] - cued[start] > self.reach:
+                yield cued[start:k]
+                start = k
+
+    def _confirmed(self, cues: np.ndarray, words: list[str], a: int, before: np.ndarray, after: np.ndarray) -> list[tuple[int, list[str], str, int, int]]:
+        """(bytes saved, differences, license, first word, end) of the notices over the cues, from the best template on."""
+        there = set(words)
+        ids = {word: k for k, word in enumerate(sorted(there))}
+        coded = np.array([ids[word] for word in words])
+        hits: list[tuple[int, list[str], str, int, int]] = []
+        for gain, own in self.ranked(words, int(cues[0]) - a, int(cues[-1]) - a):
+            over = [max((x[0] for x in hits if x[3] <= cue < x[4]), default=NOISE) for cue in cues.tolist()]
+            if gain < min(over) - 2 * NOISE:
+                break
+            if not own.fits(there):
+                continue
+            for start, end, differing in own.aligned(words, coded, ids, before, after):
+                if ((cues >= a + start) & (cues < a + end)).any():
+                    part = " ".join(words[start:end]).encode()
+                    saved = len(self.plain.compress(part)) - len(own.coder.compress(part))
+                    hits.append((saved, differing, own.name, a + start, a + end))
+        return hits
 
 
 def borders(text: str) -> list[tuple[int, int]]:
@@ -306,10 +365,11 @@ def license_blocks(
     ``block`` is the line or sentence of the wording, or all that it goes over;
     ``place`` is the number of the first one, from 0. Every cue, which each
     template must have, makes a candidate of the words around it in the reach of
-    the longest template; all are compared with all templates. A confirmed wording has all names and versions of its
+    the longest template; every template compresses it, and they are confirmed in
+    the order of the bytes they save. A confirmed wording has all names and versions of its
     template and differs in a fifth of its words at most; ``differences`` lists
-    missing (-) and added (+) words. Of several that overlap the fewest differences
-    win, then the bytes saved. Texts that are null or empty have no blocks, repeated
+    missing (-) and added (+) words. ``saved`` is what the template saves on the
+    words of the notice; of several that overlap the largest saving wins. Texts that are null or empty have no blocks, repeated
     rows each give theirs, and a null id stays null.
     """
     rows = docs.filter(F.col(text_col).rlike(cues)).select(
