@@ -5,9 +5,11 @@ are put on a Hilbert curve, the rows numbered along it, and the run cut into
 shards whose counts differ by one at most. Neighbouring rows agree in most
 dimensions, so files cut from a shard can be skipped by the bins they hold.
 
-Rows are numbered without a global sort: cells have counts, large cells are
-cut into parts by digest, and a row's number is that of its cell, plus its part,
-plus its rank there. A third of all rows in one cell becomes many parts.
+Rows are dealt over tasks by ranges of the curve, of the digests of their values
+and of chance, sorted there and written once with their place in the task; a
+row's number is its place plus the rows of the tasks before. No cell and no
+group of equal rows is held together: a third of all rows in one cell, or equal
+in all columns, goes over as many tasks as other rows do.
 """
 
 from __future__ import annotations
@@ -16,13 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.shared import free_names, identity, marked, part_by_digest
+from strata.llm.shared import free_names, identity, marked
 from strata.session import settled
 
 BITS = 5
 DIMS = 3
-#: Rows and bytes of text of a part of a cell, at most about.
-PART_ROWS, PART_BYTES = 1024, 4_000_000
+#: Bits of a place that number the rows of a task; the others number the tasks.
+TASK_BITS = 33
 
 #: By the three bits that a level adds, in Gray code order: where the curve enters the octant and along which axis.
 _GRAY = [w ^ (w >> 1) for w in range(8)]
@@ -77,28 +79,24 @@ def text_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long")
 
 
-def numbered(rows: DataFrame, cell: str, digest: str, number: str, size: Column | None = None) -> tuple[DataFrame, int]:
-    """The rows with a gapless number from 0 in the order of the cell, and how many there are.
+def numbered(rows: DataFrame, cell: str, digest: str, number: str) -> tuple[DataFrame, int]:
+    """The rows with a gapless number from 0 in the order of cell and digest, and how many there are.
 
-    The cells are bounded by the curve (32 768); within one, rows are ordered by
-    ``digest``, which large cells are cut into ranges of, by rows and by ``size``
-    in bytes where rows carry their texts. Equal rows take any order.
-    Only the last step moves whole rows, once.
+    Rows equal in both take any order. Whole rows move once and are written
+    once, so that a repeated step gives the same numbers; the counts of the tasks
+    are all that is broadcast, a row for each partition of the shuffle.
     """
     kept = rows.columns
-    n, parts, before, part, within, rank = free_names(rows, "_n", "_parts", "_before", "_part", "_within", "_rank")
-    # Counts first: how many parts a cell needs follows from its rows.
-    held = F.sum(F.lit(0) if size is None else size)
-    per_cell = settled(rows.groupBy(cell).agg(F.count(F.lit(1)).alias(n), held.alias(within)), "cell-counts")
-    total = per_cell.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
-    up_to_here = Window.orderBy(cell).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = per_cell.select(cell, F.ceil(F.greatest(F.col(n) / PART_ROWS, F.col(within) / PART_BYTES)).cast("int").alias(parts), (F.sum(n).over(up_to_here) - F.col(n)).alias(before))
-    spread = rows.join(F.broadcast(cells), cell).withColumn(part, part_by_digest(F.col(digest), F.col(parts)))
-    along = Window.partitionBy(cell).orderBy(part).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = spread.groupBy(cell, part).agg(F.count(F.lit(1)).alias(n)).select(cell, part, (F.sum(n).over(along) - F.col(n)).alias(within))
-    ranked = spread.withColumn(rank, F.row_number().over(Window.partitionBy(cell, part).orderBy(digest)) - 1)
-    numbers = (F.col(before) + F.col(within) + F.col(rank)).cast("long")
-    return ranked.join(counts, [cell, part]).select(*kept, numbers.alias(number)), total
+    chance, place, task, n = free_names(rows, "_chance", "_place", "_task", "_n")
+    dealt = rows.withColumn(chance, F.rand(7)).repartitionByRange(cell, digest, chance).sortWithinPartitions(cell, digest)
+    run = settled(dealt.select(*kept).withColumn(place, F.monotonically_increasing_id()), "curve-run")
+    of_task = F.shiftright(place, TASK_BITS)
+    earlier = Window.orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
+    per_task = settled(run.groupBy(of_task.alias(task)).agg(F.count(F.lit(1)).alias(n)), "curve-tasks")
+    total = per_task.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    firsts = per_task.select(task, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n))
+    numbers = (F.col(n) + F.col(place).bitwiseAND(F.lit((1 << TASK_BITS) - 1))).cast("long")
+    return run.withColumn(task, of_task).join(F.broadcast(firsts), task).select(*kept, numbers.alias(number)), total
 
 
 def shard_of(number: Column, total: int, shards: int) -> tuple[Column, Column]:
@@ -124,7 +122,7 @@ def sharded(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str
     shard, slot, curve, doc, number = free_names(docs, "shard", "slot", "curve", "_doc", "_number")
     on_curve = curve_of(F.col(text_col), F.col(lang_col), F.col(source_col))
     rows = docs.withColumns({doc: identity(F.col(id_col), F.col(text_col)), curve: on_curve})
-    rows, total = numbered(rows, curve, doc, number, text_size(F.col(text_col)))
+    rows, total = numbered(rows, curve, doc, number)
     of, at = shard_of(F.col(number), total, shards)
     return rows.select(*docs.columns, of.alias(shard), at.alias(slot), curve)
 
@@ -133,7 +131,7 @@ def placements(docs: DataFrame, shards: int) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, curve) for each row of the documents.
 
     The law is ``rows``: ``grown_shard`` is null. A null text is an empty one,
-    with checksum 0. Texts are measured where they are read and do not move.
+    with checksum 0. Texts are measured where they are read and do not move, and any number of equal rows is numbered like others.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(

@@ -2,7 +2,9 @@
 
 The cache holds (digest of the content, tokens) per tokenizer version. A run
 joins the digests of its documents to it, encodes each missing content once,
-appends the new counts and reads all counts from the cache.
+appends the new counts and reads all counts from the cache. The folder is the
+caller's and lasts: later runs find what earlier ones encoded, and each result
+tells which counts were known before.
 """
 
 from __future__ import annotations
@@ -95,43 +97,52 @@ def content_digest(text):
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-def read_cache(spark: SparkSession, folder: str) -> DataFrame:
-    """Known counts, one row per digest; none where nothing was stored yet."""
-    schema = "digest binary, n_tokens long"
+def read_cache(spark: SparkSession, folder: str, run: str = "") -> DataFrame:
+    """Known counts, one row per digest, ``cached`` where another run than ``run`` stored it; none where nothing was stored yet."""
+    stored = "digest binary, n_tokens long, batch string"
     try:
-        stored = spark.read.schema(schema).parquet(f"{folder}/batch=*")
+        rows = spark.read.schema(stored).option("basePath", folder).parquet(f"{folder}/batch=*")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
-    return stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+        rows = spark.createDataFrame([], stored)
+    # Runs that overlap in time may store a digest twice.
+    return rows.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"), F.bool_or(F.col("batch") != run).alias("cached"))
 
 
 def extend_cache(docs: DataFrame, folder: str, model: bytes, text_col: str = "text") -> DataFrame:
     """Encode the contents that the cache lacks, append them, return the cache.
 
-    A third of all rows may share one content: each map task gives on one row
-    per digest only, so that neither the shuffle nor a task grows with it.
+    ``cached`` tells the contents that were there before. A third of all rows may
+    share one content: each map task gives on one row per digest only, so that
+    neither the shuffle nor a task grows with it.
     """
-    spark = docs.sparkSession
+    spark, run = docs.sparkSession, f"run-{uuid.uuid4().hex}"
     versioned = f"{folder}/tokenizer={tokenizer_version(model)}"
     text = F.coalesce(F.col(text_col), F.lit(""))
     distinct = docs.select(content_digest(F.col(text_col)).alias("digest"), text.alias("text")).dropDuplicates(["digest"])
     misses = distinct.join(read_cache(spark, versioned), "digest", "left_anti").select("digest", "text")
-    misses.mapInArrow(_encoded(model), "digest binary, n_tokens long").write.parquet(f"{versioned}/batch={uuid.uuid4().hex}")
-    return read_cache(spark, versioned)
+    misses.mapInArrow(_encoded(model), "digest binary, n_tokens long").write.parquet(f"{versioned}/batch={run}")
+    return read_cache(spark, versioned, run)
+
+
+def share_of_contents(docs: DataFrame, part: int = 16, text_col: str = "text") -> DataFrame:
+    """The documents whose content falls into one of ``part`` equal ranges of digests, the first."""
+    first = F.conv(F.substring(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256), 1, 8), 16, 10).cast("long")
+    return docs.filter(first * part < F.lit(1 << 32))
 
 
 def token_counts(docs: DataFrame, folder: str, model: bytes, text_col: str = "text", limit: int = 4096) -> DataFrame:
-    """The documents' columns other than the text, with n_bytes, n_tokens and over_limit.
+    """The documents' columns other than the text, with n_bytes, n_tokens, over_limit and cached.
 
     Each row keeps its place in the result, repeated ones and those without an
-    id too; a null or empty text has 0 bytes and 0 tokens. Columns of the input
+    id too; a null or empty text has 0 bytes and 0 tokens. ``cached`` rows were
+    counted by an earlier run over the same folder with the same tokenizer. Columns of the input
     that are named like a result are left out.
     """
-    made = {"digest", "n_bytes", "n_tokens", "over_limit"}
+    made = {"digest", "n_bytes", "n_tokens", "over_limit", "cached"}
     kept = [name for name in docs.columns if name != text_col and name.lower() not in made]
     # Written as a plain table, so that Spark can cut the join where many rows share a content.
     cache = settled(extend_cache(docs, folder, model, text_col), "token-counts")
     keyed = docs.select(*kept, F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), content_digest(F.col(text_col)).alias("digest"))
-    return keyed.join(cache, "digest", "left").select(*kept, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return keyed.join(cache, "digest", "left").select(*kept, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "cached")

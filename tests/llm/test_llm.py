@@ -479,8 +479,7 @@ def test_hilbert_neighbours_touch(spark):
     assert all(sum(abs(a[k] - b[k]) for k in range(3)) == 1 for a, b in zip(rows, rows[1:]))
 
 
-def test_large_cells_are_cut(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "PART_ROWS", 4)
+def test_large_cells_are_cut(spark):
     docs = documents(spark, [f"t{i:03}" for i in range(100)]).withColumn("source", F.lit("one"))
     rows = sharding.placements(docs, 7).collect()
     by_shard = {}
