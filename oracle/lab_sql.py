@@ -194,6 +194,17 @@ SQL = {
     "layout_smallfiles": LINES,
     "layout_compacted": LINES,
     "layout_zorder": LINES,
+    "layout_kd": LINES,
     "layout_clustered": LINES,
+    "layout_pruned_rows": query(
+        """
+        select layout, count(*) as row_count, count(*) filter (where wanted) as wanted_rows,
+               cast(coalesce(sum(quantity) filter (where wanted), 0) as bigint) as wanted_quantity
+        from (select quantity, product_id between 100 and 110
+                     and ship_date between date '1998-03-01' and date '1998-03-30' as wanted from stg_lines),
+             unnest(['smallfiles', 'compacted', 'zorder', 'kd', 'clustered', 'partitioned']) as l(layout)
+        group by all
+        """
+    ),
     "layout_partitioned": LINES,
 }

@@ -14,6 +14,17 @@ SQL = {
         f"""select {SHIPMENT}, cast(case when ship_date >= date '1997-01-01'
             then qty_cases % 3 end as int) as priority from stg_shipments"""
     ),
+    "stream_nested_columns": query(
+        """
+        select * replace (cast(order_id as int) as order_id),
+               case when return_date >= date '1997-01-01' then 'C' || (quantity % 3) end as details_carrier,
+               cast(case when return_date >= date '1997-01-01' and not (return_date >= date '1999-06-01'
+                    and quantity > 40) then quantity * 2 end as int) as details_weight,
+               case when return_date >= date '1999-06-01' and quantity > 40
+                    then '{"details_weight":"heavy"}' end as details_rescued
+        from stg_returns
+        """
+    ),
     "rescued_rows": query(
         """
         select return_id, cast(order_id as int) as order_id, '00' || order_id as product_sku,

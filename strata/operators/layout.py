@@ -14,6 +14,10 @@ from strata.functions.skew import flag_hot, hot_keys
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 RANK_BITS = 6
+# The k-d split takes its cuts from at most this many rows, which reach the driver.
+SAMPLED = 100_000
+# Levels of cuts; files beyond 2**levels divide the leaves by the keys.
+KD_LEVELS = 10
 CLUSTER_POSITION = "cluster_position"
 
 
@@ -34,7 +38,7 @@ def compact(spark: SparkSession, source: str, path: str, target: int = TARGET_FI
     Neighbouring input splits are joined without a shuffle, so every row is
     read and written exactly once and never crosses the network.
     """
-    files = max(1, math.ceil(folder_bytes(spark, source) / target))
+    files = files_for(spark, source, target)
     spark.read.parquet(source).coalesce(files).write.mode("overwrite").parquet(path)
     return files
 
@@ -95,6 +99,64 @@ def write_zorder(rows: DataFrame, path: str, keys: Sequence[str]) -> None:
     ordered.drop("_z").write.mode("overwrite").parquet(path)
 
 
+def files_for(spark: SparkSession, source: str, target: int = TARGET_FILE_BYTES) -> int:
+    """Files of the target size that the data of a folder fills."""
+    return max(1, math.ceil(folder_bytes(spark, source) / target))
+
+
+def _kd_cuts(points: list[tuple[float, ...]], levels: int) -> tuple[list[int], list[float]]:
+    """Key and value of the cut at every node of a full tree, the root being node 1.
+
+    A node cuts its points in halves by the key of its level, or by the next one
+    that tells them apart. Where none does, all points go on to the right.
+    """
+    by, at = [0] * 2**levels, [-math.inf] * 2**levels
+    held = {1: points}
+    for node in range(1, 2**levels):
+        inside, level = held.pop(node, []), node.bit_length() - 1
+        for step in range(len(inside[0]) if inside else 0):
+            key = (level + step) % len(inside[0])
+            values = sorted(p[key] for p in inside)
+            middle = values[len(values) // 2]
+            if middle == values[0]:
+                middle = next((v for v in values if v > middle), middle)
+            if middle > values[0]:
+                by[node], at[node] = key, middle
+                break
+        held[2 * node] = [p for p in inside if p[by[node]] < at[node]]
+        held[2 * node + 1] = [p for p in inside if p[by[node]] >= at[node]]
+    return by, at
+
+
+def kd_leaf(rows: DataFrame, keys: Sequence[str], levels: int) -> Column:
+    """Leaf of a row in a k-d split of equal halves, in the order of the tree; nulls are lowest."""
+    numbers = [F.coalesce(_as_number(rows, k), F.lit(-math.inf)) for k in keys]
+    names = [f"_{i}" for i in range(len(keys))]
+    sample = rows.select(F.xxhash64(*rows.columns).alias("_chance"), *[n.alias(a) for n, a in zip(numbers, names, strict=True)])
+    points = [tuple(p) for p in sample.orderBy("_chance").limit(SAMPLED).select(*names).collect()]
+    by, at = _kd_cuts(points, levels)
+    cut_by, cut_at = F.array(*[F.lit(k) for k in by]), F.array(*[F.lit(v) for v in at])
+    values = F.array(*numbers)
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(levels)) if levels else F.array().cast("array<int>"),
+        F.lit(1),
+        lambda node, _: node * 2 + (F.get(values, F.get(cut_by, node)) >= F.get(cut_at, node)).cast("int"),
+    )
+
+
+def write_kd(rows: DataFrame, path: str, keys: Sequence[str], files: int) -> None:
+    """Cut the rows in halves by one key after the other, so each file is a box of nearly as many rows.
+
+    Unlike a curve of ranks, the cuts follow how the keys occur together, and the
+    number of files follows from the data. A leaf that is too large for a file, as
+    all its rows have equal keys or the files are many, is divided further.
+    """
+    levels = min(KD_LEVELS, math.ceil(math.log2(files)))
+    placed = rows.withColumn("_leaf", kd_leaf(rows, keys, levels))
+    ordered = placed.repartitionByRange(files, "_leaf", *keys, _tie_break(rows)).sortWithinPartitions("_leaf", *keys)
+    ordered.drop("_leaf").write.mode("overwrite").parquet(path)
+
+
 def write_clustered(rows: DataFrame, path: str, keys: Sequence[str], mode: str = "overwrite"):
     """Sort by the keys and remember them in the table's column metadata."""
     for position, key in enumerate(keys):
@@ -130,15 +192,16 @@ def write_partitioned(
 
 
 def write_variants(
-    rows: DataFrame, base: str, keys: Sequence[str], day: str, small_files: int = 1600
+    rows: DataFrame, base: str, keys: Sequence[str], day: str, small_files: int = 1600, target: int = TARGET_FILE_BYTES
 ) -> dict[str, str]:
-    """The same rows under five layouts, each rebuilt from scratch; name -> path."""
+    """The same rows under six layouts, each rebuilt from scratch; name -> path."""
     paths = {
-        n: f"{base}/{n}" for n in ("smallfiles", "compacted", "zorder", "clustered", "partitioned")
+        n: f"{base}/{n}" for n in ("smallfiles", "compacted", "zorder", "kd", "clustered", "partitioned")
     }
     write_small_files(rows, paths["smallfiles"], small_files)
     compact(rows.sparkSession, paths["smallfiles"], paths["compacted"])
     write_zorder(rows, paths["zorder"], keys)
+    write_kd(rows, paths["kd"], keys, files_for(rows.sparkSession, paths["smallfiles"], target))
     write_clustered(rows, paths["clustered"], keys)
     write_partitioned(rows, paths["partitioned"], day)
     return paths
@@ -166,8 +229,8 @@ def table_stats(
     )
 
 
-def skippable_files(table: DataFrame, ranges: dict[str, tuple[object, object]]) -> DataFrame:
-    """Files whose value ranges cannot meet the wanted ranges, of all files."""
+def _met_files(table: DataFrame, ranges: dict[str, tuple[object, object]]) -> DataFrame:
+    """(_file, _met): whether the value ranges of a file can meet the wanted ranges."""
     edges = []
     for c in ranges:
         edges += [F.min(c).alias(f"_min_{c}"), F.max(c).alias(f"_max_{c}")]
@@ -175,6 +238,22 @@ def skippable_files(table: DataFrame, ranges: dict[str, tuple[object, object]])
     meets = F.lit(True)
     for c, (low, high) in ranges.items():
         meets = meets & (F.col(f"_max_{c}") >= F.lit(low)) & (F.col(f"_min_{c}") <= F.lit(high))
-    return per_file.agg(
-        F.count(F.lit(1)).alias("files"), F.count_if(~meets).alias("skippable")
+    # A file without any value of a key has no row in a range of it.
+    return per_file.select("_file", F.coalesce(meets, F.lit(False)).alias("_met"))
+
+
+def skippable_files(table: DataFrame, ranges: dict[str, tuple[object, object]]) -> DataFrame:
+    """Files whose value ranges cannot meet the wanted ranges, of all files."""
+    return _met_files(table, ranges).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(~F.col("_met")).alias("skippable")
     )
+
+
+def pruned(table: DataFrame, ranges: dict[str, tuple[object, object]]) -> DataFrame:
+    """Rows in the wanted ranges, taken only from the files that can hold them."""
+    wanted = F.lit(True)
+    for c, (low, high) in ranges.items():
+        wanted = wanted & F.col(c).between(F.lit(low), F.lit(high))
+    kept = _met_files(table, ranges).where("_met").select("_file")
+    rows = table.where(wanted).withColumn("_file", F.col("_metadata.file_path"))
+    return rows.join(kept, "_file", "left_semi").drop("_file")

@@ -267,6 +267,8 @@ def gen_key_coverage(s: Staging) -> DataFrame:
 # -- layouts ---------------------------------------------------------------
 
 KEYS = ["product_id", "ship_date"]
+BOX = {"product_id": (100, 110), "ship_date": WINDOW}
+SMALL_TARGET = 256 * 1024
 
 
 def layout_rows(s: Staging) -> DataFrame:
@@ -301,6 +303,14 @@ def layout_zorder(s: Staging) -> DataFrame:
     return written(s, lambda rows, path: layout.write_zorder(rows, path, KEYS))
 
 
+@query
+def layout_kd(s: Staging) -> DataFrame:
+    """Boxes of nearly as many rows, as many as the data fills files."""
+    source = small(s, work_folder(s.spark, "small"))
+    files = layout.files_for(s.spark, source, SMALL_TARGET)
+    return written(s, lambda rows, path: layout.write_kd(rows, path, KEYS, files))
+
+
 @query
 def layout_clustered(s: Staging) -> DataFrame:
     """Clustered table that receives a second batch in its declared order."""
@@ -320,7 +330,7 @@ def layout_partitioned(s: Staging) -> DataFrame:
 def variants(s: Staging) -> dict[str, DataFrame]:
     """The same rows under every layout."""
     base = work_folder(s.spark, "variants")
-    paths = layout.write_variants(layout_rows(s), base, KEYS, "ship_date", 32)
+    paths = layout.write_variants(layout_rows(s), base, KEYS, "ship_date", 32, SMALL_TARGET)
     return {name: s.spark.read.parquet(path) for name, path in paths.items()}
 
 
@@ -344,7 +354,19 @@ def layout_file_stats(s: Staging) -> DataFrame:
 
 @query
 def layout_skippable_files(s: Staging) -> DataFrame:
-    wanted = {"product_id": (100, 110), "ship_date": WINDOW}
     return _labelled(
-        {name: layout.skippable_files(table, wanted) for name, table in variants(s).items()}
+        {name: layout.skippable_files(table, BOX) for name, table in variants(s).items()}
     )
+
+
+@query
+def layout_pruned_rows(s: Staging) -> DataFrame:
+    """Rows of each layout by the sizes of its files, and those of a box through the files that can hold them."""
+    reports = {}
+    for name, table in variants(s).items():
+        found = layout.pruned(table, BOX).agg(
+            F.count(F.lit(1)).alias("wanted_rows"),
+            F.coalesce(F.sum("quantity"), F.lit(0)).cast("bigint").alias("wanted_quantity"),
+        )
+        reports[name] = layout.table_stats(table).select("row_count").join(found)  # one row each
+    return _labelled(reports)

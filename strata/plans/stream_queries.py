@@ -12,7 +12,7 @@ from strata.plans.registry import query
 from strata.plans.staging import Staging
 from strata.session import work_folder
 from strata.sources.generate import write_drop
-from strata.streaming.drops import Feed, exposed, land, landed, typed
+from strata.streaming.drops import Feed, exposed, land, landed, nested, typed
 
 CUTS = (date(1997, 1, 1), date(1999, 6, 1))
 
@@ -71,6 +71,21 @@ def typed_with(rows: DataFrame, name: str, kind: str) -> DataFrame:
     return business(typed(rows, wider), wider)
 
 
+@query
+def stream_nested_columns(s: Staging) -> DataFrame:
+    """Later drops bring a nested field, of which the last one changes a member's type."""
+    first, second, third = in_three(s.returns, "return_date")
+    carrier = F.concat(F.lit("C"), F.col("quantity") % 3).alias("carrier")
+    weight = F.col("quantity") * 2
+    as_text = F.when(F.col("quantity") > 40, F.lit("heavy")).otherwise(weight.cast("string"))
+    second = second.withColumn("details", F.struct(carrier, weight.alias("weight")))
+    third = third.withColumn("details", F.struct(as_text.alias("weight"), F.array(F.lit(1)).alias("more"), carrier))
+    fields = {"details_carrier": ("$.carrier", "string"), "details_weight": ("$.weight", "int")}
+    rows = nested(landed_in_steps(s, RETURNS, [first, second, third]), "details", fields)
+    wider = Feed(RETURNS.name, RETURNS.kind, {**RETURNS.types, **{c: kind for c, (_, kind) in fields.items()}, "details_rescued": "string"})
+    return business(typed(rows, wider), wider)
+
+
 @query
 def rescued_rows(s: Staging) -> DataFrame:
     """Values that do not fit their type and fields nobody declared are kept as JSON."""

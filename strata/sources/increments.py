@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,33 +78,67 @@ class JdbcSource:
         ]
         return [*parts, f"{MODIFIED} >= {quoted[-1]}"]
 
+    def bounds_sql(self, table: str, mark: datetime, key: str) -> str:
+        """Statement for the (modification, key) at which every further one of ``tasks`` equal slices begins."""
+        order = f"OVER (ORDER BY {MODIFIED}, {key})"
+        tiles = f"SELECT {MODIFIED}, {key}, NTILE({self.tasks}) {order} AS tile {self._since(table, mark)}"
+        steps = f"SELECT {MODIFIED}, {key}, tile, LAG(tile) {order} AS tile_before FROM ({tiles}) tiles"
+        return f"SELECT {MODIFIED}, {key} FROM ({steps}) steps WHERE tile_before < tile"
+
+    def key_slices(self, mark: datetime, bounds: Sequence[tuple[datetime, object]], key: str) -> list[str]:
+        """Conditions that cut the increment at bounds of time and key, so that rows of one time are cut as well.
+
+        Each row meets one condition. The plain ranges of time let the source
+        use an index on it. The key is unique and has no nulls.
+        """
+        starts, cuts = [f"{MODIFIED} >= {_quoted(mark)}"], []
+        for at, value in sorted(bounds):
+            t, k = _quoted(at), _quoted(value)
+            cuts.append(f"{MODIFIED} <= {t} AND ({MODIFIED} < {t} OR {key} < {k})")
+            starts.append(f"{MODIFIED} >= {t} AND ({MODIFIED} > {t} OR {key} >= {k})")
+        return [" AND ".join(both) for both in zip(starts, [*cuts, "1 = 1"], strict=True)]
+
     def read_increment(
         self,
         spark: SparkSession,
         table: str,
         mark: datetime,
         edges: Sequence[datetime] | None = None,
+        key: str | None = None,
     ) -> DataFrame:
         """Changed rows of a table, read in parallel between the ``edges``.
 
+        With a unique ``key`` the database names bounds of equal slices, which
+        hold for a load with one modification time, too.
         Without edges the database is asked for the span of the increment, which
         is cut into ``tasks`` equal pieces; an empty list reads in one task.
         """
+        if key and edges is None and self.tasks > 1:
+            bounds = [tuple(row) for row in self._load(spark, self.bounds_sql(table, mark, key)).collect()]  # tasks - 1 rows
+            return self._sliced(spark, table, self.key_slices(mark, bounds, key))
         if edges is None and self.tasks > 1:
             edges = even_edges(*self._load(spark, self.span_sql(table, mark)).first(), self.tasks)
         if edges:
-            return spark.read.jdbc(
-                self.url,
-                self.table_name(table),
-                predicates=self.slices(mark, edges),
-                properties={k: v for k, v in self.options().items() if k != "url"},
-            )
+            return self._sliced(spark, table, self.slices(mark, edges))
         return self._load(spark, self.increment_sql(table, mark))
 
+    def _sliced(self, spark: SparkSession, table: str, conditions: list[str]) -> DataFrame:
+        properties = {k: v for k, v in self.options().items() if k != "url"}
+        return spark.read.jdbc(self.url, self.table_name(table), predicates=conditions, properties=properties)
+
     def _load(self, spark: SparkSession, query: str) -> DataFrame:
         return spark.read.format("jdbc").options(**self.options()).option("query", query).load()
 
 
+def _quoted(value: object) -> str:
+    """A value as SQL text; numbers as they are."""
+    if isinstance(value, datetime):
+        return f"'{value.isoformat(sep=' ', timespec='microseconds')}'"
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
 def even_edges(oldest: datetime | None, newest: datetime | None, pieces: int) -> list[datetime]:
     """Times that cut a span into equal pieces; none where there is no span."""
     if oldest is None or newest is None or oldest == newest:

@@ -221,6 +221,28 @@ def exposed(rows: DataFrame, *names: str) -> DataFrame:
     return rows.withColumns({n: F.try_element_at("_extra", F.lit(n)) for n in names})
 
 
+def nested(rows: DataFrame, name: str, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Typed columns from paths into a nested field of ``_extra``, and ``<name>_rescued`` for what does not fit.
+
+    ``fields`` gives column -> (path, type). The field is parsed once as VARIANT,
+    so files may add members or change their types; a value that is not of the
+    type is NULL and kept in the rescue column, a JSON object by column.
+    """
+    value = F.try_parse_json(F.try_element_at("_extra", F.lit(name)))
+    rows = rows.withColumn("_nested", value)
+    none = F.create_map().cast("map<string,string>")
+    got, lost = {}, []
+    for column, (path, kind) in fields.items():
+        got[column] = F.try_variant_get("_nested", path, kind)
+        there = F.try_variant_get("_nested", path, "variant")
+        misfit = got[column].isNull() & there.isNotNull() & ~F.is_variant_null(there)
+        text = F.coalesce(F.try_variant_get("_nested", path, "string"), F.to_json(there))
+        lost.append(F.when(misfit, F.create_map(F.lit(column), text)).otherwise(none))
+    kept = F.map_concat(*lost) if lost else none
+    got[f"{name}_rescued"] = F.when(F.size(kept) > 0, F.to_json(kept))
+    return rows.withColumns(got).drop("_nested")
+
+
 def extra_names(rows: DataFrame) -> DataFrame:
     """Names of the undeclared fields that occurred."""
     return rows.select(F.explode(F.map_keys("_extra")).alias("field")).distinct()

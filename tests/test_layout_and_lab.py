@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,6 +55,51 @@ def test_clustering_lets_files_be_skipped(spark, folder):
     assert curve["skippable"] / curve["files"] > 0.7
 
 
+def test_kd_boxes_skip_what_the_curve_skips(spark, folder):
+    """Two predicates, equal numbers of files; keys that occur together, a hot value, nulls."""
+    made = generate.sales_of_size(spark, 20_000)
+    day = F.when(F.col("sale_id") % 50 == 3, F.lit(None)).otherwise(F.date_add(F.lit(date(2024, 1, 1)), (F.col("customer_id") / 50).cast("int")))
+    sales = made.withColumn("sale_date", day)
+    keys = ["customer_id", "sale_date"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        layout.write_zorder(sales, f"{folder}/z", keys)
+        layout.write_kd(sales, f"{folder}/kd", keys, 32)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    tables = {n: spark.read.parquet(f"{folder}/{n}") for n in ("z", "kd")}
+    assert same(tables["kd"], sales)
+    sizes = [r["row_count"] for r in layout.file_sizes(tables["kd"]).collect()]
+    assert len(sizes) == 32 and max(sizes) < 3 * 20_000 / 32, "the customer with a third of all rows is divided"
+    box = {"customer_id": (4000, 4800), "sale_date": (date(2024, 1, 1), date(2025, 1, 1))}
+    wanted = sales.where("customer_id between 4000 and 4800 and sale_date between date'2024-01-01' and date'2025-01-01'")
+    assert same(layout.pruned(tables["kd"], box), wanted)
+    # Many boxes of two kinds, as a single one may lie over a cut: one key, both keys.
+    days = [(date(2024, 1, 1) + timedelta(k), date(2024, 1, 1) + timedelta(k + 30)) for k in range(0, 960, 24)]
+    ids = [(k, k + 800) for k in range(100, 49_000, 1225)]
+    skipped = {}
+    for name, table in tables.items():
+        edges = [F.min("customer_id"), F.max("customer_id"), F.min("sale_date"), F.max("sale_date")]
+        files = table.groupBy("_metadata.file_path").agg(*edges).collect()
+        met = lambda f, low, high, at: f[at] is not None and f[at] <= high and f[at + 1] >= low
+        skipped[name] = (
+            sum(not met(f, *d, 3) for f in files for d in days) / len(files),
+            sum(not (met(f, *i, 1) and met(f, *d, 3)) for f in files for i in ids for d in days[::5]) / len(files),
+        )
+    (z_one, z_both), (kd_one, kd_both) = skipped["z"], skipped["kd"]
+    assert kd_both >= z_both and kd_one > 0.99 * z_one and kd_one > 0.9 * len(days), skipped
+
+
+def test_kd_cuts_are_even_and_take_any_points():
+    points = [(float(i % 16), float(i // 16)) for i in range(256)]
+    by, at = layout._kd_cuts(points, 2)
+    assert (by[1:], at[1:]) == ([0, 1, 1], [8.0, 8.0, 8.0])
+    assert layout._kd_cuts([], 1)[1] == [float("-inf")] * 2
+    assert layout._kd_cuts([(1.0, float(i)) for i in range(4)], 1) == ([0, 1], [float("-inf"), 2.0])
+
+
 def test_text_is_ranked_in_its_order(spark):
     words = spark.range(400).select(F.format_string("SKU-%04d", F.col("id") * 7).alias("sku"))
     ranked = words.select("sku", layout.quantile_rank(words, "sku", 3).alias("rank")).orderBy("sku").collect()

@@ -29,6 +29,20 @@ def test_slices_cover_the_increment_once():
     ]
 
 
+def test_equal_slices_by_time_and_key(spark):
+    """The statements run on a view: every row is in one slice, all slices are alike, whatever the times are."""
+    mark, source = datetime(2026, 1, 1), JdbcSource("jdbc:x", tasks=5)
+    for name, moment in {"one": "0", "few": "id % 3", "skewed": "if(id < 90, 7, id)", "old": "-id - 1"}.items():
+        spark.range(100).selectExpr("id", "concat(id % 10, chr(39), id) AS code", f"timestamp'2026-01-01' + make_interval(0, 0, 0, 0, 0, 0, {moment}) AS modified_at").createOrReplaceTempView("loads")
+        for key in ("id", "code"):
+            bounds = [tuple(r) for r in spark.sql(source.bounds_sql("loads", mark, key)).collect()]
+            parts = [{r["id"] for r in spark.sql(f"SELECT id FROM loads WHERE {c}").collect()} for c in source.key_slices(mark, bounds, key)]
+            if name == "old":
+                assert bounds == [] and len(parts) == 1 and not parts[0]
+            else:
+                assert [len(p) for p in parts] == [20] * 5 and len(set().union(*parts)) == 100
+
+
 def test_span_of_an_increment_is_cut_evenly():
     assert JdbcSource("jdbc:x").span_sql("t", datetime(2026, 1, 1)) == (
         "SELECT MIN(modified_at) AS oldest, MAX(modified_at) AS newest FROM t WHERE modified_at >= '2026-01-01 00:00:00.000000'"
