@@ -7,8 +7,9 @@ any other. The token budget is the least that still takes every document once,
 so nothing is dropped. Each source is then realised as a permutation: its
 documents are dealt into blocks by digest, blocks and documents ordered by digest,
 full passes repeated, and the remaining budget filled from the front. Running
-sums go over blocks first and inside one block after, so a source with a third
-of all rows is spread like any other.
+sums go over blocks first and inside one block after, and blocks are bounded by
+tokens and by documents, so a source with a third of all rows is spread like any
+other, without a single token too.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from pyspark.sql.window import Window
 from strata.llm.shared import WORD, free_names, identity, marked, part_by_digest
 from strata.session import settled
 
-#: Tokens of a block, about.
+#: Tokens and documents of a block, about.
 BLOCK_TOKENS = 1_000_000
+BLOCK_ROWS = 16_384
 #: Bisection steps that one job takes together, and jobs.
 STEPS, ROUNDS = 5, 5
 
@@ -81,19 +83,19 @@ def exponent(sources: DataFrame, goal: Goal) -> float:
 
 
 def weights(docs: DataFrame, goal: Goal, source: str, tokens: str) -> tuple[DataFrame, float]:
-    """(source key, tokens, weight, passes) per source, and the exponent.
+    """(source key, tokens, documents, weight, passes) per source, and the exponent.
 
     ``passes`` is the budget of a source over its tokens, from 1 on. A source
     without any tokens has weight 0 and one pass.
     """
-    sums = settled(docs.groupBy(source).agg(F.sum(tokens).alias("tokens")), "source-tokens")
+    sums = settled(docs.groupBy(source).agg(F.sum(tokens).alias("tokens"), F.count(F.lit(1)).alias("documents")), "source-tokens")
     power = exponent(sums.filter("tokens > 0").select("tokens"), goal)
     total = sums.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     raised = F.when(F.col("tokens") > 0, F.exp(power * F.log(F.col("tokens") / F.lit(max(total, 1))))).otherwise(0.0)
-    figures = sums.select(source, "tokens", raised.alias("raised"))
+    figures = sums.select(source, "tokens", "documents", raised.alias("raised"))
     sums = figures.agg(F.coalesce(F.sum("raised"), F.lit(1.0)).alias("z"), F.coalesce(F.min(F.when(F.col("tokens") > 0, F.col("raised") / F.col("tokens"))), F.lit(1.0)).alias("least")).first()
     passes = F.when(F.col("tokens") > 0, F.round(F.col("raised") / F.col("tokens") / F.lit(sums["least"]), 9)).otherwise(1.0)
-    return figures.select(source, "tokens", (F.col("raised") / F.lit(sums["z"] or 1.0)).alias("weight"), passes.alias("passes")), power
+    return figures.select(source, "tokens", "documents", (F.col("raised") / F.lit(sums["z"] or 1.0)).alias("weight"), passes.alias("passes")), power
 
 
 def schedule(docs: DataFrame, goal: Goal, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", tokens: Column | None = None) -> DataFrame:
@@ -121,7 +123,7 @@ def schedule(docs: DataFrame, goal: Goal, source_col: str = "source", id_col: st
             "passes",
             F.floor("passes").cast("int").alias("_full"),
             ((F.col("passes") - F.floor("passes")) * F.col("tokens")).alias("_rest"),
-            F.ceil(F.greatest(F.col("tokens"), F.lit(1)) / BLOCK_TOKENS).cast("int").alias("_blocks"),
+            F.greatest(F.ceil(F.greatest(F.col("tokens"), F.lit(1)) / BLOCK_TOKENS), F.ceil(F.col("documents") / BLOCK_ROWS)).cast("int").alias("_blocks"),
         ),
         "source-weights",
     )

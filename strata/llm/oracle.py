@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from string import ascii_lowercase, ascii_uppercase
 
-from strata.llm.mixing import BLOCK_TOKENS, ROUNDS, STEPS, Goal
+from strata.llm.mixing import BLOCK_ROWS, BLOCK_TOKENS, ROUNDS, STEPS, Goal
 from strata.llm.sharding import _AXIS, _ENTRY, _RANK, BITS
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -51,7 +51,7 @@ WITH RECURSIVE docs AS (
   SELECT doc_id, source, {_marked("source")} AS key, md5({_marked("doc_id")} || {_marked("text")} || {_marked("source")}) AS doc,
          len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS own FROM documents),
 units AS (SELECT doc, doc_id, source, key, sum(own)::BIGINT AS tokens FROM docs GROUP BY ALL),
-sums AS (SELECT key, sum(tokens)::BIGINT AS t FROM units GROUP BY key),
+sums AS (SELECT key, sum(tokens)::BIGINT AS t, count(*) AS n FROM units GROUP BY key),
 logs AS (SELECT ln(t / (SELECT sum(t)::DOUBLE FROM sums)) AS l FROM sums WHERE t > 0),
 shape AS (SELECT list(l) AS ls, {goal.entropy} * ln(count(*)) AS target, max(l) - min(l) AS spread FROM logs),
 ends AS (SELECT *, {goal.passes} AS passes FROM shape),
@@ -66,10 +66,10 @@ power AS (
   SELECT CASE WHEN ln(len(ls)) <= target + 1e-9 AND spread <= ln(passes) + 1e-12 THEN 0.0
     WHEN NOT (-list_sum(list_transform(ls, lambda x: exp(x) * x)) <= target + 1e-9) THEN 1.0
     ELSE (SELECT high FROM search WHERE step = {STEPS * ROUNDS}) END AS a FROM ends),
-raised AS (SELECT key, t, CASE WHEN t > 0 THEN exp(a * ln(t / (SELECT sum(t)::DOUBLE FROM sums))) ELSE 0 END AS r FROM sums, power),
+raised AS (SELECT key, t, n, CASE WHEN t > 0 THEN exp(a * ln(t / (SELECT sum(t)::DOUBLE FROM sums))) ELSE 0 END AS r FROM sums, power),
 weights AS (
   SELECT key, t, r / (SELECT sum(r) FROM raised) AS weight,
-    CASE WHEN t > 0 THEN round(r / t / (SELECT min(r / t) FROM raised WHERE t > 0), 9) ELSE 1 END AS passes, ceil(greatest(t, 1) / {BLOCK_TOKENS})::BIGINT AS blocks FROM raised),
+    CASE WHEN t > 0 THEN round(r / t / (SELECT min(r / t) FROM raised WHERE t > 0), 9) ELSE 1 END AS passes, greatest(ceil(greatest(t, 1) / {BLOCK_TOKENS}), ceil(n / {BLOCK_ROWS}))::BIGINT AS blocks FROM raised),
 dealt AS (SELECT units.*, weight, passes, t, ((('0x' || substr(doc, 1, 8))::BIGINT * blocks) >> 32)::INT AS block FROM units JOIN weights USING (key)),
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY key, block ORDER BY doc) - 1 AS place,

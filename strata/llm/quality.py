@@ -3,12 +3,15 @@
 Word unigrams and bigrams are hashed into a fixed number of buckets. Two
 multinomials over the buckets are counted: one of the whole raw corpus, one of
 trusted documents. A document's score is the mean log ratio of its n-grams, so
-long and short texts compare. Every document is held against one threshold,
-placed by labelled documents. Log ratios are whole millionths, so sums do not
-depend on an order and a verdict never flips between runs.
-
-All of it is DataFrame work; what is broadcast is bounded by parameters: the
-bucket table and the ids of the labelled documents used.
+long and short texts compare. Every document is held against one threshold.
+Half of the labelled documents fill the trusted counts, the other half places
+the threshold, as a document scores higher on counts that hold its own words.
+Log ratios are whole millionths, so sums do not depend on an order and a verdict
+never flips between runs.
+
+All of it is DataFrame work. The ratios are one array of a fixed length that
+each row folds its buckets over, so scoring moves no rows; that array and the ids
+of the labelled documents are all that is sent to the tasks.
 """
 
 from __future__ import annotations
@@ -21,8 +24,10 @@ from strata.llm.shared import free_names, identity, words
 from strata.session import settled
 
 BUCKETS = 1 << 16
-#: Labelled documents of each kind that fit the target and the threshold.
+#: Labelled documents of each kind: half of them fit the target, the others the threshold.
 LABELLED = 20_000
+#: Of the good documents that place the threshold, the share that must pass.
+GOOD_KEPT = 0.99
 #: Log ratios are kept in units of one by this.
 UNIT = 1_000_000
 SMOOTHING = 0.5
@@ -104,10 +109,11 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
 
 
 def labelled_sample(labels: DataFrame, limit: int = LABELLED) -> DataFrame:
-    """(doc_id, good) of at most ``limit`` documents of each quality.
+    """(doc_id, good, fits) of at most ``limit`` documents of each quality.
 
-    The documents with the smallest hashes are taken. Labels that contradict one
-    another, or lack an id or a quality, are left out.
+    The documents with the smallest hashes are taken, by turns to fit the target
+    and to place the threshold. Labels that contradict one another, or lack an id
+    or a quality, are left out.
     """
     clear = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
@@ -117,30 +123,39 @@ def labelled_sample(labels: DataFrame, limit: int = LABELLED) -> DataFrame:
         .select("doc_id", (F.col("low") == 1).alias("good"))
     )
     pick = lambda good: clear.filter(F.col("good") == good).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return pick(True).union(pick(False))
+    turn = F.row_number().over(Window.partitionBy("good").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    return pick(True).union(pick(False)).select("doc_id", "good", (turn % 2 == 1).alias("fits"))
 
 
 def ratios(grams: DataFrame) -> DataFrame:
-    """(bucket, ratio) in units from rows (bucket, good), one for each n-gram of the corpus."""
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if(F.col("good")).alias("target"))
+    """(bucket, ratio) in units from rows (bucket, trusted), one for each n-gram of the corpus."""
+    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if(F.col("trusted")).alias("target"))
     counts = settled(counts, "gram-counts")
     sums = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0)).alias("target")).first()
     share = lambda n, total: F.log((F.col(n) + SMOOTHING) / F.lit(total + SMOOTHING * BUCKETS))
     return counts.select("bucket", F.round((share("target", sums["target"]) - share("raw", sums["raw"])) * UNIT).cast("long").alias("ratio"))
 
 
+def as_array(table: DataFrame) -> Column:
+    """The ratios of all ``BUCKETS`` buckets in order as one constant; buckets that no n-gram fell into have 0."""
+    found = dict(table.collect())  # at most BUCKETS rows
+    return F.split(F.lit(",".join(str(found.get(bucket, 0)) for bucket in range(BUCKETS))), ",").cast("array<bigint>")
+
+
 def threshold(scored: DataFrame) -> int:
     """The score, in units, below which a document goes.
 
-    Of the labelled documents that pass the base rules, the cut with the best
-    mean of both recalls is taken, the lowest of the best; the threshold lies
-    halfway to the next score below. Without labels of both kinds nothing goes.
-    At most two times ``LABELLED`` rows are ordered here.
+    Only labelled documents that the target was not counted from are asked, and
+    of those the ones that pass the base rules. Of the cuts that keep the share
+    ``GOOD_KEPT`` of the good ones, the cut with the best mean of both recalls is
+    taken, the lowest of the best; the threshold lies halfway to the next score
+    below. Without such documents of both kinds nothing goes. At most
+    ``LABELLED`` rows are ordered here.
     """
     lowest = -(1 << 62)
     up = Window.orderBy("score")
     cuts = (
-        scored.filter(F.col("good").isNotNull() & ~F.col("base_failed"))
+        scored.filter(F.col("good").isNotNull() & ~F.col("fits") & ~F.col("base_failed"))
         .groupBy("score")
         .agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
         .select(
@@ -151,7 +166,7 @@ def threshold(scored: DataFrame) -> int:
             F.coalesce(F.sum("bad").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("bad_below"),
             F.lag("score").over(up).alias("below"),
         )
-        .filter("all_good > 0 and all_bad > 0")
+        .filter((F.col("all_good") > 0) & (F.col("all_bad") > 0) & (F.col("good_below") <= F.floor(F.col("all_good") * (1 - GOOD_KEPT))))
         .select("score", "below", ((F.col("all_good") - F.col("good_below")) * F.col("all_bad") + F.col("bad_below") * F.col("all_good")).alias("gain"))
         .orderBy(F.desc("gain"), "score")
         .first()
@@ -172,27 +187,18 @@ def verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), identity(F.col(id_col), F.col(text_col)).alias("doc"))
     sample = settled(labelled_sample(labels), "labelled")
     figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    keep = ["doc_id", "doc", "good"]
-    based = base_columns(named.join(F.broadcast(sample), "doc_id", "left"), "_text", keep)
-    grams = (
-        named.join(F.broadcast(sample), "doc_id", "left")
-        .select("good", word_hashes(words(F.col("_text"))).alias("_hashes"))
-        .select("good", F.explode(gram_buckets(F.col("_hashes"))).alias("bucket"))
+    known = named.join(F.broadcast(sample), "doc_id", "left")
+    grams = known.select((F.col("good") & F.col("fits")).alias("trusted"), word_hashes(words(F.col("_text"))).alias("_hashes")).select(
+        "trusted", F.explode(gram_buckets(F.col("_hashes"))).alias("bucket")
     )
-    table = ratios(grams)
-    # The number tells repeated rows apart; it is only used within the task that gives it.
-    per_row = [*keep, *figures]
-    scored = (
-        based.withColumn("_row", F.monotonically_increasing_id())
-        .select("_row", *per_row, F.explode_outer("_buckets").alias("bucket"))
-        .join(F.broadcast(table), "bucket", "left")
-        .groupBy("_row", *per_row)
-        .agg(F.sum("ratio").alias("total"), F.count("bucket").alias("grams"))
-        .select(
-            *per_row,
-            F.coalesce(F.floor(F.col("total") / F.col("grams")), F.lit(0)).cast("long").alias("score"),
-            base_failed(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed"),
-        )
+    table = as_array(ratios(grams))
+    total = F.aggregate("_buckets", F.lit(0).cast("long"), lambda acc, bucket: acc + F.get(table, bucket))
+    keep = ["doc_id", "doc", "good", "fits"]
+    scored = base_columns(known, "_text", keep).select(
+        *keep,
+        *figures,
+        F.coalesce(F.floor(F.try_divide(total, F.size("_buckets"))), F.lit(0)).cast("long").alias("score"),
+        base_failed(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed"),
     )
     scored = settled(scored, "quality-scores")
     return scored.select("doc_id", "doc", *figures, "score", "base_failed", (~F.col("base_failed") & (F.col("score") >= threshold(scored))).alias("kept"))

@@ -48,16 +48,17 @@ def base(text: str | None) -> dict:
 
 
 def quality(docs: list[tuple], labels: list[tuple], buckets: int) -> dict:
-    """By doc_id: the figures, the score and the verdict. All labels are used."""
+    """By doc_id: the figures, the score and the verdict. All labels are used, by turns of their hashes."""
     known: dict = {}
     for doc_id, value in labels:
         known.setdefault(doc_id, set()).add(value)
     good = {k: v == {1} for k, v in known.items() if len(v) == 1}
+    fits = {k for kind in (True, False) for k in sorted((k for k in good if good[k] is kind), key=lambda k: (signed(xx(k)), k))[::2]}
     raw, target = Counter(), Counter()
     for doc_id, text in docs:
         found = grams(text, buckets)
         raw.update(found)
-        if good.get(doc_id):
+        if good.get(doc_id) and doc_id in fits:
             target.update(found)
     share = lambda n, total: math.log((n + 0.5) / (total + 0.5 * buckets))
     ratio = {b: round((share(target[b], target.total()) - share(raw[b], raw.total())) * 1e6) for b in raw}
@@ -65,11 +66,13 @@ def quality(docs: list[tuple], labels: list[tuple], buckets: int) -> dict:
     for doc_id, text in docs:
         found = grams(text, buckets)
         out[doc_id] = base(text) | {"score": sum(ratio[b] for b in found) // len(found) if found else 0}
-    judged = [(row["score"], good[k]) for k, row in out.items() if k in good and not row["base_failed"]]
+    judged = [(row["score"], good[k]) for k, row in out.items() if k in good and k not in fits and not row["base_failed"]]
     scores = sorted({s for s, _ in judged})
     cut, best = -(1 << 62), -1
     n_good, n_bad = sum(g for _, g in judged), sum(not g for _, g in judged)
     for i, s in enumerate(scores if n_good and n_bad else []):
+        if sum(g for x, g in judged if x < s) > math.floor(n_good * (1 - 0.99)):
+            continue
         gain = sum(g for x, g in judged if x >= s) * n_bad + sum(not g for x, g in judged if x < s) * n_good
         if gain > best:
             best, cut = gain, (s + scores[i - 1]) // 2 if i else -(1 << 62)

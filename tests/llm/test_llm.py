@@ -506,6 +506,28 @@ def test_mixture_fills_its_budget(spark, monkeypatch):
     assert max(r["passes"] for r in plan) <= 6 + 1e-6 and min(r["copies"] for r in plan) == 1
 
 
+def test_a_source_without_texts_is_dealt_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 64)
+    docs = spark.createDataFrame([(i, None if i % 2 else "", "en", "bare", 0) for i in range(2000)] + [(i, "word " * 9, "en", "full", 0) for i in range(2000, 2100)], DOCS)
+    plan = mixing.schedule(docs, mixing.Goal())
+    sizes = plan.filter("source = 'bare'").groupBy("block").count().collect()
+    assert len(sizes) == 32 and max(r["count"] for r in sizes) < 128 and sum(r["count"] for r in sizes) == 2000
+    assert plan.filter("source = 'bare' and (copies <> 1 or weight <> 0)").isEmpty()
+
+
+def test_the_threshold_stands_on_documents_the_target_was_not_counted_from(spark):
+    known = labels(spark, [(i, i % 2, 0) for i in range(100)])
+    sample = quality.labelled_sample(known).groupBy("good", "fits").count().collect()
+    assert sorted((r["good"], r["fits"], r["count"]) for r in sample) == [(g, f, 25) for g in (False, True) for f in (False, True)]
+    rows = lambda *values: spark.createDataFrame([(*v, False) for v in values], "score long, good boolean, fits boolean, base_failed boolean")
+    held_out = [(n, True, False) for n in range(100, 200)] + [(n, False, False) for n in range(0, 50)]
+    assert quality.threshold(rows(*held_out)) == 74
+    assert quality.threshold(rows(*held_out, *[(n, False, True) for n in range(150, 180)], (-5, True, True))) == 74
+    # Many bad documents above good ones take no more than a hundredth of the good ones along.
+    assert quality.threshold(rows(*held_out, *[(120, False, False)] * 500)) == 74
+    assert quality.threshold(rows((5, True, True), (1, False, True))) == -(1 << 62)
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = [(r["doc_id"], r["text"]) for r in small(spark).collect()]
     known = [(r["doc_id"], r["quality"]) for r in small(spark, "labels").collect()]
