@@ -104,6 +104,7 @@ def sales_fact(
     products: DataFrame,
     of_customer: Sequence[str] = (),
     of_product: Sequence[str] = (),
+    parts: int | None = None,
 ) -> DataFrame:
     """One row per order line with the customer version of the order day.
 
@@ -112,7 +113,9 @@ def sales_fact(
     customer version is settled on orders, so the lines shuffle only once, on
     their order. Attributes asked for by ``of_customer`` and ``of_product`` come
     along with the keys, so a report needs no second join with a dimension; they
-    are NULL where the key is.
+    are NULL where the key is. ``parts`` are the partitions of lines and orders by
+    order; without them adaptive execution packs a task by its shuffled bytes, of
+    which the sorts and sums over the order take many times as much memory.
     """
     heads = orders.select("order_id", "customer_id", "order_date", "status", "channel")
     settled = heads.join(
@@ -123,6 +126,8 @@ def sales_fact(
     detail = lines.select(
         "order_line_id", "order_id", "product_id", "quantity", "unit_price", "discount_pct"
     )
+    if parts:
+        detail, settled = detail.repartition(parts, "order_id"), settled.repartition(parts, "order_id")
     return (
         detail.join(settled, "order_id")
         .join(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal
 from functools import cached_property
 
@@ -13,6 +14,9 @@ from strata.operators.history import full_history
 from strata.sources.tables import scan
 
 
+LINES_PER_TASK = 500_000
+
+
 class Staging:
     """Lazy entity views over one folder of tables."""
 
@@ -118,6 +122,16 @@ class Staging:
             "l_linestatus",
         )
 
+    @cached_property
+    def line_parts(self) -> int | None:
+        """Partitions for joins of the lines, so that a task meets so many of them however large the table is.
+
+        None while the cores are enough; adaptive execution then chooses. Only
+        counted, which the files' footers answer.
+        """
+        parts = math.ceil(self.raw("lineitem").count() / LINES_PER_TASK)
+        return parts if parts > self.spark.sparkContext.defaultParallelism else None
+
     @cached_property
     def deliveries(self) -> DataFrame:
         shift = (F.col("order_line_id") % 6 - 1).cast("int")

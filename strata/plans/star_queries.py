@@ -18,7 +18,7 @@ def dimensions(s: Staging) -> tuple[DataFrame, DataFrame]:
 
 
 def fact(s: Staging, of_customer: Sequence[str] = (), of_product: Sequence[str] = ()) -> DataFrame:
-    return star.sales_fact(s.lines, s.orders, *dimensions(s), of_customer, of_product)
+    return star.sales_fact(s.lines, s.orders, *dimensions(s), of_customer, of_product, s.line_parts)
 
 
 #: Business keys that stand for the surrogates in a comparison.
@@ -117,7 +117,7 @@ def fact_sales_fallback(s: Staging) -> DataFrame:
         }
     )
     customers, products = star.customer_dimension(late), star.product_dimension(s.products)
-    return readable(star.sales_fact(s.lines, s.orders, customers, products, CUSTOMER_KEYS, PRODUCT_KEYS))
+    return readable(star.sales_fact(s.lines, s.orders, customers, products, CUSTOMER_KEYS, PRODUCT_KEYS, s.line_parts))
 
 
 @query
@@ -139,7 +139,7 @@ def agg_distributor_shipments(s: Staging) -> DataFrame:
 def gold_table_counts(s: Staging) -> DataFrame:
     """Row count of every gold table after a full rebuild."""
     customers, products = dimensions(s)
-    sales = star.sales_fact(s.lines, s.orders, customers, products)
+    sales = star.sales_fact(s.lines, s.orders, customers, products, parts=s.line_parts)
     tables = {
         "dim_customer": customers,
         "dim_product": products,

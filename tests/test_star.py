@@ -1,10 +1,12 @@
+import re
 from datetime import date
 from decimal import Decimal
 
 import pytest
 
 from strata.operators import star
-from tests.conftest import at, sets
+from strata.plans import staging, star_queries
+from tests.conftest import SMALL, at, plan_text, sets
 
 LINE = "order_line_id int, order_id int, product_id int, quantity int, unit_price decimal(9,2), discount_pct decimal(5,2)"
 
@@ -151,3 +153,17 @@ def test_distributor_volume(spark):
         ("a", 2, 60, 2),
         ("b", 1, 10, 1),
     }
+
+
+def test_lines_of_a_task_are_bounded(spark, monkeypatch):
+    """Joins by order take as many partitions as the table has lines for, and give the same rows."""
+    s = staging.Staging(spark, SMALL)
+    rows = sorted(star_queries.agg_daily_revenue(s).collect(), key=str)
+    lines = s.raw("lineitem").count()
+    assert s.line_parts is None
+    monkeypatch.setattr(staging, "LINES_PER_TASK", -(-lines // 13))
+    many = staging.Staging(spark, SMALL)
+    assert many.line_parts == 13 > spark.sparkContext.defaultParallelism
+    bounded = star_queries.agg_daily_revenue(many)
+    assert re.findall(r"hashpartitioning\(order_id#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan_text(bounded)) == ["13", "13"]
+    assert sorted(bounded.collect(), key=str) == rows
