@@ -21,9 +21,18 @@ KD_LEVELS = 10
 CLUSTER_POSITION = "cluster_position"
 
 
-def write_small_files(rows: DataFrame, path: str, files: int) -> None:
-    """Many small files: rows dealt evenly over ``files`` writers."""
-    rows.repartition(files).write.mode("overwrite").parquet(path)
+def write_small_files(rows: DataFrame, path: str, files: int, dealt: bool = False) -> None:
+    """Many small files: rows dealt evenly over ``files`` writers.
+
+    Rows that are ``dealt`` lie evenly in a multiple of ``files`` partitions already,
+    as ``parts_for`` gives it, and are put together without a further shuffle.
+    """
+    (rows.coalesce(files) if dealt else rows.repartition(files)).write.mode("overwrite").parquet(path)
+
+
+def parts_for(spark: SparkSession, files: int) -> int:
+    """The least multiple of ``files`` that is no less than the session's shuffle partitions."""
+    return files * max(1, math.ceil(int(spark.conf.get("spark.sql.shuffle.partitions")) / files))
 
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
@@ -192,17 +201,31 @@ def write_partitioned(
 
 
 def write_variants(
-    rows: DataFrame, base: str, keys: Sequence[str], day: str, small_files: int = 1600, target: int = TARGET_FILE_BYTES
+    rows: DataFrame,
+    base: str,
+    keys: Sequence[str],
+    day: str,
+    small_files: int = 1600,
+    target: int = TARGET_FILE_BYTES,
+    dealt: bool = False,
 ) -> dict[str, str]:
-    """The same rows under six layouts, each rebuilt from scratch; name -> path."""
+    """The same rows under six layouts, each rebuilt from scratch; name -> path.
+
+    What the rows are made of is worked out once, for the small files. The layouts
+    that look at all rows several times read the clustered one, as rows that lie
+    by the keys take less room in a shuffle.
+    """
+    spark, schema = rows.sparkSession, rows.schema
     paths = {
         n: f"{base}/{n}" for n in ("smallfiles", "compacted", "zorder", "kd", "clustered", "partitioned")
     }
-    write_small_files(rows, paths["smallfiles"], small_files)
-    compact(rows.sparkSession, paths["smallfiles"], paths["compacted"])
+    write_small_files(rows, paths["smallfiles"], small_files, dealt)
+    compact(spark, paths["smallfiles"], paths["compacted"])
+    write_clustered(spark.read.schema(schema).parquet(paths["smallfiles"]), paths["clustered"], keys)
+    # By the plain schema, so that no other layout passes for clustered.
+    rows = spark.read.schema(schema).parquet(paths["clustered"])
     write_zorder(rows, paths["zorder"], keys)
-    write_kd(rows, paths["kd"], keys, files_for(rows.sparkSession, paths["smallfiles"], target))
-    write_clustered(rows, paths["clustered"], keys)
+    write_kd(rows, paths["kd"], keys, files_for(spark, paths["smallfiles"], target))
     write_partitioned(rows, paths["partitioned"], day)
     return paths
 

@@ -269,6 +269,7 @@ def gen_key_coverage(s: Staging) -> DataFrame:
 KEYS = ["product_id", "ship_date"]
 BOX = {"product_id": (100, 110), "ship_date": WINDOW}
 SMALL_TARGET = 256 * 1024
+SMALL_FILES = 32
 
 
 def layout_rows(s: Staging) -> DataFrame:
@@ -330,7 +331,8 @@ def layout_partitioned(s: Staging) -> DataFrame:
 def variants(s: Staging) -> dict[str, DataFrame]:
     """The same rows under every layout."""
     base = work_folder(s.spark, "variants")
-    paths = layout.write_variants(layout_rows(s), base, KEYS, "ship_date", 32, SMALL_TARGET)
+    rows = s.lines_dealt(layout.parts_for(s.spark, SMALL_FILES))
+    paths = layout.write_variants(rows, base, KEYS, "ship_date", SMALL_FILES, SMALL_TARGET, dealt=True)
     return {name: s.spark.read.parquet(path) for name, path in paths.items()}
 
 

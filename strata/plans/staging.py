@@ -93,6 +93,16 @@ class Staging:
 
     @cached_property
     def lines(self) -> DataFrame:
+        return self._newest_lines(self.line_versions)
+
+    def lines_dealt(self, parts: int) -> DataFrame:
+        """The lines, dealt over ``parts`` partitions by the shuffle that finds the newest of each.
+
+        All versions of a line come to one task, as nothing is cut before this shuffle.
+        """
+        return self._newest_lines(self.line_versions.repartition(parts, "order_line_id"))
+
+    def _newest_lines(self, versions: DataFrame) -> DataFrame:
         falling = (
             "l_shipdate",
             "l_partkey",
@@ -103,7 +113,7 @@ class Staging:
             "l_discount",
         )
         newest = first_by(
-            self.line_versions,
+            versions,
             ["order_line_id"],
             [F.col(c).desc() for c in falling] + [F.col("l_returnflag"), F.col("l_linestatus")],
         )

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.skew import hot_keys, salted_join
 from strata.operators import lab, layout
+from strata.plans.staging import Staging
 from strata.sources import generate
 from tests.conftest import plan_text, sets
 
@@ -38,6 +39,34 @@ def test_layouts_hold_the_same_rows(spark, sales, folder):
     assert {s["row_count"] for s in stats.values()} == {5000}
 
 
+def test_variants_work_their_rows_out_once(spark, sales, folder):
+    """Rows that come out otherwise each time: all layouts hold those of the small files."""
+    drawn = sales.withColumn("draw", F.expr("uuid()"))
+    paths = layout.write_variants(drawn, folder, ["customer_id", "sale_date"], "sale_date", 4, 64 * 1024)
+    tables = {n: spark.read.parquet(p) for n, p in paths.items()}
+    assert tables["smallfiles"].count() == 5000
+    for name, table in tables.items():
+        assert same(table.select(drawn.columns), tables["smallfiles"]), name
+        assert layout.clustering_keys(table) == (["customer_id", "sale_date"] if name == "clustered" else []), name
+
+
+def test_dealt_rows_are_put_together_without_a_shuffle(spark, sales, folder):
+    parts = layout.parts_for(spark, 3)
+    assert parts == 6  # 4 shuffle partitions
+    layout.write_small_files(sales.repartition(parts, "sale_id"), f"{folder}/small", 3, dealt=True)
+    back = spark.read.parquet(f"{folder}/small")
+    assert same(back, sales)
+    sizes = [r["row_count"] for r in layout.file_sizes(back).collect()]
+    assert len(sizes) == 3 and min(sizes) > 1400
+
+
+def test_dealt_lines_are_the_lines(spark):
+    s = Staging(spark, "/root/testdata/sf0.001")
+    dealt = s.lines_dealt(6)
+    assert dealt.columns == s.lines.columns and same(dealt, s.lines)
+    assert plan_text(dealt).count("Exchange hashpartitioning") == 1
+
+
 def test_clustering_lets_files_be_skipped(spark, folder):
     sales = generate.sales_of_size(spark, 20_000)
     wanted = {"customer_id": (4000, 4800), "sale_date": (date(2024, 3, 1), date(2024, 3, 30))}
