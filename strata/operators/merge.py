@@ -77,11 +77,17 @@ def count_ops(changes: DataFrame) -> DataFrame:
     )
 
 
-def change_feed(before: DataFrame, after: DataFrame, identity: str | Sequence[str]) -> DataFrame:
-    """Row changes between two states of a table, with images before and after.
+def state_pairs(
+    before: DataFrame, after: DataFrame, identity: str | Sequence[str], placed: bool = False
+) -> DataFrame:
+    """All rows of two states of a table, matched by identity: ``_pre`` and ``_post``, null where there is none.
 
     ``identity`` names the columns that tell rows apart, nulls included. Columns
-    that only one state has are null in the images of the other.
+    that only one state has are null in the rows of the other.
+
+    States that are ``placed`` are partitioned by the identity already. Their rows
+    are joined by plain equality, which takes them as they lie, where a null-safe
+    join shuffles both again; those with a null in their identity are joined apart.
     """
     keys = [identity] if isinstance(identity, str) else list(identity)
     kinds = {f.name: f.dataType for f in (*before.schema, *after.schema)}
@@ -92,9 +98,21 @@ def change_feed(before: DataFrame, after: DataFrame, identity: str | Sequence[st
         return state.select(*[F.col(k).alias(f"{alias}_{i}") for i, k in enumerate(keys)], F.struct(*cells).alias(alias))
 
     old, new = row(before, "_pre"), row(after, "_post")
-    same = F.lit(True)
+    same, equal, old_named, new_named = (F.lit(True) for _ in range(4))
     for i in range(len(keys)):
-        same = same & F.col(f"_pre_{i}").eqNullSafe(F.col(f"_post_{i}"))
+        pre, post = F.col(f"_pre_{i}"), F.col(f"_post_{i}")
+        same, equal = same & pre.eqNullSafe(post), equal & (pre == post)
+        old_named, new_named = old_named & pre.isNotNull(), new_named & post.isNotNull()
+    if placed:
+        whole = old.where(old_named).join(new.where(new_named), equal, "full")
+        pairs = whole.unionByName(old.where(~old_named).join(new.where(~new_named), same, "full"))
+    else:
+        pairs = old.join(new, same, "full")
+    return pairs.select("_pre", "_post")
+
+
+def pair_changes(pairs: DataFrame) -> DataFrame:
+    """Row changes between the two states of ``state_pairs``, with images before and after."""
 
     def image(kind: str, side: str) -> Column:
         return F.struct(F.lit(kind).alias("_change_type"), F.col(side).alias("_row"))
@@ -105,13 +123,19 @@ def change_feed(before: DataFrame, after: DataFrame, identity: str | Sequence[st
         .otherwise(F.array(image("update_preimage", "_pre"), image("update_postimage", "_post")))
     )
     return (
-        old.join(new, same, "full")
-        .where(~F.col("_pre").eqNullSafe(F.col("_post")))
+        pairs.where(~F.col("_pre").eqNullSafe(F.col("_post")))
         .select(F.explode(images).alias("_change"))
         .select("_change._change_type", "_change._row.*")
     )
 
 
+def change_feed(
+    before: DataFrame, after: DataFrame, identity: str | Sequence[str], placed: bool = False
+) -> DataFrame:
+    """Row changes between two states of a table, with images before and after; see ``state_pairs``."""
+    return pair_changes(state_pairs(before, after, identity, placed))
+
+
 def changes_by_version(images: DataFrame, identity: Sequence[str], since: int) -> DataFrame:
     """Row changes of every version from ``since`` on, with ``_commit_version``.
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import gold_changes as gold
-from strata.operators import merge, star
+from strata.operators import conform, merge, star
 from strata.operators.deltas import ROWS, Sums, signed, stated
 from tests.conftest import at, plan_text, sets
 
@@ -149,3 +149,20 @@ def test_changes_are_met_by_keys_only(spark):
     none = lambda frame: signed(merge.change_feed(frame, frame, frame.columns[0]))
     plan = plan_text(gold.sales_changes(t, t, none(t.lines), none(t.orders), none(t.customers), none(t.products)))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_feed_of_placed_states_is_the_feed(spark):
+    """Rows that lie by their identity are joined as they lie; nulls in it and repeated keys count as before."""
+    schema = "id int, part string, n int"
+    rows = [(i if i % 7 else None, "a" if i % 3 else None, i % 4) for i in range(60)] + [(5, "a", 9), (5, "a", 1)]
+    state = spark.createDataFrame(rows, schema).repartition(4, "id", "part")
+    before = state.where("n <> 3 or n is null").withColumn("n", F.when(F.col("part") == "a", F.col("n") + 1).otherwise(F.col("n")))
+    after = state.where("n <> 0")
+    for identity in ("id", ["id", "part"]):
+        wanted = merge.change_feed(before, after, identity)
+        found = merge.change_feed(before, after, identity, placed=True)
+        assert sorted(found.collect(), key=str) == sorted(wanted.collect(), key=str), identity
+    once = conform.newest_version(state.where("id is not null"), "id", "n")
+    shuffled = plan_text(merge.change_feed(once.where("n <> 3"), once, "id"))
+    assert "Exchange hashpartitioning(coalesce(_pre_0" in shuffled
+    assert "Exchange hashpartitioning(_pre_0" not in plan_text(merge.change_feed(once.where("n <> 3"), once, "id", placed=True))
