@@ -86,10 +86,16 @@ class Sums:
             some = some | (F.col(c) != 0)
         return sums.where(some)
 
-    def changes(self, state: DataFrame, change: DataFrame) -> DataFrame:
-        """What summed changes do to a state: touched groups with new figures, old ones (``_was_``) and ``_op``."""
+    def changes(self, state: DataFrame, change: DataFrame, cut: bool = True) -> DataFrame:
+        """What summed changes do to a state: touched groups with new figures, old ones (``_was_``) and ``_op``.
+
+        The state is ``cut`` down to the groups of the change first, which Spark
+        broadcasts while they are few. Of a change as large as the state that only
+        works out the change twice and shuffles its groups once more.
+        """
         old = state.select(*self.by, *[F.col(c).alias(f"_was_{c}") for c in self.figures])
-        old = matched(old, change.select(*self.by), self.by, "left_semi")
+        if cut:
+            old = matched(old, change.select(*self.by), self.by, "left_semi")
         met = matched(change, old, self.by, "left")
         was = {c: F.coalesce(f"_was_{c}", F.lit(0)).cast(state.schema[c].dataType) for c in self.figures}
         now = {c: (F.col(c) + was[c]).cast(state.schema[c].dataType) for c in self.figures}

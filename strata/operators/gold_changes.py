@@ -45,6 +45,15 @@ class SalesTables:
     customers: DataFrame
     products: DataFrame
 
+    def narrowed(self) -> SalesTables:
+        """The tables with the keys of their rows and what revenue asks of them."""
+        return SalesTables(
+            self.lines.select("order_line_id", "order_id", "product_id", "quantity", "unit_price", "discount_pct"),
+            self.orders.select("order_id", "customer_id", "order_date", "status"),
+            self.customers.select("customer_sk", "customer_id", "region", "valid_from", "valid_to"),
+            self.products.select("product_id", "brand"),
+        )
+
     def heads(self) -> DataFrame:
         return live_sales(self.orders).select("order_id", "customer_id", "order_date")
 
@@ -95,7 +104,7 @@ def sales_changes(
     # Changed lines meet the new orders, lines as they were the changes of orders.
     met = matched(new.heads(), detail.select("order_id"), ["order_id"], "left_semi")
     by_line = joined(detail, stated(_with_region(met, new.customers)), "order_id")
-    before = matched(old.details(), heads.select("order_id"), ["order_id"], "left_semi").join(old.brands(), "product_id")
+    before = old.details().join(old.brands(), "product_id")
     by_order = joined(stated(before), heads, "order_id")
     return SALES_BY_ORDER.of(by_line.unionByName(by_order))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,16 +61,20 @@ def followed(table: Sums, before: DataFrame, change: DataFrame, name: str) -> tu
 @query
 def agg_daily_revenue_followed(s: Staging) -> DataFrame:
     """Revenue after inserts, updates and deletes of lines and orders, moved customers and renamed brands."""
-    old = gold.SalesTables(lines_before(s), orders_before(s), customers_before(s), products_before(s))
-    new = gold.SalesTables(lines_after(s), orders_after(s), star.customer_dimension(s.customer_history), s.products)
+    old = gold.SalesTables(lines_before(s), orders_before(s), customers_before(s), products_before(s)).narrowed()
+    new = gold.SalesTables(lines_after(s), orders_after(s), star.customer_dimension(s.customer_history), s.products).narrowed()
+    # The old lines are met three times, and worked out once, along with what becomes of them. A line
+    # has one row in a state, so none comes more often in the pairs.
+    pairs = settled(merge.state_pairs(old.lines, new.lines, "order_line_id", placed=True), "pairs-lines")
+    old = replace(old, lines=pairs.where("_pre is not null").select("_pre.*"))
     feeds = (
-        feed(old.lines, new.lines, "order_line_id", "lines"),
+        signed(merge.pair_changes(pairs)),
         feed(old.orders, new.orders, "order_id", "orders"),
         feed(old.customers, new.customers, "customer_sk", "customers"),
         feed(old.products, new.products, "product_id", "products"),
     )
     sales = settled(gold.sales_by_order(old), "state-sales")
-    below = settled(gold.SALES_BY_ORDER.changes(sales, gold.sales_changes(old, new, *feeds)), "changes-sales")
+    below = settled(gold.SALES_BY_ORDER.changes(sales, gold.sales_changes(old, new, *feeds), cut=False), "changes-sales")
     daily, _ = followed(gold.DAILY_SALES, gold.DAILY_SALES.over(sales), gold.DAILY_SALES.over_changes(below), "daily")
     return gold.daily_revenue(daily)
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from strata.operators import gold_changes as gold
 from strata.operators import conform, merge, star
 from strata.operators.deltas import ROWS, Sums, signed, stated
-from tests.conftest import at, plan_text, sets
+from strata.plans import gold_change_queries
+from strata.plans.staging import Staging
+from tests.conftest import SMALL, at, plan_text, sets
 
 LINE = "order_line_id int, order_id int, product_id int, quantity int, unit_price decimal(9,2), discount_pct decimal(5,2)"
 ORDER = "order_id int, customer_id int, order_date date, status string, channel string"
@@ -166,3 +168,22 @@ def test_feed_of_placed_states_is_the_feed(spark):
     shuffled = plan_text(merge.change_feed(once.where("n <> 3"), once, "id"))
     assert "Exchange hashpartitioning(coalesce(_pre_0" in shuffled
     assert "Exchange hashpartitioning(_pre_0" not in plan_text(merge.change_feed(once.where("n <> 3"), once, "id", placed=True))
+
+
+def test_uncut_state_gives_the_same_changes(spark):
+    sums = Sums(["k", "part"], {"n": (lambda: F.col("n"), "bigint")})
+    rows = [(i % 9 if i % 5 else None, "a" if i % 2 else None, i) for i in range(70)]
+    state = sums.of(stated(spark.createDataFrame(rows, "k int, part string, n int")))
+    change = sums.of(spark.createDataFrame([(k, p, n, w) for (k, p, n), w in zip(rows[::3], [-1, 1, 2] * 9)] + [(99, "new", 4, 1)], "k int, part string, n int, _weight bigint"))
+    cut, whole = sums.changes(state, change), sums.changes(state, change, cut=False)
+    assert sorted(whole.collect(), key=str) == sorted(cut.collect(), key=str) and whole.count() > 5
+    assert "LeftSemi" in plan_text(cut) and "LeftSemi" not in plan_text(whole)
+
+
+def test_followed_revenue_works_lines_out_once(spark, monkeypatch):
+    """Only the pairs of states look at the lines; the old state comes from them."""
+    seen = []
+    real = gold_change_queries.settled
+    monkeypatch.setattr(gold_change_queries, "settled", lambda rows, name: (seen.append((name, "l_extendedprice" in rows._jdf.queryExecution().analyzed().toString())), real(rows, name))[1])
+    gold_change_queries.agg_daily_revenue_followed(Staging(spark, SMALL))
+    assert [name for name, lines in seen if lines] == ["pairs-lines"]
